@@ -40,14 +40,9 @@ def stock_urgency(days: Column, with_ok: bool = True) -> Column:
 
 
 def rank_of(value: Column, order: dict[str, int]) -> Column:
-    return ladder_int(value, order)
-
-
-def ladder_int(value: Column, order: dict[str, int]) -> Column:
-    out = None
-    for name, rank in order.items():
-        out = F.when(value == name, rank) if out is None else out.when(value == name, rank)
-    return out.otherwise(len(order))
+    """Sort rank of a named level; unknown names come last."""
+    ranks = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
+    return F.coalesce(F.try_element_at(ranks, value), F.lit(len(order)))
 
 
 def mape_band(mape: Column) -> Column:
