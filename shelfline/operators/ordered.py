@@ -36,28 +36,34 @@ def running_totals(
     order: Sequence[Column],
     sums: dict[str, Column],
     keys: Sequence[str] = (),
+    with_totals: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums in ``order`` within ``keys``.
 
     ``order`` must be unique within a key; equal rows would otherwise be cut arbitrarily.
+    ``with_totals`` also adds the sum over the whole key as ``<name>_total``.
     """
     staged = _slabs(df, keys, order)
     group = [SLAB, *keys]
-    totals = staged.groupBy(*group).agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()])
-    carried = totals.select(
+    per_slab = staged.groupBy(*group).agg(*[F.sum(c).alias(f"_part_{n}") for n, c in sums.items()])
+    whole = Window.partitionBy(*keys)
+    carried = per_slab.select(
         *group,
         F.count(F.lit(1)).over(_earlier_slabs(keys)).alias("_slabs_before"),
-        *[F.sum(f"_total_{n}").over(_earlier_slabs(keys)).alias(f"_carried_{n}") for n in sums],
-    ).filter(F.col("_slabs_before") > 0)
+        *[F.sum(f"_part_{n}").over(_earlier_slabs(keys)).alias(f"_carried_{n}") for n in sums],
+        *[F.sum(f"_part_{n}").over(whole).alias(f"{n}_total") for n in sums if with_totals],
+    )
+    if with_totals:
+        # One row per key and slab: with many keys this is large, so the planner picks the join.
+        joined = staged.join(carried, group)
+    else:
+        # Only keys cut by a slab edge remain: fewer rows than slabs.
+        joined = staged.join(F.broadcast(carried.filter("_slabs_before > 0")), group, "left")
     within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = staged.join(F.broadcast(carried), group, "left")
-    zero = F.lit(0)
-    return out.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            (F.sum(c).over(within) + F.coalesce(F.col(f"_carried_{n}"), zero)).alias(n)
-            for n, c in sums.items()
-        ],
+    return joined.select(
+        *df.columns,
+        *[(F.sum(c).over(within) + F.coalesce(f"_carried_{n}", F.lit(0))).alias(n) for n, c in sums.items()],
+        *[F.col(f"{n}_total") for n in sums if with_totals],
     )
 
 
@@ -150,16 +156,13 @@ def exact_quantiles(
     values then locates each rank, so no task ever holds a whole column.
     """
     counts = long.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, keys=[group])
-    ranked = stage_table(ranked, "ranked")
-    sizes = ranked.groupBy(group).agg(F.max("_upto").alias("_size"))
-    located = ranked.join(sizes, group)
+    ranked = running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, keys=[group], with_totals=True)
     picks = []
     for i, p in enumerate(probs):
-        at = (F.col("_size") - 1) * F.lit(float(p))
+        at = (F.col("_upto_total") - 1) * F.lit(float(p))
         picks.append(F.min(F.when(F.col("_upto") > F.floor(at), F.col(value))).alias(f"_lo{i}"))
         picks.append(F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).alias(f"_hi{i}"))
-    found = located.groupBy(group).agg(F.first("_size").alias("n_values"), *picks)
+    found = ranked.groupBy(group).agg(F.max("_upto_total").alias("n_values"), *picks)
     out = [F.col(group), F.col("n_values")]
     for i, p in enumerate(probs):
         at = (F.col("n_values") - 1) * F.lit(float(p))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators.ordered import exact_quantiles, one_row, unpivot_numeric
+from shelfline.session import stage_table
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -41,6 +42,7 @@ def quantile_buckets(df: DataFrame, value: str, buckets: int, name: str) -> Data
 
 
 def revenue_deciles(stats: DataFrame) -> DataFrame:
+    stats = stage_table(stats, "stats")  # read three times below
     placed = quantile_buckets(stats, "total_revenue", 10, "revenue_decile")
     total = one_row(stats, revenue=F.sum(F.col("total_revenue").cast("decimal(18,4)")))
     money = F.sum(F.col("total_revenue").cast("decimal(18,4)")).cast("double")
@@ -58,6 +60,7 @@ def revenue_deciles(stats: DataFrame) -> DataFrame:
 
 def top_share(stats: DataFrame, prob: float = 0.8) -> DataFrame:
     """Customers at or above the revenue percentile and their share of all revenue."""
+    stats = stage_table(stats, "stats")  # read twice below
     long = stats.select(F.lit("r").alias("column"), F.col("total_revenue").alias("value"))
     cut = exact_quantiles(long, [prob]).select("q0").scalar()
     money = F.col("total_revenue").cast("decimal(18,4)")
