@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -151,53 +152,73 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     )
 
 
-def fit_churn_model(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label"):
-    """Balanced L2 logistic regression on standardised features, as a fitted pipeline.
+@dataclass(frozen=True)
+class ChurnModel:
+    """Logistic model on standardised features."""
+
+    features: tuple[str, ...]
+    means: tuple[float, ...]
+    stds: tuple[float, ...]
+    logistic: LogisticRegressionModel
+
+    def scaled(self) -> dict[str, Column]:
+        """Standardised features; a constant feature becomes zero."""
+        return {
+            c: (F.col(c) - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
+            for c, m, s in zip(self.features, self.means, self.stds)
+        }
+
+
+def _assembled(df: DataFrame, scaled: dict[str, Column]) -> DataFrame:
+    wide = df.withColumns({f"_z_{c}": z for c, z in scaled.items()})
+    return VectorAssembler(inputCols=[f"_z_{c}" for c in scaled], outputCol="_x").transform(wide)
+
+
+def fit_churn_model(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label") -> ChurnModel:
+    """Balanced L2 logistic regression on features scaled by their population deviation.
 
     The penalty 1/n on a mean loss equals a unit penalty on a summed loss.
     """
-    sizes = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    n = sum(sizes.values())
-    weight = F.lit(1.0)
-    for value, count in sizes.items():
-        weight = F.when(F.col(label) == value, n / (len(sizes) * count)).otherwise(weight)
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        LogisticRegression(
-            featuresCol="scaled", labelCol=label, weightCol="weight", regParam=1.0 / max(n, 1),
-            elasticNetParam=0.0, standardization=False, maxIter=100,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(train.withColumn("weight", weight))
+    stats = train.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n1"),
+        *[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features],
+    ).first()  # one row
+    n, ones = stats["n"], stats["n1"]
+    if not 0 < ones < n:
+        raise ValueError("training needs both labels")
+    model = ChurnModel(
+        tuple(features), tuple(stats[f"m_{c}"] for c in features), tuple(stats[f"s_{c}"] for c in features), None
+    )
+    weight = F.when(F.col(label) == 1, n / (2 * ones)).otherwise(n / (2 * (n - ones)))
+    logistic = LogisticRegression(
+        featuresCol="_x", labelCol=label, weightCol="_w", regParam=1.0 / n, elasticNetParam=0.0,
+        standardization=False, maxIter=100,
+    ).fit(_assembled(train, model.scaled()).withColumn("_w", weight))
+    return replace(model, logistic=logistic)
 
 
-def score_churn(model, df: DataFrame) -> DataFrame:
-    out = model.transform(df.withColumn("weight", F.lit(1.0)))
-    return out.withColumn("churn_proba", vector_to_array("probability")[1]).drop(
-        "raw", "scaled", "rawPrediction", "probability", "prediction", "weight"
-    )
+def score_churn(model: ChurnModel, df: DataFrame) -> DataFrame:
+    out = model.logistic.transform(_assembled(df, model.scaled()))
+    return out.select(*df.columns, vector_to_array("probability")[1].alias("churn_proba"))
 
 
-def evaluate_churn(model, test: DataFrame, key: str = "customer_id", label: str = "label") -> DataFrame:
+def evaluate_churn(model: ChurnModel, test: DataFrame, key: str = "customer_id", label: str = "label") -> DataFrame:
     scored = stage_table(score_churn(model, test).select(key, label, "churn_proba"), "scored")
     top = precision_at_top(scored, key, "churn_proba", label).select("precision_at_top20").scalar()
     return classification_metrics(scored, "churn_proba", label).withColumn("precision_at_top20", top)
 
 
-def feature_importance(model, spark: SparkSession, features: Sequence[str] = FEATURES) -> DataFrame:
-    pairs = list(zip(features, (float(c) for c in model.stages[-1].coefficients)))
+def feature_importance(model: ChurnModel, spark: SparkSession) -> DataFrame:
+    pairs = list(zip(model.features, (float(c) for c in model.logistic.coefficients)))
     frame = spark.createDataFrame(pairs, "feature string, coefficient double")
     return frame.orderBy(F.abs("coefficient").desc(), "feature")
 
 
-def top_contributions(model, scored: DataFrame, n_customers: int = 20, n_features: int = 5, features: Sequence[str] = FEATURES) -> DataFrame:
+def top_contributions(model: ChurnModel, scored: DataFrame, n_customers: int = 20, n_features: int = 5) -> DataFrame:
     """Exact linear contributions of the riskiest customers, largest first."""
-    scaler, logistic = model.stages[1], model.stages[2]
     cells = []
-    for name, mean, std, coefficient in zip(features, scaler.mean, scaler.std, logistic.coefficients):
-        unit = float(coefficient) / float(std) if std else 0.0
-        value = F.lit(unit) * (F.col(name) - F.lit(float(mean)))
+    for (name, scaled), coefficient in zip(model.scaled().items(), model.logistic.coefficients):
+        value = F.lit(float(coefficient)) * scaled
         cells.append(F.struct((-F.abs(value)).alias("rank"), F.lit(name).alias("feature"), value.alias("contribution")))
     ordered = F.transform(
         F.slice(F.array_sort(F.array(*cells)), 1, n_features),

@@ -322,10 +322,9 @@ def customer_timeline(t: Tables) -> DataFrame:
 
 
 def training_frame(t: Tables) -> DataFrame:
-    """Scored RFM features with the churn label over a longer window, so that both labels occur."""
-    features = ft.rfm_features(t.customer_sales(), "2001-09-15", bounded=True)
-    label = churn_label(F.col("recency_days"), F.col("frequency") - F.lit(2))
-    return stage_table(cu.fill_feature_nulls(features).withColumn("label", label), "training")
+    """Scored RFM features with the churn label; staged because training reads it repeatedly."""
+    features = cu.fill_feature_nulls(ft.rfm_features(t.customer_sales(), SNAPSHOT))
+    return stage_table(features.withColumn("label", churn_label(F.col("recency_days"), F.col("frequency"))), "training")
 
 
 @query("stratified_split")
