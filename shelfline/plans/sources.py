@@ -380,7 +380,7 @@ def clean_invoice_sales(t: Tables) -> DataFrame:
 
 @query("sample_fraction")
 def sample_fraction(t: Tables) -> DataFrame:
-    return readers.sample_fraction(t.lines())
+    return readers.sample_fraction(t.lines()).withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
 @query("sample_rows")

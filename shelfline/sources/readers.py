@@ -23,18 +23,24 @@ def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """A partitioned table folder; columns added by later appends are null in older files."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A partitioned table folder; columns added by later appends are null in older files.
+
+    A given schema saves opening every file footer to merge theirs.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    return reader.parquet(path)
 
 
-def read_between(spark: SparkSession, path: str, time: str, start: str, end: str) -> DataFrame:
+def read_between(
+    spark: SparkSession, path: str, time: str, start: str, end: str, schema: T.StructType | None = None
+) -> DataFrame:
     """Rows of a year/month partitioned table with ``start <= time < end``; other months are not listed."""
     bounds = [F.lit(v).cast("timestamp_ntz") for v in (start, end)]
     month = F.col("year") * 12 + F.col("month")
     first, last = [F.year(b) * 12 + F.month(b) for b in bounds]
     inside = (F.col(time) >= bounds[0]) & (F.col(time) < bounds[1])
-    return read_table(spark, path).filter(month.between(first, last) & inside)
+    return read_table(spark, path, schema).filter(month.between(first, last) & inside)
 
 
 def scores_for_day(scores: DataFrame, day: str) -> DataFrame:

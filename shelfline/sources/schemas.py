@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TYPES = {
+    "string": T.StringType, "int": T.IntegerType, "double": T.DoubleType, "boolean": T.BooleanType,
+    "date": T.DateType, "timestamp": T.TimestampNTZType,
+}
+
 
 def _schema(spec: str, required: str) -> T.StructType:
     """Fields as "name type" pairs; the names in ``required`` may not be null."""
     needed = set(required.split())
-    base = T.StructType.fromDDL(spec)
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in needed) for f in base.fields])
+    fields = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind](), name not in needed) for name, kind in fields])
 
 
 # Column names and types of the landed files.
 POS = _schema(
-    "transaction_id string, customer_id string, product_id string, store_id string, timestamp timestamp_ntz, "
+    "transaction_id string, customer_id string, product_id string, store_id string, timestamp timestamp, "
     "quantity int, unit_price double, total_amount double, return_flag boolean",
     "transaction_id customer_id product_id store_id timestamp quantity unit_price total_amount return_flag",
 )
 ECOMMERCE = _schema(
     "event_id string, session_id string, customer_id string, product_id string, event_type string, "
-    "timestamp timestamp_ntz, device_type string",
+    "timestamp timestamp, device_type string",
     "event_id product_id event_type timestamp",
 )
 ERP = _schema(

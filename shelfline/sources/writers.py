@@ -23,24 +23,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def append_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Append, partitioned by year and month of ``time``.
+def _layout(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring equal partition values together before a write.
 
-    Rows are not shuffled: each task writes the months it holds. Callers with many months per
-    task can repartition by month and a salt first (see ``spread_by``).
+    Without it every task writes a file per value it holds. The hint lets the adaptive planner
+    split a hot value over several tasks and merge small ones.
     """
-    dated = df.withColumns({"year": F.year(time), "month": F.month(time)})
-    dated.write.mode("append").partitionBy("year", "month").parquet(path)
+    return df.hint("rebalance", *columns)
 
 
-def append_by_column(df: DataFrame, path: str, column: str) -> None:
-    df.write.mode("append").partitionBy(column).parquet(path)
+def append_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
+    """Append, partitioned by year and month of ``time``."""
+    dated = df.withColumns({"year": F.year(time), "month": F.month(time)})
+    _layout(dated, "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
 
 
-def spread_by(df: DataFrame, columns: Sequence[str], salts: int) -> DataFrame:
-    """Bring equal partition values together before a write, but over ``salts`` tasks, so one hot value is not one file."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    return df.repartition(*columns, salt)
+def append_by_column(df: DataFrame, path: str, column: str) -> None:
+    _layout(df, column).write.mode("append").partitionBy(column).parquet(path)
 
 
 def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
@@ -66,13 +65,14 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition: str) ->
     source = stage_table(source, "upsert-source")
     check_unique(source, keys)
     if not path_exists(spark, path):
-        source.write.partitionBy(partition).parquet(path)
+        _layout(source, partition).write.partitionBy(partition).parquet(path)
         return
     target = spark.read.option("mergeSchema", True).parquet(path)
     touched = source.select(partition).distinct()
     old = target.join(touched, partition, "left_semi").join(source.select(*keys), list(keys), "left_anti")
     merged = stage_table(old.unionByName(source, allowMissingColumns=True), "upsert-merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    out = _layout(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(partition).parquet(path)
 
 
 def upsert_customer_features(df: DataFrame, path: str) -> None:
