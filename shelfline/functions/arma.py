@@ -1,0 +1,53 @@
+"""Autoregressive moving-average fit of one daily series by two-stage least squares."""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+from pyspark import cloudpickle
+
+# Kernels travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _lags(x: np.ndarray, steps, first: int) -> np.ndarray:
+    rows = np.arange(first, len(x))
+    return np.column_stack([x[rows - k] for k in steps]) if steps else np.empty((len(rows), 0))
+
+
+def _least_squares(design: np.ndarray, y: np.ndarray) -> np.ndarray:
+    # A trace of ridge keeps collinear designs solvable.
+    return np.linalg.solve(design.T @ design + 1e-8 * np.eye(design.shape[1]), design.T @ y)
+
+
+def forecast(y, p: int, d: int, q: int, seasonal: int, horizon: int) -> tuple[np.ndarray, float]:
+    """Forecast and AIC of ARIMA(p, d, q), with a lag-7 term when ``seasonal`` is 1."""
+    level = np.asarray(y, float)
+    x = np.diff(level, n=d) if d else level.copy()
+    mean = x.mean()
+    x = x - mean
+    past = list(range(1, p + 1)) + ([7] if seasonal and p < 7 else [])
+    longest = min(max(10, p + q + 7), max(len(x) // 4, 1))
+    # Stage one: residuals of a long autoregression stand in for the shocks.
+    long = _lags(x, list(range(1, longest + 1)), longest)
+    shocks = np.zeros(len(x))
+    shocks[longest:] = x[longest:] - long @ _least_squares(long, x[longest:])
+    first = max([longest, *past, q])
+    design = np.column_stack([_lags(x, past, first), _lags(shocks, list(range(1, q + 1)), first)])
+    target = x[first:]
+    theta = _least_squares(design, target) if design.shape[1] else np.zeros(0)
+    rest = target - design @ theta
+    n = max(len(target), 1)
+    aic = n * np.log(max(rest @ rest / n, 1e-12)) + 2 * (design.shape[1] + 1)
+    values, noise = list(x), list(shocks)
+    noise[first:] = list(rest)
+    limit = 10 * max(float(np.max(np.abs(x), initial=0.0)), 1e-9)
+    for _ in range(horizon):
+        row = [values[-k] for k in past] + [noise[-k] for k in range(1, q + 1)]
+        values.append(float(np.clip(np.dot(theta, row), -limit, limit)))
+        noise.append(0.0)
+    out = np.array(values[len(x) :]) + mean
+    for back in range(d, 0, -1):
+        out = np.diff(level, n=back - 1)[-1] + np.cumsum(out)
+    return out, float(aic)

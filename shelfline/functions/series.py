@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+# Kernels travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # MacKinnon's response surface for a unit-root test with constant (one variable).
 TAU_RANGE = (-18.83, -1.61, 2.74)
 TAU_SMALL = (2.1659, 1.4412, 0.038269)
@@ -134,21 +140,21 @@ def partial_autocorrelation(r: np.ndarray) -> list[float]:
     return out
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def adf_p_value(y: pd.Series) -> pd.Series:
     return y.map(adf_p).astype("float64")
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def seasonal_strength(y: pd.Series) -> pd.Series:
     return y.map(lambda v: strength(np.asarray(v)) if len(v) >= 14 else None).astype("float64")
 
 
-@pandas_udf("weekly boolean, annual boolean")
+@pandas_udf(T.StructType([T.StructField(n, T.BooleanType()) for n in ("weekly", "annual")]))
 def spectral_flags(y: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([spectrum_peaks(np.asarray(v)) for v in y], columns=["weekly", "annual"])
 
 
-@pandas_udf("array<double>")
+@pandas_udf(T.ArrayType(T.DoubleType()))
 def pacf(r: pd.Series) -> pd.Series:
     return r.map(lambda v: partial_autocorrelation(np.asarray(v, float)))

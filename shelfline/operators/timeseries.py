@@ -6,8 +6,6 @@ windows and arrays per SKU are bounded by that.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -177,42 +175,45 @@ def adf_test(daily: DataFrame) -> DataFrame:
     ).withColumns({"is_stationary_adf": F.col("adf_p") < 0.05, "diff_is_stationary": F.col("adf_diff_p") < 0.05})
 
 
-def _weighted(products: Column, upto: Column, weight) -> Column:
-    """Sum of weight(k) · products[k] for k = 1 … upto."""
-    chosen = F.slice(products, F.lit(2), upto)
-    return F.aggregate(F.transform(chosen, lambda s, i: weight(i + 1) * s), F.lit(0.0), lambda a, v: a + v)
+def kpss_test(daily: DataFrame) -> DataFrame:
+    """Level stationarity with the automatic lag rule (30 rows or more)."""
+    rows = series_arrays(daily).filter(F.col("n") >= MIN_TEST)
+    n = F.col("n")
 
+    def total(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0.0), lambda a, v: a + v)
 
-def kpss_lag_bound(n: int) -> int:
-    """Largest lag the automatic rule can choose for series of n rows."""
-    return max(1, math.ceil(1.1447 * max(1, int(n ** (2 / 9))) ** (2 / 3) * n ** (1 / 3)))
+    def product(k: Column) -> Column:
+        left, right = F.slice("c", k + 1, n - k), F.slice("c", F.lit(1), n - k)
+        return total(F.zip_with(left, right, lambda x, y: x * y))
 
+    def weighted(upto: Column, weight) -> Column:
+        lags = F.when(upto > 0, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
+        return total(F.transform(lags, lambda k: weight(k) * product(k)))
 
-def kpss_test(daily: DataFrame) -> DataFrame:
-    """Level stationarity with the automatic lag rule, from lagged products and partial sums only."""
-    longest = daily.groupBy("product_id").count().agg(F.max("count")).first()[0] or 1  # one number
-    mean = F.avg("quantity").over(Window.partitionBy("product_id"))
-    upto = _ordered().rowsBetween(Window.unboundedPreceding, 0)
-    centred = daily.withColumn("_c", F.col("quantity") - mean)
-    partial = centred.withColumn("_s", F.sum("_c").over(upto)).groupBy("product_id").agg(F.sum(F.col("_s") * F.col("_s")).alias("eta"))
-    rows = lag_products(daily, kpss_lag_bound(longest)).filter(F.col("n") >= MIN_TEST).join(partial, "product_id")
-    n, p = F.col("n"), F.col("products")
+    centred = rows.withColumn("_m", total(F.col("values")) / n).withColumn(
+        "c", F.transform("values", lambda v: v - F.col("_m"))
+    )
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    climb = F.aggregate(
+        "c", start, lambda a, v: F.struct((a["s"] + v).alias("s"), (a["q"] + (a["s"] + v) * (a["s"] + v)).alias("q"))
+    )
     window = F.floor(F.pow(n, F.lit(2 / 9))).cast("int")
-    s0 = (F.element_at(p, 1) + 2 * _weighted(p, window, lambda k: F.lit(1.0))) / n
-    s1 = 2 * _weighted(p, window, lambda k: k.cast("double")) / n
-    ratio = F.try_divide(s1, s0)
+    base = centred.withColumns({"eta": climb["q"] / (n * n), "g0": product(F.lit(0)), "_w": window}).withColumns(
+        {"_s0": (F.col("g0") + 2 * weighted(F.col("_w"), lambda k: F.lit(1.0))) / n,
+         "_s1": 2 * weighted(F.col("_w"), lambda k: k.cast("double")) / n}
+    )
+    ratio = F.try_divide("_s1", "_s0")
     auto = F.floor(F.lit(1.1447) * F.pow(ratio * ratio, F.lit(1 / 3)) * F.pow(n, F.lit(1 / 3))).cast("int")
-    lags = F.least(F.greatest(F.coalesce(auto, F.lit(0)), F.lit(0)), (n - 1).cast("int"))
-    placed = rows.withColumn("lags", lags)
-    variance = (F.element_at(p, 1) + 2 * _weighted(p, F.col("lags"), lambda k: 1 - k / (F.col("lags") + 1))) / n
-    stat = F.try_divide(F.col("eta") / (n * n), variance)
-    value = F.col("kpss_stat")
+    placed = base.withColumn("lags", F.least(F.coalesce(auto, F.lit(0)), n - 1))
+    lags, value = F.col("lags"), F.col("kpss_stat")
+    variance = (F.col("g0") + 2 * weighted(lags, lambda k: 1 - k / (lags + 1))) / n
     p_value = F.when(value <= KPSS_CRITICAL[0], KPSS_P[0])
     for (c0, c1), (p0, p1) in zip(zip(KPSS_CRITICAL, KPSS_CRITICAL[1:]), zip(KPSS_P, KPSS_P[1:])):
         p_value = p_value.when(value <= c1, p0 + (value - c0) * ((p1 - p0) / (c1 - c0)))
     p_value = F.when(value.isNull(), 0.5).otherwise(p_value.otherwise(KPSS_P[-1]))
     return (
-        placed.withColumn("kpss_stat", stat)
+        placed.withColumn("kpss_stat", F.try_divide(F.col("eta"), variance))
         .withColumn("kpss_p", p_value)
         .select("product_id", "lags", "kpss_stat", "kpss_p", (F.col("kpss_p") > 0.05).alias("is_stationary_kpss"))
     )
