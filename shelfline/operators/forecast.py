@@ -48,7 +48,7 @@ def curve_rows(daily: DataFrame, regressors: Sequence[str] = (), minimum: int =
     )
     known = daily.filter(F.col("quantity").isNotNull()).groupBy("product_id")
     rows = known.agg(F.array_sort(F.collect_list(point)).alias("p")).filter(F.size("p") >= minimum)
-    return rows.select("product_id", *[F.transform("p", lambda p, f=f: p[f]).alias(a) for f, a in (("t", "t"), ("v", "values"), ("x", "x"))])
+    return rows.select("product_id", F.col("p.t").alias("t"), F.col("p.v").alias("values"), F.col("p.x").alias("x"))
 
 
 def _regressors(x) -> np.ndarray | None:

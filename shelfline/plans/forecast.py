@@ -41,10 +41,18 @@ def seasonal_forecast(t: Tables) -> DataFrame:
     return fc.seasonal_forecast(fc.curve_rows(promoted(t.daily_sales()), ["is_promotional_period"]))
 
 
+def with_signals(t: Tables, daily: DataFrame) -> DataFrame:
+    """Daily sales with the mean temperature of the day and the mean price index of the month."""
+    temperature = t.weather().groupBy("date").agg(F.avg("temp_c").alias("temp_c"))
+    index = t.cpi().groupBy("month").agg(F.avg("cpi_index").alias("cpi_index"))  # twelve rows
+    joined = daily.join(temperature, "date", "left").withColumn("month", F.month("date"))
+    return joined.join(F.broadcast(index), "month", "left").drop("month")
+
+
 @query("dual_season_forecast")
 def dual_season_forecast(t: Tables) -> DataFrame:
     """All SKUs: without a class table every SKU is forecast."""
-    return fc.dual_season_forecast(promoted(t.daily_sales()), None)
+    return fc.dual_season_forecast(with_signals(t, promoted(t.daily_sales())), None)
 
 
 @query("arima_benchmark")
@@ -55,13 +63,13 @@ def arima_benchmark(t: Tables) -> DataFrame:
 
 @query("hpo_grid")
 def hpo_grid(t: Tables) -> DataFrame:
-    return fc.search_parameters(promoted(t.daily_sales()), period=30)
+    return fc.search_parameters(promoted(t.daily_sales()))
 
 
 @query("hpo_best")
 def hpo_best(t: Tables) -> DataFrame:
     """The best parameters per SKU; SKUs without a finished trial keep the defaults."""
-    trials = fc.search_parameters(promoted(t.daily_sales()), period=30)
+    trials = fc.search_parameters(promoted(t.daily_sales()))
     defaults = {k: F.lit(v) for k, v in fc.DEFAULT_PARAMETERS.items()}
     return fr.best_trial(trials, ["product_id"], list(fc.SEARCH_SPACE), defaults)
 
