@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import arma, curves
 from shelfline.functions.scalars import winner_by_min
 from shelfline.operators.timeseries import series_arrays
+from shelfline.session import spread
 
 # The search space, the fixed order and the horizons of the error curve.
 SEARCH_SPACE = {
@@ -46,7 +47,7 @@ def curve_rows(daily: DataFrame, regressors: Sequence[str] = (), minimum: int =
         F.unix_date("date").alias("t"), F.col("quantity").cast("double").alias("v"),
         F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in present]).cast("array<double>").alias("x"),
     )
-    known = daily.filter(F.col("quantity").isNotNull()).groupBy("product_id")
+    known = spread(daily.filter(F.col("quantity").isNotNull()), "product_id").groupBy("product_id")
     rows = known.agg(F.array_sort(F.collect_list(point)).alias("p")).filter(F.size("p") >= minimum)
     return rows.select("product_id", F.col("p.t").alias("t"), F.col("p.v").alias("values"), F.col("p.x").alias("x"))
 
@@ -110,7 +111,7 @@ def dual_season_forecast(daily: DataFrame, classes: DataFrame | None, horizon: i
 def error_by_horizon(daily: DataFrame, classes: DataFrame, horizons: Sequence[int] = tuple(CURVE_HORIZONS)) -> DataFrame:
     """Hold-out error of each SKU for each horizon; too short series give null."""
     steps = F.explode(F.array(*[F.lit(h) for h in horizons]))
-    spread = curve_rows(daily, minimum=2).select("*", steps.alias("h")).withColumnRenamed("values", "values_")
+    tasks = curve_rows(daily, minimum=2).select("*", steps.alias("h")).withColumnRenamed("values", "values_")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,7 +126,7 @@ def error_by_horizon(daily: DataFrame, classes: DataFrame, horizons: Sequence[in
                 errors.append(test.run(0.05, 10.0, 10.0, 0.8)["mape"])
             yield pd.DataFrame({"product_id": batch["product_id"], "h": batch["h"], "mape": pd.array(errors, "Float64").astype("float64")})
 
-    measured = spread.mapInPandas(run, "product_id string, h int, mape double")
+    measured = tasks.mapInPandas(run, "product_id string, h int, mape double")
     category = F.coalesce("category", F.lit("low"))
     tier = F.when(category == "high", "A").when(category == "moderate", "B").otherwise("C")
     mape = F.when(~F.isnan("mape"), F.col("mape"))
@@ -169,9 +170,7 @@ def search_parameters(daily: DataFrame, horizon: int = 30, period: int = 7, init
         for h in SEARCH_SPACE["holidays_prior_scale"]
     ]
     rows = with_grid(curve_rows(daily, ["is_promotional_period"]), outer).withColumnRenamed("values", "values_")
-    # Series are few and heavy: spread them over all tasks instead of the few files they come from.
-    width = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(width, "product_id", *outer)
+    rows = spread(rows, "product_id", *outer)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,9 +223,8 @@ def arima_trials(daily: DataFrame, hints: DataFrame | None, horizon: int = 30) -
 
     tried = [candidate("arima", p, F.coalesce("_d", F.lit(d)), q, 0), candidate("prophet", 0, 0, 0, 0)]
     tried += [candidate("auto_arima", *c) for c in CANDIDATES]
-    spread = with_epoch_days(rows).select("product_id", "t", F.col("values").alias("values_"), F.inline(F.array(*tried)))
-    width = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(width, "product_id", "kind", "p", "d", "q", "s")
+    tasks = with_epoch_days(rows).select("product_id", "t", F.col("values").alias("values_"), F.inline(F.array(*tried)))
+    tasks = spread(tasks, "product_id", "kind", "p", "d", "q", "s")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -244,7 +242,7 @@ def arima_trials(daily: DataFrame, hints: DataFrame | None, horizon: int = 30) -
                 out.append((row.product_id, row.kind, row.p, row.d, row.q, row.s, aic, float(np.mean(np.abs(test - value) / base))))
             yield pd.DataFrame(out, columns=["product_id", "kind", "p", "d", "q", "s", "aic", "mape"])
 
-    return spread.mapInPandas(run, "product_id string, kind string, p int, d int, q int, s int, aic double, mape double")
+    return tasks.mapInPandas(run, "product_id string, kind string, p int, d int, q int, s int, aic double, mape double")
 
 
 def arima_benchmark(daily: DataFrame, hints: DataFrame | None = None, horizon: int = 30) -> DataFrame:

@@ -21,8 +21,7 @@ SLAB = "_slab"
 
 
 def _slabs(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *[F.col(k) for k in keys], *order)
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
     return stage_table(ranged.withColumn(SLAB, F.spark_partition_id()), "slabs")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from shelfline.functions import series as kernels
 from shelfline.functions.scalars import ladder
+from shelfline.session import spread
 
 # KPSS critical values with their p-values.
 KPSS_CRITICAL = [0.347, 0.463, 0.574, 0.739]
@@ -27,7 +28,7 @@ def _ordered(key="product_id", date="date"):
 def series_arrays(daily: DataFrame, key="product_id", date="date", value="quantity") -> DataFrame:
     """One row per SKU: days and values in order."""
     points = F.array_sort(F.collect_list(F.struct(F.col(date).alias("d"), F.col(value).cast("double").alias("v"))))
-    rows = daily.filter(F.col(value).isNotNull()).groupBy(key).agg(points.alias("_p"))
+    rows = spread(daily.filter(F.col(value).isNotNull()), key).groupBy(key).agg(points.alias("_p"))
     return rows.select(
         key, F.size("_p").alias("n"), F.transform("_p", lambda p: p["d"]).alias("days"),
         F.transform("_p", lambda p: p["v"]).alias("values"),

@@ -327,7 +327,12 @@ def training_frame(t: Tables) -> DataFrame:
     return stage_table(features.withColumn("label", churn_label(F.col("recency_days"), F.col("frequency"))), "training")
 
 
-@query("stratified_split")
+@query(
+    "stratified_split",
+    """WITH l AS (SELECT CAST(recency_days > 30 AND frequency < 2 AS INT) AS label, count(*) AS n FROM rfm GROUP BY 1)
+SELECT label, true AS is_test, CAST(floor(n * 0.2::DOUBLE) AS BIGINT) AS n FROM l UNION ALL SELECT label, false, n - CAST(floor(n * 0.2::DOUBLE) AS BIGINT) FROM l""",
+    "rfm",
+)
 def stratified_split(t: Tables) -> DataFrame:
     split = cu.stratified_split(training_frame(t), "customer_id", "label")
     return split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))

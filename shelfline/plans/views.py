@@ -65,16 +65,17 @@ class Tables:
 
     def daily_sales(self) -> DataFrame:
         """One row per brand and day, so a series is never longer than the calendar."""
-        by_part = self.lineitem.groupBy("l_partkey", F.to_date("l_shipdate").alias("date")).agg(
-            F.sum("l_quantity").alias("quantity")
-        )
-        part = self.part.select("p_partkey", F.col("p_brand").alias("product_id"))
         return (
-            by_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("product_id", "date")
-            .agg(F.sum("quantity").alias("quantity"))
+            self._with_part("l_quantity", part=("p_brand",))
+            .groupBy(F.col("p_brand").alias("product_id"), F.to_date("l_shipdate").alias("date"))
+            .agg(F.sum("l_quantity").alias("quantity"))
         )
 
+    def _with_part(self, *columns: str, part: tuple[str, ...]) -> DataFrame:
+        """Lineitem with part attributes. One join; the aggregates behind it combine before they shuffle."""
+        lines = self.lineitem.select("l_partkey", "l_shipdate", *columns)
+        return lines.join(self.part.select("p_partkey", *part), F.col("l_partkey") == F.col("p_partkey"))
+
     def ecommerce(self) -> DataFrame:
         return self.events.select(
             F.col("event_id").cast("string").alias("event_id"),
@@ -113,9 +114,11 @@ class Tables:
 
     def cpi(self) -> DataFrame:
         """One index value per category and calendar month seen in the sales."""
-        months = self.lineitem.groupBy("l_partkey", F.month("l_shipdate").alias("month")).agg(F.lit(1).alias("seen"))
-        part = self.part.select("p_partkey", F.col("p_type").alias("category"))
-        seen = months.join(part, F.col("l_partkey") == F.col("p_partkey")).select("category", "month").distinct()
+        seen = (
+            self._with_part(part=("p_type",))
+            .select(F.col("p_type").alias("category"), F.month("l_shipdate").alias("month"))
+            .distinct()
+        )
         m = F.col("month")
         return seen.select(
             "category", "month",

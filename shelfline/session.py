@@ -60,3 +60,12 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all shuffle partitions for compute-heavy kernels.
+
+    The explicit number keeps the adaptive planner from merging partitions that are small in
+    bytes but long in run time.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -165,4 +165,5 @@ def sample_fraction(df: DataFrame, fraction: float = 0.10, seed: int = 42) -> Da
 
 def sample_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """n rows, the same for every run: those with the smallest key hash."""
-    return df.orderBy(F.xxhash64(*keys), *keys).limit(n)
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(digest, *keys).limit(n)
