@@ -114,17 +114,37 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair (each once) in a single pass."""
-    pairs = list(combinations(columns, 2))
-    cells = [
-        F.struct(
-            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"),
-        )
-        for a, b in pairs
-    ]
-    return df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+def _whole_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and variance of the columns without nulls: one row, used to build the next aggregate."""
+    seen = df.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.var_samp(c).alias(f"v_{c}") for c in columns],
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns],
+    ).first()
+    return {c: (seen[f"m_{c}"], seen[f"v_{c}"] or 0.0) for c in columns if seen[f"n_{c}"] == 0 and seen[f"m_{c}"] is not None}
+
+
+def correlations(df: DataFrame, columns: Sequence[str], whole: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """Pearson correlation of every column pair (each once) in a single pass.
+
+    Columns without nulls share plain sums of centred products, which compile to much less code
+    than one correlation aggregate per pair; a pair with nulls uses its complete rows.
+    """
+    whole = _whole_columns(df, columns) if whole is None else whole
+    centred = df.select(
+        *columns, *[(F.col(c).cast("double") - F.lit(float(whole[c][0]))).alias(f"_c_{c}") for c in columns if c in whole]
+    )
+    squares = [F.sum(F.col(f"_c_{c}") * F.col(f"_c_{c}")).alias(f"_s_{c}") for c in columns if c in whole]
+    pairs, sums, cells = list(combinations(columns, 2)), [], []
+    for i, (a, b) in enumerate(pairs):
+        both = a in whole and b in whole
+        if both:
+            sums.append(F.sum(F.col(f"_c_{a}") * F.col(f"_c_{b}")).alias(f"_p{i}"))
+            r = F.try_divide(F.col(f"_p{i}"), F.sqrt(F.col(f"_s_{a}") * F.col(f"_s_{b}")))
+        else:
+            sums.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_p{i}"))
+            r = F.col(f"_p{i}")
+        cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("corr")))
+    return centred.agg(*squares, *sums).select(F.inline(F.array(*cells)))
 
 
 def high_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -179,15 +199,13 @@ def describe_all(df: DataFrame) -> DataFrame:
 
 def corr_matrix_top_variance(df: DataFrame, top: int = 20) -> DataFrame:
     """Full correlation matrix over the columns of largest variance; columns with nulls are left out."""
-    numbers = numeric_columns(df)
-    seen = df.agg(
-        *[F.var_samp(c).alias(f"v_{c}") for c in numbers], *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in numbers]
-    ).first()  # one row: picks columns, not data
-    whole = [c for c in numbers if seen[f"n_{c}"] == 0]
-    chosen = sorted(whole, key=lambda c: (-(seen[f"v_{c}"] or 0.0), c))[:top]
-    half = correlations(df, chosen)
-    mirrored = half.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return half.unionByName(mirrored)
+    whole = _whole_columns(df, numeric_columns(df))
+    chosen = sorted(whole, key=lambda c: (-whole[c][1], c))[:top]
+    both = F.array(
+        F.struct(F.col("col_a").alias("col_a"), F.col("col_b").alias("col_b")),
+        F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")),
+    )
+    return correlations(df, chosen, whole).select(F.inline(both), "corr")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
