@@ -11,7 +11,7 @@ import sys
 import time
 
 from shelfline.plans import catalog
-from shelfline.session import build_session
+from shelfline.session import build_session, release_staged
 
 HEADLINE = [
     "rfm_features", "demand_features", "revenue_ma7", "date_features", "join_external", "point_in_time_join",
@@ -28,7 +28,9 @@ HEADLINE = [
 def run(spark, name: str, folder: str) -> float:
     began = time.perf_counter()
     catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - began
+    took = time.perf_counter() - began
+    release_staged(spark)
+    return took
 
 
 def main() -> None:

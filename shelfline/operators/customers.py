@@ -143,13 +143,9 @@ def persona_actions(scored: DataFrame) -> DataFrame:
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Exact hold-out share per label, chosen by key hash. Ranks run over range slabs: two labels are two huge groups."""
     hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    ranked = global_rank(hashed, [F.col("_h"), F.col(key)], "_rank", keys=[label])
-    sizes = F.broadcast(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))  # one row per label
-    return (
-        ranked.join(sizes, label)
-        .withColumn("is_test", F.col("_rank") <= F.floor(F.col("_n") * F.lit(test_share)))
-        .drop("_h", "_rank", "_n")
-    )
+    ranked = global_rank(hashed, [F.col("_h"), F.col(key)], "_rank", keys=[label], with_totals=True)
+    held = F.col("_rank") <= F.floor(F.col("_rank_total") * F.lit(test_share))
+    return ranked.withColumn("is_test", held).drop("_h", "_rank", "_rank_total")
 
 
 @dataclass(frozen=True)

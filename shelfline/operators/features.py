@@ -232,7 +232,7 @@ def latest_feature_lookup(entities: DataFrame, sources: dict[str, DataFrame], no
         fresh = sources[name].filter(
             (F.col(view.time) <= at) & (F.col(view.time) >= at - F.expr(f"INTERVAL {view.ttl_days} DAYS"))
         )
-        latest = newest_per_key(fresh, view.keys, [F.col(view.time).desc(), F.xxhash64(*view.fields)])
+        latest = newest_per_key(fresh, view.keys, [F.col(view.time).desc(), F.xxhash64(*fields)])
         out = out.join(latest.select(*view.keys, *fields), list(view.keys), "left")
     return out
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.scalars import URGENCY_ORDER, ladder, rank_of, stock_urgency
-from shelfline.operators.ordered import newest_per_key, one_row, running_totals
+from shelfline.operators.ordered import newest_per_key, running_totals
 
 # Defaults of the order quantity formulas.
 SAFETY_FACTOR = 1.65
@@ -29,27 +29,19 @@ def abc_class(
     """
     if not 0 < a < b < 1:
         raise ValueError("thresholds must satisfy 0 < a < b < 1")
-    money = F.col(revenue).cast(T.DecimalType(18, 4))
-    base = skus.withColumn("_money", money)
-    total = one_row(base, revenue=F.sum("_money"))
-    running = running_totals(base, [F.col("_money").desc(), F.col(sku)], {"_upto": F.col("_money")})
-    whole = F.col("_total.revenue")
-    share = F.col("_upto").cast("double") / whole.cast("double")
-    none = whole == 0
+    base = skus.withColumn("_money", F.col(revenue).cast(T.DecimalType(18, 4)))
+    order = [F.col("_money").desc(), F.col(sku)]
+    running = running_totals(base, order, {"_upto": F.col("_money")}, with_totals=True)
+    whole, upto = F.col("_upto_total"), F.col("_upto")
     cut_a, cut_b = [whole * F.lit(str(x)).cast(T.DecimalType(6, 4)) for x in (a, b)]
-    return (
-        running.withColumn("_total", total)
-        .withColumns(
-            {
-                "revenue_pct": F.when(none, 0.0).otherwise(F.col("_money").cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))),
-                "cumulative_pct": F.when(none, 0.0).otherwise(F.try_divide(F.col("_upto").cast("double"), whole.cast("double"))),
-                "abc_class": F.when(none, "C").otherwise(
-                    ladder([(F.col("_upto") <= cut_a, "A"), (F.col("_upto") <= cut_b, "B")], "C")
-                ),
-            }
-        )
-        .drop("_money", "_upto", "_total")
-    )
+
+    def share(part: Column) -> Column:
+        return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+
+    abc = F.when(whole == 0, "C").otherwise(ladder([(upto <= cut_a, "A"), (upto <= cut_b, "B")], "C"))
+    return running.withColumns(
+        {"revenue_pct": share(F.col("_money")), "cumulative_pct": share(upto), "abc_class": abc}
+    ).drop("_money", "_upto", "_upto_total")
 
 
 def xyz_class(demand: DataFrame, sku: str, value: str, x: float = 0.5, y: float = 1.0) -> DataFrame:
@@ -121,7 +113,7 @@ def dead_stock(
     lead_days = F.col(lead) if lead in stock.columns else F.lit(14)
     score = F.least(F.lit(50.0), F.col(days) / F.greatest(lead_days, F.lit(1)))
     return stock.withColumns(
-        {"is_dead_stock": F.col(days) > threshold, "dead_stock_score": F.bround(score, 2)}
+        {"dead_stock_flag": F.col(days) > threshold, "dead_stock_score": F.bround(score, 2)}
     )
 
 
@@ -148,7 +140,7 @@ def reorder_alerts(
     """Days until stock-out, urgency of the rounded days, and the reorder point flag."""
     out = demand_per_sku(inventory, demand, sku)
     days = F.bround(F.col(stock) / F.col("avg_daily_demand"), 1)
-    below = F.col(stock) <= F.col(reorder_point) if reorder_point in inventory.columns else F.lit(False)
+    below = F.col(stock) < F.col(reorder_point) if reorder_point in inventory.columns else F.lit(False)
     return out.withColumn("days_until_stockout", days).withColumns(
         {"urgency": stock_urgency(F.col("days_until_stockout")), "below_reorder_point": below}
     )

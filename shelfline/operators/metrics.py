@@ -77,9 +77,8 @@ def roc_points(scored: DataFrame, score: str = "prediction", label: str = "targe
 def precision_at_top(scored: DataFrame, key: str, score: str = "prediction", label: str = "target", share: float = 0.2) -> DataFrame:
     """Mean label of the top share by score; ties go to the smaller key."""
     slim = scored.select(key, score, label)
-    cut = slim.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(share)))).scalar()
-    ranked = global_rank(slim, [F.col(score).desc(), F.col(key)], "_rank")
-    kept = ranked.withColumn("_cut", cut).filter(F.col("_rank") <= F.col("_cut"))
+    ranked = global_rank(slim, [F.col(score).desc(), F.col(key)], "_rank", with_totals=True)
+    kept = ranked.filter(F.col("_rank") <= F.greatest(F.lit(1), F.floor(F.col("_rank_total") * F.lit(share))))
     return kept.agg(F.count(F.lit(1)).alias("n_top"), F.avg(label).alias("precision_at_top20"))
 
 

@@ -66,9 +66,11 @@ def running_totals(
     )
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
+def global_rank(
+    df: DataFrame, order: Sequence[Column], name: str = "rank", keys: Sequence[str] = (), with_totals: bool = False
+) -> DataFrame:
     """1-based row number in ``order`` within ``keys``, without a one-task sort."""
-    return running_totals(df, order, {name: F.lit(1).cast("long")}, keys)
+    return running_totals(df, order, {name: F.lit(1).cast("long")}, keys, with_totals)
 
 
 def as_of_join(

@@ -147,7 +147,7 @@ def service_level_eoq(t: Tables) -> DataFrame:
     "dead_stock",
     """
 SELECT product_id AS sku_id, CAST(snapshot_date - last_sale AS INT) AS days_since_last_sale, lead_time_days AS avg_lead_time,
-       snapshot_date - last_sale > 180 AS is_dead_stock,
+       snapshot_date - last_sale > 180 AS dead_stock_flag,
        round_even(least(50.0::DOUBLE, (snapshot_date - last_sale)::DOUBLE / greatest(lead_time_days, 1)), 2) AS dead_stock_score
 FROM erp WHERE last_sale IS NOT NULL""",
     "erp",
@@ -218,7 +218,7 @@ def demand_lookup_p50(t: Tables) -> DataFrame:
     "reorder_alerts",
     ALERT_SQL
     + """SELECT sku_id, current_stock, reorder_point, round(avg_daily_demand, 6) AS avg_daily_demand,
-       days_until_stockout, urgency, current_stock <= reorder_point AS below_reorder_point FROM al""",
+       days_until_stockout, urgency, current_stock < reorder_point AS below_reorder_point FROM al""",
     "erp",
 )
 def reorder_alerts(t: Tables) -> DataFrame:

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
+_STAGED: list[str] = []
+_local_scratch: str | None = None
 
 
 def build_session(app: str = "shelfline", cores: str | int = "*", partitions: int | None = None) -> SparkSession:
@@ -41,9 +43,9 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SCRATCH_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfline-")
-    spark.conf.set(SCRATCH_SETTING, folder)
-    return folder
+    global _local_scratch
+    _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="shelfline-")
+    return _local_scratch
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -58,10 +60,20 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     (such as partition numbers) stay fixed when an executor is lost.
     """
     path = scratch_path(df.sparkSession, label)
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged. Call it once their results are written or read."""
+    released = 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        released += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return released
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows over all shuffle partitions for compute-heavy kernels.
 
