@@ -74,11 +74,19 @@ class Curve:
         return np.array(grams)[back], np.array(moments)[back], np.array(squares)[back]
 
     def solve(self, sums, penalty, ends):
-        """Coefficients and residual deviation per cutoff."""
+        """Coefficients, residual deviation and inverse system per cutoff."""
         g, b, s = sums
-        beta = np.linalg.solve(g + penalty[:, :, None] * np.eye(g.shape[1]), b[..., None])[..., 0]
-        rest = s - 2 * (beta * b).sum(1) + np.einsum("cp,cpq,cq->c", beta, g, beta)
-        return beta, np.sqrt(np.maximum(rest, 0) / np.maximum(np.asarray(ends), 1))
+        inverse = np.linalg.inv(g + penalty[:, :, None] * np.eye(g.shape[1]))
+        beta = (inverse @ b[..., None])[..., 0]
+        rest = s - 2 * (beta * b).sum(1) + ((g @ beta[..., None])[..., 0] * beta).sum(1)
+        # Columns that the penalty leaves free use up degrees of freedom.
+        used = (inverse * g).sum((1, 2))
+        return beta, np.sqrt(np.maximum(rest, 0) / np.maximum(np.asarray(ends) - used, 1)), inverse
+
+    @staticmethod
+    def half_width(x, sigma, inverse):
+        """Half of the 90% interval: noise plus the uncertainty of the coefficients."""
+        return Z90 * sigma * np.sqrt(1 + np.maximum(((x @ inverse) * x).sum(-1), 0))
 
     def back(self, value):
         return np.expm1(value) if self.log else value * self.scale
@@ -96,8 +104,8 @@ def cut_positions(days, horizon, period, initial):
 
 def fit(curve: Curve, end: int, trend=0.05, season=10.0, extra=10.0, reach=0.8):
     penalty = curve.penalties(trend, season, extra, reach, [end])
-    beta, sigma = curve.solve(curve.sums([end]), penalty, [end])
-    return beta[0], float(sigma[0])
+    beta, sigma, inverse = curve.solve(curve.sums([end]), penalty, [end])
+    return beta[0], float(sigma[0]), inverse[0]
 
 
 class Backtest:
@@ -114,9 +122,9 @@ class Backtest:
 
     def run(self, trend, season, extra, reach) -> dict[str, float]:
         penalty = self.curve.penalties(trend, season, extra, reach, self.ends)
-        beta, sigma = self.curve.solve(self.sums, penalty, self.ends)
-        middle = np.einsum("chp,cp->ch", self.future, beta)
-        half = Z90 * sigma[:, None]
+        beta, sigma, inverse = self.curve.solve(self.sums, penalty, self.ends)
+        middle = (self.future @ beta[..., None])[..., 0]
+        half = self.curve.half_width(self.future, sigma[:, None], inverse)
         value, low, high = (self.curve.back(v)[self.valid] for v in (middle, middle - half, middle + half))
         actual = self.actual[self.valid]
         error = np.abs(actual - value)

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,7 +154,8 @@ class ChurnModel:
     features: tuple[str, ...]
     means: tuple[float, ...]
     stds: tuple[float, ...]
-    logistic: LogisticRegressionModel
+    coefficients: tuple[float, ...] = ()
+    intercept: float = 0.0
 
     def scaled(self) -> dict[str, Column]:
         """Standardised features; a constant feature becomes zero."""
@@ -183,19 +183,23 @@ def fit_churn_model(train: DataFrame, features: Sequence[str] = FEATURES, label:
     if not 0 < ones < n:
         raise ValueError("training needs both labels")
     model = ChurnModel(
-        tuple(features), tuple(stats[f"m_{c}"] for c in features), tuple(stats[f"s_{c}"] for c in features), None
+        tuple(features), tuple(stats[f"m_{c}"] for c in features), tuple(stats[f"s_{c}"] for c in features)
     )
     weight = F.when(F.col(label) == 1, n / (2 * ones)).otherwise(n / (2 * (n - ones)))
     logistic = LogisticRegression(
         featuresCol="_x", labelCol=label, weightCol="_w", regParam=1.0 / n, elasticNetParam=0.0,
         standardization=False, maxIter=100,
     ).fit(_assembled(train, model.scaled()).withColumn("_w", weight))
-    return replace(model, logistic=logistic)
+    weights = tuple(float(c) for c in logistic.coefficients)
+    return replace(model, coefficients=weights, intercept=float(logistic.intercept))
 
 
 def score_churn(model: ChurnModel, df: DataFrame) -> DataFrame:
-    out = model.logistic.transform(_assembled(df, model.scaled()))
-    return out.select(*df.columns, vector_to_array("probability")[1].alias("churn_proba"))
+    """Probability as a plain expression, which stays in generated code."""
+    logit = F.lit(model.intercept)
+    for coefficient, scaled in zip(model.coefficients, model.scaled().values()):
+        logit = logit + F.lit(coefficient) * scaled
+    return df.withColumn("churn_proba", 1 / (1 + F.exp(-logit)))
 
 
 def evaluate_churn(model: ChurnModel, test: DataFrame, key: str = "customer_id", label: str = "label") -> DataFrame:
@@ -205,7 +209,7 @@ def evaluate_churn(model: ChurnModel, test: DataFrame, key: str = "customer_id",
 
 
 def feature_importance(model: ChurnModel, spark: SparkSession) -> DataFrame:
-    pairs = list(zip(model.features, (float(c) for c in model.logistic.coefficients)))
+    pairs = list(zip(model.features, model.coefficients))
     frame = spark.createDataFrame(pairs, "feature string, coefficient double")
     return frame.orderBy(F.abs("coefficient").desc(), "feature")
 
@@ -213,8 +217,8 @@ def feature_importance(model: ChurnModel, spark: SparkSession) -> DataFrame:
 def top_contributions(model: ChurnModel, scored: DataFrame, n_customers: int = 20, n_features: int = 5) -> DataFrame:
     """Exact linear contributions of the riskiest customers, largest first."""
     cells = []
-    for (name, scaled), coefficient in zip(model.scaled().items(), model.logistic.coefficients):
-        value = F.lit(float(coefficient)) * scaled
+    for (name, scaled), coefficient in zip(model.scaled().items(), model.coefficients):
+        value = F.lit(coefficient) * scaled
         cells.append(F.struct((-F.abs(value)).alias("rank"), F.lit(name).alias("feature"), value.alias("contribution")))
     ordered = F.transform(
         F.slice(F.array_sort(F.array(*cells)), 1, n_features),

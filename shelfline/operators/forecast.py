@@ -73,7 +73,7 @@ def seasonal_forecast(
                 x = _regressors(row.x)
                 curve = curves.Curve(row.t, row.values_, x, weekly=weekly, yearly=yearly, log=log)
                 n = len(curve.raw)
-                beta, sigma = curves.fit(curve, n)
+                beta, sigma, inverse = curves.fit(curve, n)
                 ahead = curve.days[-1] + np.arange(1, horizon + 1)
                 future = curve.design(ahead, None if x is None else np.tile(x[:, -1:], (1, horizon)))
                 middle = future @ beta
@@ -81,7 +81,7 @@ def seasonal_forecast(
                 if not len(ends):
                     ends, tails = np.array([n - min(horizon, n // 2)]), np.array([n])
                 scores = curves.Backtest(curve, ends, tails).run(0.05, 10.0, 10.0, 0.8)
-                half = curves.Z90 * sigma
+                half = curve.half_width(future, sigma, inverse)
                 yield pd.DataFrame(
                     {
                         "product_id": row.product_id, "day": ahead.astype("int32"),
@@ -234,7 +234,7 @@ def arima_trials(daily: DataFrame, hints: DataFrame | None, horizon: int = 30) -
                 train, test = y[:-horizon], y[-horizon:]
                 if row.kind == "prophet":
                     curve = curves.Curve(row.t[:-horizon], train, log=True)
-                    beta, _ = curves.fit(curve, len(train))
+                    beta, *_ = curves.fit(curve, len(train))
                     value, aic = curve.back(curve.design(np.asarray(row.t[-horizon:], float)) @ beta), 0.0
                 else:
                     value, aic = arma.forecast(train, row.p, row.d, row.q, row.s, horizon)
@@ -267,7 +267,7 @@ def quantile_forecast(rows: DataFrame, horizon: int = 90) -> DataFrame:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 curve = curves.Curve(row.t, row.values_, yearly=3)
-                beta, _ = curves.fit(curve, len(curve.raw))
+                beta, *_ = curves.fit(curve, len(curve.raw))
                 steps = np.arange(1, horizon + 1)
                 middle = curve.back(curve.design(curve.days[-1] + steps) @ beta)
                 low, mid, high = np.quantile(curve.raw - curve.back(curve.x @ beta), QUANTILES)

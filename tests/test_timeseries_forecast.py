@@ -1,0 +1,253 @@
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.functions import arma, curves, series
+from shelfline.operators import forecast as fc
+from shelfline.operators import timeseries as ts
+
+START = dt.date(2023, 1, 1)
+
+
+def frame(spark, **named):
+    data = [(k, START + dt.timedelta(days=i), float(v)) for k, values in named.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(data, "product_id string, date date, quantity double")
+
+
+def noise(n=200, seed=42):
+    return np.random.default_rng(seed).normal(size=n)
+
+
+def sinusoid(n=350, amplitude=50.0, spread=0.5, seed=42):
+    return 100 + amplitude * np.sin(2 * np.pi * np.arange(n) / 7) + np.random.default_rng(seed).normal(0, spread, n)
+
+
+def test_stationarity_of_noise_and_walk(spark):
+    walk = np.cumsum(noise(400, 3))
+    got = {r["product_id"]: r for r in ts.stationarity(frame(spark, noise=noise(), walk=walk, short=noise(29))).collect()}
+    assert set(got) == {"noise", "walk"}
+    assert got["noise"]["adf_p"] < 0.05 and got["noise"]["is_stationary_kpss"] and not got["noise"]["recommend_differencing"]
+    assert got["walk"]["adf_p"] > 0.05 and got["walk"]["recommend_differencing"] and got["walk"]["diff_is_stationary"]
+
+
+def test_unit_root_p_value_at_published_critical_values():
+    # 1%, 5% and 10% points of the test with constant for large samples.
+    for tau, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
+        assert series.unit_root_p(tau) == pytest.approx(p, abs=2e-3)
+    assert series.unit_root_p(-20) == 0 and series.unit_root_p(3) == 1
+
+
+def test_adf_chooses_the_lag_like_separate_regressions():
+    x = np.cumsum(noise(120, 8)) * 0.3 + noise(120, 9)
+    dx, longest = np.diff(x), int(np.ceil(12 * (120 / 100) ** 0.25))
+    scores = []
+    for lag in range(longest + 1):
+        a, y = series._lagged(x, dx, lag, longest), dx[longest:]
+        rest = y - a @ np.linalg.lstsq(a, y, rcond=None)[0]
+        scores.append(len(y) * np.log(rest @ rest / len(y)) + 2 * a.shape[1])
+    best = int(np.argmin(scores))
+    a, y = series._lagged(x, dx, best, best), dx[best:]
+    beta = np.linalg.lstsq(a, y, rcond=None)[0]
+    rest = y - a @ beta
+    tau = beta[1] / np.sqrt(rest @ rest / (len(y) - a.shape[1]) * np.linalg.inv(a.T @ a)[1, 1])
+    assert series.adf_p(x) == pytest.approx(series.unit_root_p(tau))
+    assert series.adf_p(np.ones(50)) is None
+
+
+def test_kpss_matches_direct_formula(spark):
+    x = np.cumsum(noise(150, 4)) * 0.2 + noise(150, 5)
+    e, n = x - x.mean(), len(x)
+    gamma = [e[k:] @ e[: n - k] for k in range(n)]
+    window = int(n ** (2 / 9))
+    s0 = gamma[0] / n + sum(2 * gamma[k] / n for k in range(1, window + 1))
+    s1 = sum(2 * k * gamma[k] / n for k in range(1, window + 1))
+    lags = int(1.1447 * ((s1 / s0) ** 2) ** (1 / 3) * n ** (1 / 3))
+    var = (gamma[0] + 2 * sum((1 - k / (lags + 1)) * gamma[k] for k in range(1, lags + 1))) / n
+    got = ts.kpss_test(frame(spark, s=x)).first()
+    assert got["lags"] == lags and got["kpss_stat"] == pytest.approx((np.cumsum(e) ** 2).sum() / n**2 / var)
+    assert 0.01 <= got["kpss_p"] <= 0.1
+
+
+def test_seasonal_strength_classes(spark):
+    got = {r["product_id"]: (r["seasonal_strength"], r["category"]) for r in ts.strength_classes(
+        frame(spark, wave=sinusoid(), noise=noise(300), short=noise(13))).collect()}
+    assert set(got) == {"wave", "noise"}
+    assert got["wave"][0] > 0.95 and got["wave"][1] == "high" and got["noise"][0] < 0.5
+
+
+def test_decomposition_resists_an_outlier():
+    y = sinusoid(140, spread=0.1)
+    y[70] += 500
+    season, trend = series.seasonal_trend(y)
+    assert np.abs(season - 50 * np.sin(2 * np.pi * np.arange(140) / 7)).max() < 3
+    assert np.abs(trend[60:80] - 100).max() < 3
+
+
+def test_loess_reproduces_a_line():
+    x = np.arange(20.0)
+    np.testing.assert_allclose(series.loess(3 + 2 * x, 7, np.ones(20), np.arange(-1.0, 21)), 3 + 2 * np.arange(-1.0, 21))
+
+
+def test_autocorrelations_of_an_ar1(spark):
+    x = np.zeros(600)
+    for i, e in enumerate(noise(600, 6)):
+        x[i] = 0.7 * x[i - 1] + e
+    df = frame(spark, s=x)
+    acf = {r["lag"]: r for r in ts.autocorrelation(df, 10).collect()}
+    c = x - x.mean()
+    for k in range(11):
+        assert acf[k]["acf"] == pytest.approx(c[k:] @ c[: len(c) - k] / (c @ c))
+    assert acf[1]["half_width"] == pytest.approx(1.96 / np.sqrt(600))
+    assert acf[2]["half_width"] == pytest.approx(1.96 * np.sqrt((1 + 2 * acf[1]["acf"] ** 2) / 600))
+    pacf = {r["lag"]: r["pacf"] for r in ts.partial_autocorrelation(df).collect()}
+    r = [acf[k]["acf"] for k in range(11)]
+    for k in (1, 2, 5):
+        system = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
+        assert pacf[k] == pytest.approx(np.linalg.solve(system, r[1 : k + 1])[-1])
+    assert len(pacf) == 30
+
+
+def test_short_series_limit_lags(spark):
+    df = frame(spark, s=noise(12))
+    assert max(r["lag"] for r in ts.autocorrelation(df).collect()) == 10
+    assert max(r["lag"] for r in ts.partial_autocorrelation(df).collect()) == 5
+
+
+def test_spectrum(spark):
+    t = np.arange(800)
+    both = 10 * np.sin(2 * np.pi * t / 7) + 10 * np.sin(2 * np.pi * t / 365) + noise(800)
+    got = {r["product_id"]: (r["weekly"], r["annual"], r["dual"]) for r in ts.dual_seasonality(
+        frame(spark, both=both, week=sinusoid(400), short=noise(29))).collect()}
+    assert got == {"both": (True, True, True), "week": (True, False, False)}
+
+
+def test_sliding_windows_and_scaling(spark):
+    df = frame(spark, s=np.arange(60.0), short=np.arange(57.0))
+    got = ts.sliding_windows(df).orderBy("date").collect()
+    assert len(got) == 3 and got[0]["x"] == list(range(28)) and got[0]["y"] == list(range(28, 58))
+    z = ts.train_only_zscore(df).orderBy("date").collect()
+    assert {r["product_id"] for r in z} == {"s"} and sum(r["in_train"] for r in z) == 2 + 57
+    assert z[0]["train_mean"] == pytest.approx(np.mean(np.arange(59))) and z[0]["train_std"] == pytest.approx(np.std(np.arange(59)) + 1e-8)
+
+
+def test_holdout_and_cutoffs(spark):
+    df = frame(spark, s=np.arange(90.0), short=np.arange(89.0))
+    split = ts.holdout_split(df)
+    assert split.filter("is_test").count() == 30 and split.count() == 90
+    long = frame(spark, s=np.arange(300.0), tiny=np.arange(200.0))
+    cuts = [r["cutoff"] for r in ts.rolling_cutoffs(long).orderBy(F.desc("cutoff")).collect()]
+    end = START + dt.timedelta(days=299)
+    assert cuts == [end - dt.timedelta(days=30 + 30 * k) for k in range(3)]
+
+
+@pytest.mark.parametrize("period", [7, 30, 45])
+def test_cutoff_sizes_match_brute_force(spark, period):
+    days = sorted(np.random.default_rng(1).choice(400, 260, replace=False).tolist())
+    df = spark.createDataFrame([("s", START + dt.timedelta(days=d), 1.0) for d in days], "product_id string, date date, quantity double")
+    got = ts.cutoff_sizes(df, ts.rolling_cutoffs(df, period=period), period=period).collect()
+    assert len(got) > 3
+    for r in got:
+        c = (r["cutoff"] - START).days
+        assert r["n_train"] == sum(d <= c for d in days) and r["n_test"] == sum(c < d <= c + 30 for d in days)
+
+
+def test_differencing_and_analysis_series(spark):
+    df = frame(spark, a=[1.0, 4.0, 9.0])
+    assert [r["diff"] for r in ts.differenced(df).orderBy("date").collect()] == [3.0, 5.0]
+    flags = spark.createDataFrame([("a", True)], "product_id string, recommend_differencing boolean")
+    assert ts.analysis_series(df, flags).count() == 2
+    assert ts.analysis_series(df, flags.withColumn("recommend_differencing", F.lit(False))).count() == 3
+
+
+def weekly(n=400, base=100.0, seed=0):
+    return np.maximum(1, base + 15 * np.sin(2 * np.pi * np.arange(n) / 7) + np.random.default_rng(seed).normal(0, 3, n))
+
+
+def test_seasonal_forecast_follows_the_week(spark):
+    df = frame(spark, s=weekly(), short=weekly(59))
+    got = fc.seasonal_forecast(fc.curve_rows(df)).orderBy("ds").collect()
+    assert {r["product_id"] for r in got} == {"s"} and len(got) == 30 and got[0]["ds"] == START + dt.timedelta(days=400)
+    truth = 100 + 15 * np.sin(2 * np.pi * np.arange(400, 430) / 7)
+    assert np.abs(np.array([r["yhat"] for r in got]) - truth).max() < 8
+    assert got[0]["mape"] < 0.08 and 0.7 < got[0]["coverage"] <= 1
+    assert all(r["yhat_lower"] < r["yhat"] < r["yhat_upper"] for r in got)
+
+
+def test_backtest_equals_refitting_at_every_cutoff():
+    y, t = weekly(260), np.arange(260.0)
+    curve = curves.Curve(t, y, yearly=2)
+    ends, tails = curves.cut_positions(t, 30, 30, 180)
+    fast = curves.Backtest(curve, ends, tails).run(0.05, 10.0, 10.0, 0.8)
+    errors = []
+    for end, tail in zip(ends, tails):
+        beta, *_ = curves.fit(curve, end)
+        errors += list(np.abs(curve.back(curve.x[end:tail] @ beta) - y[end:tail]) / y[end:tail])
+    assert fast["mape"] == pytest.approx(np.mean(errors))
+
+
+def test_regressors_and_multiplicative_target(spark):
+    promo = (np.arange(300) % 10 < 3).astype(float)
+    y = weekly(300) * (1 + promo)
+    df = frame(spark, s=y).withColumn("is_promotional_period", (F.datediff("date", F.lit(START)) % 10) < 3)
+    plain = fc.seasonal_forecast(fc.curve_rows(df)).first()["mape"]
+    helped = fc.seasonal_forecast(fc.curve_rows(df, ["is_promotional_period", "absent"]), log=True).first()["mape"]
+    assert helped < plain / 2
+
+
+def test_dual_season_uses_only_high_classes(spark):
+    df = frame(spark, a=weekly(100), b=weekly(100))
+    classes = spark.createDataFrame([("a", "high"), ("b", "low")], "product_id string, category string")
+    assert {r[0] for r in fc.dual_season_forecast(df, classes, 5).select("product_id").collect()} == {"a"}
+    assert fc.dual_season_forecast(df, None, 5).count() == 10
+
+
+def test_search_covers_the_grid(spark):
+    df = frame(spark, s=weekly(260), short=weekly(150), zero=np.zeros(260))
+    trials = fc.search_parameters(df)
+    got = {r["product_id"]: r for r in trials.groupBy("product_id").agg(
+        F.count("*").alias("n"), F.countDistinct("trial_id").alias("d"), F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.min("cv_mape").alias("m")).collect()}
+    assert all((r["n"], r["d"]) == (640, 640) for r in got.values())
+    assert got["s"]["ok"] == 640 and got["s"]["m"] < 0.1 and got["short"]["ok"] == 0 and got["zero"]["ok"] == 0
+
+
+def test_grid_size(spark):
+    assert fc.with_grid(spark.range(2)).count() == 1280
+
+
+def test_arma_recovers_an_autoregression():
+    rng, x = np.random.default_rng(2), np.zeros(1500)
+    for i in range(2, 1500):
+        x[i] = 0.6 * x[i - 1] - 0.3 * x[i - 2] + rng.normal()
+    value, aic = arma.forecast(x, 2, 0, 0, 0, 1)
+    assert value[0] == pytest.approx(0.6 * x[-1] - 0.3 * x[-2], abs=0.15)
+    assert aic < arma.forecast(x, 0, 0, 1, 0, 1)[1]
+
+
+def test_differenced_forecast_continues_a_trend():
+    value, _ = arma.forecast(np.arange(100.0) * 2, 0, 1, 0, 1, 5)
+    np.testing.assert_allclose(value, 198 + 2 * np.arange(1, 6), atol=0.5)
+
+
+def test_arima_benchmark(spark):
+    got = fc.arima_benchmark(frame(spark, s=weekly(200), short=weekly(89))).collect()
+    assert [r["product_id"] for r in got] == ["s"]
+    errors = {k: got[0][f"{k}_mape"] for k in ("arima", "prophet", "auto_arima")}
+    assert got[0]["winner"] == min(errors, key=errors.get) and min(errors.values()) < 0.1
+
+
+def test_error_by_horizon_skips_short_series(spark):
+    classes = spark.createDataFrame([("s", "high")], "product_id string, category string")
+    errors = fc.error_by_horizon(frame(spark, s=weekly(70), other=weekly(100)), classes)
+    got = {(r["product_id"], r["h"]): (r["tier"], r["mape"]) for r in errors.collect()}
+    assert got[("s", 7)][0] == "A" and got[("s", 7)][1] < 0.15 and got[("s", 14)] == ("A", None) and got[("other", 30)][0] == "C"
+    assert {r["product_id"] for r in fc.stable_skus(errors).collect()} <= {"other"}
+    assert fc.tier_error_curve(errors).filter("tier = 'A' AND h = 30").first()["mape"] is None
+
+
+def test_quantiles_are_ordered_and_widen(spark):
+    got = fc.quantile_forecast(fc.curve_rows(frame(spark, s=weekly(200), low=np.abs(noise(100))))).collect()
+    assert len(got) == 180 and all(0 <= r["p10"] <= r["p50"] <= r["p90"] for r in got)
+    width = {r["step"]: r["p90"] - r["p10"] for r in got if r["product_id"] == "s"}
+    assert width[90] > width[1]
