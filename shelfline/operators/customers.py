@@ -68,8 +68,8 @@ def cluster_profiles(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def with_profile(clustered: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Left join on the eight-row dimension; unknown clusters get the default profile."""
-    out = clustered.join(F.broadcast(profiles), "cluster_id", "left")
+    """Left join on the dimension; unknown clusters get the default profile."""
+    out = clustered.join(profiles, "cluster_id", "left")
     return out.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in UNKNOWN_PROFILE.items()})
 
 

@@ -132,7 +132,7 @@ def scoreboard(results: DataFrame, target: float) -> DataFrame:
 def experiment_summary(experiments: DataFrame, runs: DataFrame, keep: int = 20) -> DataFrame:
     """Best runs per experiment with verdict; an experiment without runs yields one NOT RUN row."""
     signed = F.when(F.col("direction") == "minimise", F.col("value")).otherwise(-F.col("value"))
-    known = runs.filter(F.col("value").isNotNull()).join(F.broadcast(experiments), "experiment")
+    known = runs.filter(F.col("value").isNotNull()).join(experiments, "experiment")
     # The per-group rank limit runs before the shuffle, so one busy experiment stays small.
     place = F.row_number().over(Window.partitionBy("experiment").orderBy("_s", "run_name"))
     best = known.withColumn("_s", signed).withColumn("_r", place).filter(F.col("_r") <= keep)

@@ -377,7 +377,7 @@ def date_format_iso(t: Tables) -> DataFrame:
 @query(
     "math_scalars",
     """SELECT p_partkey, round(sqrt(p_retailprice), 6) AS root, round(ln(1 + p_retailprice), 6) AS log1p, round(ln(p_retailprice), 6) AS log,
-       abs(p_size - 25) AS distance, greatest(least(p_size, 40), 10) AS clipped, round(sin(2 * pi() * p_size / 7), 6) AS wave FROM part""",
+       abs(p_size - 25) AS distance, greatest(least(p_size, 40), 10) AS clipped, round(sin(2 * pi() * p_size / 7), 6) + 0.0 AS wave FROM part""",
 )
 def math_scalars(t: Tables) -> DataFrame:
     price, size = F.col("p_retailprice"), F.col("p_size")
