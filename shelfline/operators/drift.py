@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.ordered import running_totals, unpivot_numeric
 from shelfline.operators.profiling import numeric_columns
+from shelfline.session import stage_table
 
 # Drift limits and the floor of a bin's share.
 PSI_LIMIT = 0.20
@@ -32,42 +33,45 @@ def both_sides(reference: DataFrame, production: DataFrame, columns: Sequence[st
 
 
 def value_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Smallest and largest value of each column over both sides."""
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"), F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi")
-        )
-        for c in columns
-    ]
+    """Smallest and largest value of each column over both sides: one row per column."""
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    cells = [F.struct(F.lit(c).alias("column"), F.min(c).alias("lo"), F.max(c).alias("hi")) for c in columns]
     return clean.agg(F.array(*cells).alias("b")).select(F.inline("b"))
 
 
+def sided_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long form (column, value) with a count of one on the row's side; NaN and null are dropped."""
+    long = unpivot_numeric(df, columns, ["side"]).filter("value IS NOT NULL")
+    counts = [(F.col("side") == s).cast("int").alias(n) for s, n in zip(SIDES, ("n_ref", "n_prod"))]
+    return long.select("column", "value", *counts)
+
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts on both sides per column and distinct value."""
+    return sided_values(df, columns).groupBy("column", "value").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_prod").alias("n_prod")
+    )
+
+
 def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin by comparison with the inner edges; the largest value falls in the last bin."""
     step = (hi - lo) / bins
     return sum(((value >= lo + step * i).cast("int") for i in range(1, bins)), F.lit(0))
 
 
-def bin_shares(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+def bin_shares(valued: DataFrame, bounds: DataFrame, bins: int) -> DataFrame:
     """Counts per column and bin on both sides, over the full grid of bins, with side totals."""
-    bounds = value_bounds(df, columns)  # one row per column
-    long = unpivot_numeric(df, columns, ["side"]).filter("value IS NOT NULL")
-    placed = long.join(F.broadcast(bounds), "column").select(
-        "column", "side", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin")
-    )
-    counts = placed.groupBy("column", "bin").agg(
-        F.count_if(F.col("side") == SIDES[0]).alias("n_ref"), F.count_if(F.col("side") == SIDES[1]).alias("n_prod")
+    placed = valued.join(F.broadcast(bounds), "column").withColumn(
+        "bin", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins)
     )
+    counts = placed.groupBy("column", "bin").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_prod").alias("n_prod"))
     grid = bounds.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     filled = grid.join(counts, ["column", "bin"], "left").fillna(0, ["n_ref", "n_prod"])
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("all_ref"), F.sum("n_prod").alias("all_prod"))
     return filled.join(totals, "column", "left").fillna(0, ["all_ref", "all_prod"])
 
 
-def psi(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Population stability index per column."""
-    shares = bin_shares(df, columns, bins)
+def _psi(shares: DataFrame) -> DataFrame:
     floor = F.lit(SHARE_FLOOR)
     p = F.greatest(F.try_divide("n_ref", "all_ref"), floor)
     q = F.greatest(F.try_divide("n_prod", "all_prod"), floor)
@@ -76,11 +80,16 @@ def psi(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     return shares.groupBy("column").agg(F.when(empty, 0.0).otherwise(value).alias("psi"))
 
 
+def psi(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """Population stability index per column."""
+    return _psi(bin_shares(sided_values(df, columns), value_bounds(df, columns), bins))
+
+
 def js_divergence(df: DataFrame, columns: Sequence[str], bins: int = 20, form: str = "distance") -> DataFrame:
     """Jensen–Shannon distance (or divergence) over shared bins, natural logarithm."""
     if form not in ("distance", "divergence"):
         raise ValueError(form)
-    shares = bin_shares(df, columns, bins)
+    shares = bin_shares(sided_values(df, columns), value_bounds(df, columns), bins)
     p, q = [
         (F.col(f"n_{s}") / F.col(f"all_{s}") + SHARE_FLOOR) / (1 + bins * SHARE_FLOOR) for s in ("ref", "prod")
     ]
@@ -101,12 +110,7 @@ def kolmogorov_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.least(series, F.lit(1.0)), F.lit(0.0)))
 
 
-def ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic and p-value per column."""
-    long = unpivot_numeric(df, columns, ["side"]).filter("value IS NOT NULL")
-    counts = long.groupBy("column", "value").agg(
-        F.count_if(F.col("side") == SIDES[0]).alias("n_ref"), F.count_if(F.col("side") == SIDES[1]).alias("n_prod")
-    )
+def _ks(counts: DataFrame) -> DataFrame:
     run = running_totals(
         counts, [F.col("value")], {"ref": F.col("n_ref"), "prod": F.col("n_prod")}, keys=["column"], with_totals=True
     )
@@ -118,9 +122,19 @@ def ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return found.select("column", F.coalesce("ks", F.lit(0.0)).alias("ks"), p.alias("p_value"))
 
 
+def ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Two-sample Kolmogorov–Smirnov statistic and p-value per column."""
+    return _ks(value_counts(df, columns))
+
+
 def drift_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """PSI, KS and the drift flag per column, rounded for reporting."""
-    joined = psi(df, columns).join(ks(df, columns), "column")
+    """PSI, KS and the drift flag per column, rounded for reporting.
+
+    Both statistics read one staged table of value counts, so the input is scanned once.
+    """
+    counts = stage_table(value_counts(df, columns), "value-counts")
+    bounds = counts.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    joined = _psi(bin_shares(counts, bounds, 10)).join(_ks(counts), "column")
     flag = (F.col("psi") > PSI_LIMIT) | (F.col("p_value") < P_LIMIT)
     return joined.select(
         "column", F.bround("psi", 4).alias("psi"), F.bround("ks", 4).alias("ks"),
