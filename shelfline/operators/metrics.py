@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,11 +84,15 @@ def precision_at_top(scored: DataFrame, key: str, score: str = "prediction", lab
     return kept.agg(F.count(F.lit(1)).alias("n_top"), F.avg(label).alias("precision_at_top20"))
 
 
-def regression_metrics(forecast: DataFrame, actual: str = "y", predicted: str = "yhat", lower: str | None = None, upper: str | None = None) -> DataFrame:
+def regression_metrics(
+    forecast: DataFrame, actual: str = "y", predicted: str = "yhat", lower: str | None = None,
+    upper: str | None = None, keys: Sequence[str] = (),
+) -> DataFrame:
+    """RMSE, MAE, MAPE in percent, R² and interval coverage, for the whole table or per ``keys``."""
     y, p = F.col(actual), F.col(predicted)
     residual = (y - p) * (y - p)
     coverage = F.lit(0.9) if lower is None else F.avg(y.between(F.col(lower), F.col(upper)).cast("int"))
-    return forecast.filter(y.isNotNull() & p.isNotNull()).agg(
+    return forecast.filter(y.isNotNull() & p.isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(residual)).alias("rmse"),
         F.avg(F.abs(y - p)).alias("mae"),

@@ -316,14 +316,18 @@ m AS (SELECT 'demand_lag1' AS model, 'mape' AS metric, avg(abs(y - l1) / y) AS v
 """
 
 
+def lag_metrics(t: Tables) -> DataFrame:
+    """Errors of the one-day and the seven-day lag as demand models, in one pass."""
+    models = F.array(
+        *[F.struct(F.lit(f"demand_lag{n}").alias("model"), F.col(f"l{n}").alias("yhat")) for n in (1, 7)]
+    )
+    return mt.regression_metrics(naive_forecasts(t).select("y", F.inline(models)), keys=["model"])
+
+
 def model_metrics(t: Tables) -> DataFrame:
     """Long (model, metric, value) rows of two naive demand models and the churn scores."""
-    fc = naive_forecasts(t)
     parts = [
-        mt.regression_metrics(fc, "y", p).select(
-            F.lit(name).alias("model"), F.lit("mape").alias("metric"), (F.col("mape_pct") / 100).alias("value")
-        )
-        for name, p in (("demand_lag1", "l1"), ("demand_lag7", "l7"))
+        lag_metrics(t).select("model", F.lit("mape").alias("metric"), (F.col("mape_pct") / 100).alias("value"))
     ]
     churn = mt.classification_metrics(scored(t))
     parts += [
@@ -369,9 +373,10 @@ SELECT model, direction, round(champion, 6) AS champion, round(challenger, 6) AS
 )
 def champion_challenger(t: Tables) -> DataFrame:
     """Two naive demand models, and the churn scores against a fixed champion."""
-    fc = naive_forecasts(t)
-    old, new = [mt.regression_metrics(fc, "y", c).select(F.col("mape_pct") / 100).scalar() for c in ("l7", "l1")]
-    area = mt.auc(scored(t)).select("auc")
+    mape = {n: F.max(F.when(F.col("model") == f"demand_lag{n}", F.col("mape_pct") / 100)) for n in (1, 7)}
+    demand = lag_metrics(t).agg(F.struct(mape[7].alias("old"), mape[1].alias("new")).alias("m")).scalar()
+    area = mt.auc(scored(t)).select("auc", demand.alias("m"))
+    old, new = F.col("m.old"), F.col("m.new")
     row = area.select(
         F.array(
             F.struct(F.lit("demand").alias("model"), F.lit("minimise").alias("direction"), old.alias("champion"),
@@ -396,15 +401,13 @@ SELECT round(cur, 6) AS mape_current, round(base, 6) AS mape_baseline, (SELECT r
     "drift_features daily_sales",
 )
 def retrain_decision(t: Tables) -> DataFrame:
-    fc = naive_forecasts(t)
-    new_year = F.lit("2000-01-01").cast("date")
-    current, base = [
-        mt.regression_metrics(fc.filter(c), "y", "l7").select(F.col("mape_pct") / 100).scalar()
-        for c in (F.col("date") >= new_year, F.col("date") < new_year)
-    ]
-    summary = drift.psi_summary(drift.psi(t.drift_features(), COLUMNS)).select(
-        "summary", current.alias("mape_current"), base.alias("mape_baseline")
+    period = F.when(F.col("date") >= F.lit("2000-01-01").cast("date"), "current").otherwise("baseline")
+    measured = mt.regression_metrics(naive_forecasts(t).withColumn("period", period), "y", "l7", keys=["period"])
+    mapes = measured.agg(
+        F.struct(*[F.max(F.when(F.col("period") == n, F.col("mape_pct") / 100)).alias(f"mape_{n}") for n in ("current", "baseline")]).alias("m")
     )
+    psis = drift.psi_summary(drift.psi(t.drift_features(), COLUMNS))
+    summary = psis.withColumn("_m", mapes.scalar()).select("summary", "_m.mape_current", "_m.mape_baseline")
     out = drift.retrain_decision(summary).drop("summary")
     return out.withColumns({"mape_current": F.round("mape_current", 6), "mape_baseline": F.round("mape_baseline", 6)})
 
@@ -428,13 +431,16 @@ UNION ALL SELECT 'dq_score', suite, round(score, 6) FROM s""",
 def monitor_metrics_rows(t: Tables) -> DataFrame:
     fc = naive_forecasts(t).filter("l7 IS NOT NULL")
     error = F.abs(F.col("y") - F.col("l7")) / F.col("y")
+    # Every value also under an internal name, which must not be reported.
+    psi_names = F.array(
+        *[F.struct(F.concat(F.lit(p), "column").alias("name"), F.col("psi").alias("value")) for p in ("psi_", "psi__")]
+    )
     stock = t.erp().agg(
         F.lit("stockout_rate").alias("name"),
         (F.count_if(F.col("stock_quantity") == 0) / F.count(F.lit(1)) * 100).alias("value"),
     )
     parts = [
-        drift.psi(t.drift_features(), COLUMNS).select(F.concat(F.lit("psi_"), "column").alias("name"), F.col("psi").alias("value")),
-        drift.psi(t.drift_features(), COLUMNS[:1]).select(F.lit("psi__overall_drift_score").alias("name"), F.col("psi").alias("value")),
+        drift.psi(t.drift_features(), COLUMNS).select(F.inline(psi_names)),
         mt.auc(scored(t)).select(F.lit("churn_auc").alias("name"), F.col("auc").alias("value")),
         fc.groupBy(F.concat(F.lit("demand_mape_"), "product_id").alias("name")).agg((F.avg(error) * 100).alias("value")),
         stock,
