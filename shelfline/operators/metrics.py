@@ -30,36 +30,49 @@ def score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def _ranked_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """Score counts with the number of negatives at or below each score."""
+    return running_totals(score_counts(scored, score, label), [F.col("score")], {"_neg": F.col("neg")})
+
+
+def _auc() -> Column:
+    """Share of positive-negative pairs in the right order; ties count half."""
+    wins = F.col("pos") * ((F.col("_neg") - F.col("neg")) + F.col("neg") / 2)
+    return F.try_divide(F.sum(wins), (F.sum("pos") * F.sum("neg")).cast("double"))
+
+
 def auc(scored: DataFrame, score: str = "prediction", label: str = "target") -> DataFrame:
     """Area under the ROC curve with tied scores averaged; null when one class is missing."""
-    counts = score_counts(scored, score, label)
-    run = running_totals(counts, [F.col("score")], {"_neg": F.col("neg")})
-    wins = F.col("pos") * ((F.col("_neg") - F.col("neg")) + F.col("neg") / 2)
-    return run.agg(
-        F.try_divide(F.sum(wins), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
-        F.sum("pos").alias("n_positive"), F.sum("neg").alias("n_negative"),
+    return _ranked_counts(scored, score, label).agg(
+        _auc().alias("auc"), F.sum("pos").alias("n_positive"), F.sum("neg").alias("n_negative")
     )
 
 
 def classification_metrics(scored: DataFrame, score: str = "prediction", label: str = "target") -> DataFrame:
-    """AUC, F1, precision, recall, log-loss and the confusion matrix at 0.5."""
-    hit, truth = F.col(score) >= 0.5, F.col(label) == 1
-    p = F.greatest(F.least(F.col(score), F.lit(1 - 1e-15)), F.lit(1e-15))
-    loss = -F.when(truth, F.ln(p)).otherwise(F.ln(1 - p))
-    counts = scored.agg(
-        F.count_if(hit & truth).alias("tp"), F.count_if(hit & ~truth).alias("fp"),
-        F.count_if(~hit & truth).alias("fn"), F.count_if(~hit & ~truth).alias("tn"),
-        F.avg(loss).alias("log_loss"),
-    )
+    """AUC, F1, precision, recall, log-loss and the confusion matrix at 0.5.
+
+    All of them follow from the counts per distinct score, so the scores are read once.
+    """
+    hit = F.col("score") >= 0.5
+    p = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-15))
+    loss = F.sum(-(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(1 - p)))
     zero = F.lit(0.0)
-    precision = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fp")), zero)
-    recall = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fn")), zero)
-    f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), zero)
-    area = auc(scored, score, label).select("auc").scalar()
-    return (
-        counts.withColumns({"precision": precision, "recall": recall, "f1": f1})
-        .withColumn("auc", area)
-        .withColumn("drifted", F.coalesce(F.col("auc") < AUC_FLOOR, F.lit(False)))
+
+    def total(side: str, wanted: Column) -> Column:
+        return F.coalesce(F.sum(F.when(wanted, F.col(side))), F.lit(0))
+
+    counts = _ranked_counts(scored, score, label).agg(
+        total("pos", hit).alias("tp"), total("neg", hit).alias("fp"),
+        total("pos", ~hit).alias("fn"), total("neg", ~hit).alias("tn"),
+        F.try_divide(loss, F.sum(F.col("pos") + F.col("neg"))).alias("log_loss"), _auc().alias("auc"),
+    )
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return counts.select(
+        "tp", "fp", "fn", "tn", "log_loss",
+        F.coalesce(F.try_divide(tp, tp + fp), zero).alias("precision"),
+        F.coalesce(F.try_divide(tp, tp + fn), zero).alias("recall"),
+        F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), zero).alias("f1"),
+        "auc", F.coalesce(F.col("auc") < AUC_FLOOR, F.lit(False)).alias("drifted"),
     )
 
 

@@ -329,11 +329,8 @@ def model_metrics(t: Tables) -> DataFrame:
     parts = [
         lag_metrics(t).select("model", F.lit("mape").alias("metric"), (F.col("mape_pct") / 100).alias("value"))
     ]
-    churn = mt.classification_metrics(scored(t))
-    parts += [
-        churn.select(F.lit("churn").alias("model"), F.lit(m).alias("metric"), F.col(m).alias("value"))
-        for m in ("auc", "f1")
-    ]
+    named = F.array(*[F.struct(F.lit("churn").alias("model"), F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("auc", "f1")])
+    parts.append(mt.classification_metrics(scored(t)).select(F.inline(named)))
     top = mt.precision_at_top(scored(t), "customer_id")
     parts.append(
         top.select(F.lit("churn").alias("model"), F.lit("precision_at_top20").alias("metric"), F.col("precision_at_top20").alias("value"))
