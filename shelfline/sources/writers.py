@@ -68,8 +68,11 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition: str) ->
         _layout(source, partition).write.partitionBy(partition).parquet(path)
         return
     target = spark.read.option("mergeSchema", True).parquet(path)
-    touched = source.select(partition).distinct()
-    old = target.join(touched, partition, "left_semi").join(source.select(*keys), list(keys), "left_anti")
+    # One value per touched partition, no more than the table has folders: literals prune the scan.
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"rows without a value for {partition}")
+    old = target.filter(F.col(partition).isin(touched)).join(source.select(*keys), list(keys), "left_anti")
     merged = stage_table(old.unionByName(source, allowMissingColumns=True), "upsert-merged")
     out = _layout(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     out.partitionBy(partition).parquet(path)

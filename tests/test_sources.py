@@ -165,3 +165,30 @@ def test_external_table_by_day(spark, tmp_path):
     writers.append_by_column(df, path, "date")
     writers.append_by_column(df.withColumn("extra", F.lit("x")), path, "date")
     assert sorted(str(r["extra"]) for r in readers.read_table(spark, path).collect()) == ["None", "x"]
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    upsert(spark, path, [("a", D(2024, 1, d), 1.0) for d in range(1, 11)])
+    plans = []
+    original = writers.stage_table
+
+    def spy(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return original(df, label)
+
+    monkeypatch.setattr(writers, "stage_table", spy)
+    upsert(spark, path, [("a", D(2024, 1, 3), 2.0)])
+    plan = dict(plans)["upsert-merged"]
+    assert "snapshot_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "silver").glob("snapshot_date=*")}
+    upsert(spark, path, [("a", D(2024, 1, 4), 2.0)])
+    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "silver").glob("snapshot_date=*")}
+    assert [k for k in before if before[k] != after[k]] == ["snapshot_date=2024-01-04"]
+
+
+def test_upsert_needs_a_partition_value(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    upsert(spark, path, [("a", D(2024, 1, 1), 1.0)])
+    with pytest.raises(ValueError):
+        upsert(spark, path, [("b", None, 1.0)])
