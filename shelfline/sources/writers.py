@@ -6,9 +6,10 @@ import datetime
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.ordered import newest_per_key
 from shelfline.session import stage_table
 
 AUDIT_SCHEMA = (
@@ -54,26 +55,33 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"source has duplicate keys {list(keys)}")
 
 
-def upsert(source: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
+def upsert(
+    source: DataFrame, path: str, keys: Sequence[str], partition: str, newest: Sequence[Column] | None = None
+) -> None:
     """Insert new keys and replace known ones in a partitioned table.
 
     ``partition`` must be a key or a function of one, so that a key never changes partition.
     Only the partitions the source touches are read and rewritten, from a staged copy. The first
     write creates the table; any failure is raised, never turned into an overwrite.
+    With ``newest`` a known row is replaced only if the new one comes first in that order.
     """
     spark = source.sparkSession
     source = stage_table(source, "upsert-source")
     check_unique(source, keys)
-    if not path_exists(spark, path):
-        _layout(source, partition).write.partitionBy(partition).parquet(path)
-        return
-    target = spark.read.option("mergeSchema", True).parquet(path)
     # One value per touched partition, no more than the table has folders: literals prune the scan.
     touched = [r[0] for r in source.select(partition).distinct().collect()]
     if None in touched:
         raise ValueError(f"rows without a value for {partition}")
-    old = target.filter(F.col(partition).isin(touched)).join(source.select(*keys), list(keys), "left_anti")
-    merged = stage_table(old.unionByName(source, allowMissingColumns=True), "upsert-merged")
+    if not path_exists(spark, path):
+        _layout(source, partition).write.partitionBy(partition).parquet(path)
+        return
+    target = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(partition).isin(touched))
+    if newest:
+        merged = newest_per_key(target.unionByName(source, allowMissingColumns=True), keys, newest)
+    else:
+        kept = target.join(source.select(*keys), list(keys), "left_anti")
+        merged = kept.unionByName(source, allowMissingColumns=True)
+    merged = stage_table(merged, "upsert-merged")
     out = _layout(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     out.partitionBy(partition).parquet(path)
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from shelfline.operators.frames import enrich_metadata
 from shelfline.operators.ordered import newest_per_key
-from shelfline.sources.writers import path_exists, upsert
+from shelfline.sources.writers import upsert
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -32,16 +32,11 @@ def stream_upsert(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition: str, newest: Sequence[Column]
 ) -> None:
     """Keep the newest row per key in a table. A batch that runs twice leaves the same table."""
-    fields = [c for c in stream.columns]
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         rows = newest_per_key(batch, keys, newest)
-        if path_exists(spark, path):
-            known = spark.read.parquet(path).select(fields)
-            same = known.join(rows.select(*keys), list(keys), "left_semi")
-            rows = newest_per_key(rows.unionByName(same), keys, newest)
-        upsert(rows, path, keys, partition)
+        if not rows.isEmpty():
+            upsert(rows, path, keys, partition, newest)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
