@@ -6,10 +6,12 @@ spreads SKUs, or SKU × candidate rows, over all tasks; a kernel only sees one s
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from shelfline.functions.scalars import winner_by_min
 from shelfline.operators.timeseries import series_arrays
 from shelfline.session import spread
 
+# Row functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The search space, the fixed order and the horizons of the error curve.
 SEARCH_SPACE = {
     "changepoint_prior_scale": [0.001, 0.01, 0.05, 0.1, 0.5],
