@@ -59,18 +59,35 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage at reliable storage, so values that depend on the physical layout
     (such as partition numbers) stay fixed when an executor is lost.
     """
+    return stage_at(df, label)[0]
+
+
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`stage_table`, with the path, so that a loop can drop a copy it is done with."""
     path = scratch_path(df.sparkSession, label)
     _STAGED.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete one staged table that no later step reads."""
+    if path in _STAGED:
+        _STAGED.remove(path)
+    delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through the file system that its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def release_staged(spark: SparkSession) -> int:
     """Delete the tables this process has staged. Call it once their results are written or read."""
     released = 0
     while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        released += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+        released += bool(delete_path(spark, _STAGED.pop()))
     return released
 
 
