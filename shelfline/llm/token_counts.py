@@ -92,13 +92,16 @@ def count_between(processor, text: str, start: int, end: int, first: int, last:
     """Tokens of chunk [start, end) that lie in [first, last); None when one of them is no boundary of its encoding."""
     if start == first and end == last:
         return len(processor.encode(text[start:end]))
-    pieces = processor.encode(text[start:end], out_type="immutable_proto").pieces
-    begins = [start + p.begin for p in pieces]
-    edges = set(begins) | {end}
-    if first not in edges or last not in edges:
+    part = text[start:end]
+    pieces = processor.encode(part, return_type="proto").pieces
+    # The library counts offsets in bytes of UTF-8.
+    low, high, whole = (len(part[: k - start].encode("utf-8", "surrogatepass")) for k in (first, last, end))
+    begins = [p.begin for p in pieces]
+    edges = set(begins) | {whole}
+    if low not in edges or high not in edges:
         return None
-    # Byte pieces of one character share its offset, except the last, which spans it; none crosses an edge.
-    return sum(first <= b < last for b in begins)
+    # Byte pieces of one character share its offset; no character crosses an edge.
+    return sum(low <= b < high for b in begins)
 
 
 def counts(docs: DataFrame, model: bytes, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
