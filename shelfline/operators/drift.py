@@ -86,16 +86,16 @@ def psi(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
 
 
 def js_divergence(df: DataFrame, columns: Sequence[str], bins: int = 20, form: str = "distance") -> DataFrame:
-    """Jensen–Shannon distance (or divergence) over shared bins, natural logarithm."""
+    """Jensen–Shannon distance (or divergence) over shared bins, natural logarithm; 0 when a side is empty, as for PSI."""
     if form not in ("distance", "divergence"):
         raise ValueError(form)
     shares = bin_shares(sided_values(df, columns), value_bounds(df, columns), bins)
     p, q = [
-        (F.col(f"n_{s}") / F.col(f"all_{s}") + SHARE_FLOOR) / (1 + bins * SHARE_FLOOR) for s in ("ref", "prod")
+        (F.try_divide(f"n_{s}", f"all_{s}") + SHARE_FLOOR) / (1 + bins * SHARE_FLOOR) for s in ("ref", "prod")
     ]
     middle = (p + q) / 2
     total = F.greatest((F.sum(p * F.ln(p / middle)) + F.sum(q * F.ln(q / middle))) / 2, F.lit(0.0))
-    return shares.groupBy("column").agg((F.sqrt(total) if form == "distance" else total).alias("js"))
+    return shares.groupBy("column").agg(F.coalesce(F.sqrt(total) if form == "distance" else total, F.lit(0.0)).alias("js"))
 
 
 def kolmogorov_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
@@ -124,7 +124,14 @@ def _ks(counts: DataFrame) -> DataFrame:
 
 def ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov statistic and p-value per column."""
-    return _ks(value_counts(df, columns))
+    found = _with_all(_ks(value_counts(df, columns)), columns)
+    return found.select("column", F.coalesce("ks", F.lit(0.0)).alias("ks"), F.coalesce("p_value", F.lit(1.0)).alias("p_value"))
+
+
+def _with_all(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row for each column, also for those that are null on both sides and so have no values."""
+    names = found.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(found, "column", "left")
 
 
 def drift_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,6 +142,7 @@ def drift_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = stage_table(value_counts(df, columns), "value-counts")
     bounds = counts.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     joined = _psi(bin_shares(counts, bounds, 10)).join(_ks(counts), "column")
+    joined = _with_all(joined, columns).na.fill({"psi": 0.0, "ks": 0.0, "p_value": 1.0})
     flag = (F.col("psi") > PSI_LIMIT) | (F.col("p_value") < P_LIMIT)
     return joined.select(
         "column", F.bround("psi", 4).alias("psi"), F.bround("ks", 4).alias("ks"),

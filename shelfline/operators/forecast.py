@@ -33,7 +33,7 @@ SEARCH_SPACE = {
 }
 DEFAULT_PARAMETERS = {
     "changepoint_prior_scale": 0.05, "seasonality_prior_scale": 10.0, "holidays_prior_scale": 10.0,
-    "seasonality_mode": "additive", "changepoint_range": 0.80,
+    "seasonality_mode": "multiplicative", "changepoint_range": 0.90,
 }
 FIXED_ORDER = (2, 1, 1)
 CURVE_HORIZONS = [1, 3, 7, 14, 30]

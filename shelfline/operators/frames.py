@@ -8,8 +8,7 @@ from pyspark.sql.window import Window
 
 from shelfline.functions.scalars import gate_status, mape_band
 
-# Batch limits of the batch interfaces and the forecast horizon range.
-BATCH_LIMITS = {"churn": 1000, "segment": 5000, "inventory": 500}
+# The forecast horizon range.
 HORIZONS = (1, 90)
 # Demand response to promotion, price and temperature.
 PRICE_ELASTICITY = -1.5
@@ -36,14 +35,11 @@ def clean_ids(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.trim(column)).filter(F.col(column) != "")
 
 
-def check_batch(df: DataFrame, column: str, kind: str) -> DataFrame:
-    """Cleaned request batch; empty or oversized batches are an error. Looks at no more rows than the limit."""
+def check_batch(df: DataFrame, column: str) -> DataFrame:
+    """Cleaned batch of ids of any size; an empty one is an error."""
     cleaned = clean_ids(df, column)
-    seen = cleaned.limit(BATCH_LIMITS[kind] + 1).count()
-    if seen == 0:
+    if not cleaned.take(1):
         raise ValueError("no ids left after cleaning")
-    if seen > BATCH_LIMITS[kind]:
-        raise ValueError(f"batch exceeds {BATCH_LIMITS[kind]} ids")
     return cleaned
 
 

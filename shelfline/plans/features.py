@@ -15,6 +15,7 @@ from shelfline.sources import readers
 LOOKUP_AT = "2000-06-15"
 
 HOLIDAY_SQL = ", ".join(f"(DATE '{d}')" for d in cal.holiday_dates())
+NAMED_HOLIDAY_SQL = ", ".join("(DATE '{}', '{}', '{}')".format(d, n.replace("'", "''"), k) for d, n, k in cal.HOLIDAYS)
 
 
 def sku_daily(t: Tables) -> DataFrame:
@@ -205,16 +206,16 @@ def date_features(t: Tables) -> DataFrame:
 @query(
     "load_holidays",
     f"""
-SELECT h AS date, count(event_id) AS n_events
-FROM (VALUES {HOLIDAY_SQL}) v(h) LEFT JOIN events ON CAST(ts AS DATE) = h GROUP BY 1""",
+SELECT h AS date, name, type, count(event_id) AS n_events
+FROM (VALUES {NAMED_HOLIDAY_SQL}) v(h, name, type) LEFT JOIN events ON CAST(ts AS DATE) = h GROUP BY ALL""",
 )
 def load_holidays(t: Tables) -> DataFrame:
     """Events on each holiday; the calendar is written as JSON and read back by the loader."""
     holidays = readers.load_holidays(t.spark, readers.write_holiday_file(t.spark))
     daily = event_days(t)
     # The calendar is a fixed list of 37 days.
-    return F.broadcast(holidays.select("date")).join(daily, "date", "left").select(
-        "date", F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events")
+    return F.broadcast(holidays).join(daily, "date", "left").select(
+        "date", "name", "type", F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import scalars as sc
 from shelfline.operators import frames as fr
 from shelfline.plans.monitoring import FORECAST_SQL, naive_forecasts
+from shelfline.functions.scalars import percent_error
 from shelfline.plans.registry import query
 from shelfline.plans.views import Tables
 
@@ -70,7 +71,7 @@ def semi_join_top_skus(t: Tables) -> DataFrame:
 
 
 TRIAL_SQL = "WITH " + FORECAST_SQL.strip() + """,
-tr AS (SELECT product_id, h AS trial_id, h AS lag_days, avg(abs(y - p) / y) AS m, count(*) AS n
+tr AS (SELECT product_id, h AS trial_id, h AS lag_days, avg(abs(y - p) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) AS m, count(*) AS n
        FROM (SELECT product_id, y, 1 AS h, l1 AS p FROM fc UNION ALL SELECT product_id, y, 7, l7 FROM fc UNION ALL SELECT product_id, y, 30, l30 FROM fc)
        WHERE p IS NOT NULL GROUP BY 1, 2),
 tl AS (SELECT product_id, product_id || '/' || lpad(trial_id::VARCHAR, 2, '0') AS trial_id, lag_days,
@@ -82,7 +83,7 @@ def trials(t: Tables) -> DataFrame:
     """One trial per SKU and lag; some are marked failed by rule."""
     steps = F.array(*[F.struct(F.lit(h).alias("lag_days"), F.col(f"l{h}").alias("p")) for h in (1, 7, 30)])
     rows = naive_forecasts(t).select("product_id", "y", F.inline(steps)).filter("p IS NOT NULL")
-    measured = rows.groupBy("product_id", "lag_days").agg(F.avg(F.abs(F.col("y") - F.col("p")) / F.col("y")).alias("cv_mape"))
+    measured = rows.groupBy("product_id", "lag_days").agg(F.avg(percent_error(F.col("y"), F.col("p"))).alias("cv_mape"))
     failed = (F.substring("product_id", -1, 1).isin("5", "6") & (F.col("lag_days") < 30)) | (F.col("product_id") == "Brand#1")
     return measured.select(
         "product_id", F.concat("product_id", F.lit("/"), F.lpad(F.col("lag_days").cast("string"), 2, "0")).alias("trial_id"),
@@ -114,8 +115,8 @@ def best_trial(t: Tables) -> DataFrame:
 @query(
     "winner_by_min",
     "WITH " + FORECAST_SQL.strip()
-    + """, m AS (SELECT product_id, avg(abs(y - l1) / y) FILTER (WHERE l1 IS NOT NULL) AS a, avg(abs(y - l7) / y) FILTER (WHERE l7 IS NOT NULL) AS p,
-            avg(abs(y - l30) / y) FILTER (WHERE l30 IS NOT NULL) AS u FROM fc GROUP BY 1),
+    + """, m AS (SELECT product_id, avg(abs(y - l1) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) FILTER (WHERE l1 IS NOT NULL) AS a, avg(abs(y - l7) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) FILTER (WHERE l7 IS NOT NULL) AS p,
+            avg(abs(y - l30) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) FILTER (WHERE l30 IS NOT NULL) AS u FROM fc GROUP BY 1),
 n AS (SELECT product_id, CASE WHEN product_id = 'Brand#2' OR right(product_id, 1) = '3' THEN NULL ELSE a END AS a,
              CASE WHEN product_id = 'Brand#2' THEN NULL ELSE p END AS p, CASE WHEN product_id = 'Brand#2' THEN NULL ELSE u END AS u FROM m)
 SELECT product_id, CASE WHEN a IS NOT NULL AND a <= coalesce(p, a) AND a <= coalesce(u, a) THEN 'arima'
@@ -126,7 +127,7 @@ def winner_by_min(t: Tables) -> DataFrame:
     """The smallest of three errors per SKU; a few are NaN by rule."""
     fc = naive_forecasts(t)
     errors = fc.groupBy("product_id").agg(
-        *[F.avg(F.abs(F.col("y") - F.col(c)) / F.col("y")).alias(n) for n, c in (("arima", "l1"), ("prophet", "l7"), ("auto_arima", "l30"))]
+        *[F.avg(percent_error(F.col("y"), F.col(c))).alias(n) for n, c in (("arima", "l1"), ("prophet", "l7"), ("auto_arima", "l30"))]
     )
     all_gone = F.col("product_id") == "Brand#2"
     nan = F.lit(float("nan"))
@@ -205,12 +206,12 @@ def whatif_demand(t: Tables) -> DataFrame:
     QUANTILE_SQL
     + """SELECT 'Forecast' AS sheet, product_id, strftime(date, '%Y-%m-%d') AS date, p50 AS value, NULL AS band FROM qf
 UNION ALL SELECT 'MAPE Summary', product_id, NULL, round(m, 6), CASE WHEN m <= 10 THEN 'green' WHEN m <= 15 THEN 'amber' ELSE 'red' END
-FROM (SELECT product_id, avg(abs(y - l7) / y) * 100 AS m FROM fc WHERE l7 IS NOT NULL GROUP BY 1)""",
+FROM (SELECT product_id, avg(abs(y - l7) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) * 100 AS m FROM fc WHERE l7 IS NOT NULL GROUP BY 1)""",
     "daily_sales",
 )
 def forecast_workbook_tables(t: Tables) -> DataFrame:
     fc = naive_forecasts(t).filter("l7 IS NOT NULL")
-    mapes = fc.groupBy("product_id").agg((F.avg(F.abs(F.col("y") - F.col("l7")) / F.col("y")) * 100).alias("mape"))
+    mapes = fc.groupBy("product_id").agg((F.avg(percent_error(F.col("y"), F.col("l7"))) * 100).alias("mape"))
     forecast, summary = fr.workbook_tables(quantile_forecast(t), mapes)
     left = forecast.select(F.lit("Forecast").alias("sheet"), "product_id", "date", F.col("p50").alias("value"))
     right = summary.select(F.lit("MAPE Summary").alias("sheet"), "product_id", F.round("mape", 6).alias("value"), "band")
@@ -256,7 +257,7 @@ def category_mix(t: Tables) -> DataFrame:
 @query(
     "retrain_history_summary",
     "WITH " + FORECAST_SQL.strip()
-    + """, r AS (SELECT strftime(date, '%Y-%m') AS run, count(*) / 40.0::DOUBLE AS duration_min, avg(abs(y - l7) / y) AS mape_before, avg(abs(y - l1) / y) AS mape_after
+    + """, r AS (SELECT strftime(date, '%Y-%m') AS run, count(*) / 40.0::DOUBLE AS duration_min, avg(abs(y - l7) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) AS mape_before, avg(abs(y - l1) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) AS mape_after
         FROM fc WHERE l7 IS NOT NULL GROUP BY 1)
 SELECT run, round(duration_min, 6) AS duration_min, duration_min <= 20 AS within_sla, round(mape_before, 6) AS mape_before, round(mape_after, 6) AS mape_after,
        mape_after < mape_before AS improved FROM r""",
@@ -265,7 +266,7 @@ SELECT run, round(duration_min, 6) AS duration_min, duration_min <= 20 AS within
 def retrain_history_summary(t: Tables) -> DataFrame:
     """One run per month: its duration against the 20-minute limit and the error before and after."""
     month = F.date_format("date", "yyyy-MM").alias("run")
-    error = {n: F.avg(F.abs(F.col("y") - F.col(c)) / F.col("y")) for n, c in (("mape_before", "l7"), ("mape_after", "l1"))}
+    error = {n: F.avg(percent_error(F.col("y"), F.col(c))) for n, c in (("mape_before", "l7"), ("mape_after", "l1"))}
     runs = naive_forecasts(t).filter("l7 IS NOT NULL").groupBy(month).agg(
         (F.count(F.lit(1)) / F.lit(40.0)).alias("duration_min"), *[e.alias(n) for n, e in error.items()]
     )
@@ -279,14 +280,14 @@ def retrain_history_summary(t: Tables) -> DataFrame:
 @query(
     "baseline_scoreboard",
     "WITH " + FORECAST_SQL.strip()
-    + """, m AS (SELECT product_id AS model, avg(abs(y - l7) / y) AS mape, right(product_id, 1) = '9' AS failed FROM fc WHERE l7 IS NOT NULL GROUP BY 1),
+    + """, m AS (SELECT product_id AS model, avg(abs(y - l7) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) AS mape, right(product_id, 1) = '9' AS failed FROM fc WHERE l7 IS NOT NULL GROUP BY 1),
 b AS (SELECT model, CASE WHEN failed THEN 1.0::DOUBLE ELSE mape END AS value FROM m UNION ALL SELECT 'average', avg(mape) FILTER (WHERE NOT failed) FROM m)
 SELECT model, 'mape' AS metric, round(value, 6) AS value, 0.10::DOUBLE AS target, CASE WHEN value <= 0.10 THEN 'PASS' ELSE 'FAIL' END AS status FROM b""",
     "daily_sales",
 )
 def baseline_scoreboard(t: Tables) -> DataFrame:
     fc = naive_forecasts(t).filter("l7 IS NOT NULL")
-    results = fc.groupBy(F.col("product_id").alias("model")).agg(F.avg(F.abs(F.col("y") - F.col("l7")) / F.col("y")).alias("mape"))
+    results = fc.groupBy(F.col("product_id").alias("model")).agg(F.avg(percent_error(F.col("y"), F.col("l7"))).alias("mape"))
     out = fr.scoreboard(results.withColumn("failed", F.endswith("model", F.lit("9"))), 0.10)
     return out.withColumn("value", F.round("value", 6))
 
@@ -295,7 +296,7 @@ def baseline_scoreboard(t: Tables) -> DataFrame:
     "experiment_summary",
     "WITH " + FORECAST_SQL.strip()
     + """, x AS (SELECT * FROM (VALUES ('demand_forecasting', 'mape', 0.10::DOUBLE, 'minimise'), ('churn_prediction', 'mean_score', 0.50::DOUBLE, 'maximise'), ('segmentation', 'silhouette', 0.45::DOUBLE, 'maximise')) v(experiment, metric, target, direction)),
-r AS (SELECT 'demand_forecasting' AS experiment, product_id AS run_name, CASE WHEN product_id <> 'Brand#4' THEN avg(abs(y - l7) / y) END AS value FROM fc WHERE l7 IS NOT NULL GROUP BY 2
+r AS (SELECT 'demand_forecasting' AS experiment, product_id AS run_name, CASE WHEN product_id <> 'Brand#4' THEN avg(abs(y - l7) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) END AS value FROM fc WHERE l7 IS NOT NULL GROUP BY 2
       UNION ALL SELECT 'churn_prediction', persona, avg(churn_proba) FROM churn_scores GROUP BY 2),
 k AS (SELECT r.*, row_number() OVER (PARTITION BY experiment ORDER BY CASE WHEN direction = 'minimise' THEN value ELSE -value END, run_name) AS n FROM r JOIN x USING (experiment) WHERE value IS NOT NULL)
 SELECT x.experiment, coalesce(run_name, 'N/A') AS run_name, metric, round_even(value, 4) AS value, target,
@@ -310,7 +311,7 @@ def experiment_summary(t: Tables) -> DataFrame:
         "experiment string, metric string, target double, direction string",
     )
     fc = naive_forecasts(t).filter("l7 IS NOT NULL")
-    demand = fc.groupBy(F.col("product_id").alias("run_name")).agg(F.avg(F.abs(F.col("y") - F.col("l7")) / F.col("y")).alias("value"))
+    demand = fc.groupBy(F.col("product_id").alias("run_name")).agg(F.avg(percent_error(F.col("y"), F.col("l7"))).alias("value"))
     demand = demand.withColumn("value", F.when(F.col("run_name") != "Brand#4", F.col("value")))
     churn = t.churn_scores().groupBy(F.col("persona").alias("run_name")).agg(F.avg("churn_proba").alias("value"))
     runs = demand.withColumn("experiment", F.lit("demand_forecasting")).unionByName(churn.withColumn("experiment", F.lit("churn_prediction")))

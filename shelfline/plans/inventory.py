@@ -201,13 +201,13 @@ def demand_lookup_join(t: Tables) -> DataFrame:
     "demand_lookup_p50",
     """
 WITH p AS (SELECT CAST(l_partkey AS VARCHAR) AS sku_id, avg(l_quantity) AS p50 FROM lineitem
-           WHERE l_shipdate >= TIMESTAMP '2000-11-04' GROUP BY 1)
+           GROUP BY 1)
 SELECT product_id AS sku_id, round(greatest(coalesce(p50, 10.0::DOUBLE), 0.1::DOUBLE), 6) AS avg_daily_demand
 FROM erp LEFT JOIN p ON product_id = sku_id""",
     "erp",
 )
 def demand_lookup_p50(t: Tables) -> DataFrame:
-    forecast = t.lines().filter(F.col("ts") >= F.lit("2000-11-04").cast("timestamp_ntz")).select(
+    forecast = t.lines().select(
         F.col("product_id").alias("sku_id"), F.col("quantity").alias("p50")
     )
     out = inv.demand_per_sku(stock_levels(t), forecast, "sku_id")
@@ -244,14 +244,13 @@ def stock_urgency_query(t: Tables) -> DataFrame:
     "reorder_sort",
     ALERT_SQL
     + """SELECT sku_id, urgency, days_until_stockout FROM al
-ORDER BY CASE urgency WHEN 'Critical' THEN 0 WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END, days_until_stockout, sku_id
-LIMIT 50""",
+ORDER BY CASE urgency WHEN 'Critical' THEN 0 WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END, days_until_stockout, sku_id""",
     "erp",
 )
 def reorder_sort(t: Tables) -> DataFrame:
-    """The fifty most urgent alerts: a top-k report."""
+    """All alerts, the most urgent first."""
     alerts = inv.reorder_alerts(stock_levels(t), recent_demand(t))
-    return inv.by_urgency(alerts).select("sku_id", "urgency", "days_until_stockout").limit(50)
+    return inv.by_urgency(alerts).select("sku_id", "urgency", "days_until_stockout")
 
 
 @query(

@@ -99,10 +99,10 @@ def missing_rate(t: Tables) -> DataFrame:
     "duplicate_rows",
     """
 SELECT CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_duplicates
-FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""",
 )
 def duplicate_rows(t: Tables) -> DataFrame:
-    return pf.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber"))
+    return pf.duplicate_rows(t.lineitem)
 
 
 @query(

@@ -73,8 +73,8 @@ def ingest_all(spark: SparkSession, landed: dict[str, str], tables: str, audit:
         try:
             rows = land(spark, source, path, table)
         except Exception as error:
-            audit_row(spark, audit, f"ingest_{source.name}", "FAIL", run, [path], [table], message=str(error)[:500])
-            outcome.append((source.name, f"FAILED: {error}"[:500], None))
+            audit_row(spark, audit, f"ingest_{source.name}", "FAIL", run, [path], [table], message=str(error))
+            outcome.append((source.name, f"FAILED: {error}", None))
             continue
         audit_row(spark, audit, f"ingest_{source.name}", "COMPLETE", run, [path], [table], rows, source.schema.names)
         outcome.append((source.name, "SUCCESS", rows))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.functions.calendar import holiday_dates
+from shelfline.functions.calendar import HOLIDAYS
 from shelfline.session import scratch_path
 
 
@@ -65,8 +65,7 @@ def scores_over_jdbc(spark: SparkSession, url: str, table: str, day: str, slices
 def write_holiday_file(spark: SparkSession) -> str:
     """The fixed calendar as a JSON array file, as a deployment would ship it."""
     path = scratch_path(spark, "holidays")
-    days = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in holiday_dates()])).alias("date"))
-    days.select("date", F.lit("public").alias("type")).coalesce(1).write.json(path)
+    spark.createDataFrame(HOLIDAYS, "date string, name string, type string").coalesce(1).write.json(path)
     return path
 
 

@@ -2,39 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
-TYPES = {
-    "string": T.StringType, "int": T.IntegerType, "double": T.DoubleType, "boolean": T.BooleanType,
-    "date": T.DateType, "timestamp": T.TimestampNTZType,
-}
-
-
-def _schema(spec: str, required: str) -> T.StructType:
-    """Fields as "name type" pairs; the names in ``required`` may not be null."""
-    needed = set(required.split())
-    fields = [part.split() for part in spec.split(",")]
-    return T.StructType([T.StructField(name, TYPES[kind](), name not in needed) for name, kind in fields])
-
-
-# Column names and types of the landed files.
-POS = _schema(
-    "transaction_id string, customer_id string, product_id string, store_id string, timestamp timestamp, "
-    "quantity int, unit_price double, total_amount double, return_flag boolean",
-    "transaction_id customer_id product_id store_id timestamp quantity unit_price total_amount return_flag",
-)
-ECOMMERCE = _schema(
-    "event_id string, session_id string, customer_id string, product_id string, event_type string, "
-    "timestamp timestamp, device_type string",
-    "event_id product_id event_type timestamp",
-)
-ERP = _schema(
-    "product_id string, store_id string, snapshot_date date, stock_quantity int, reorder_point int, "
-    "lead_time_days int, supplier_id string",
-    "product_id store_id snapshot_date stock_quantity",
-)
-EXTERNAL = _schema(
-    "date date, weather_temp_c double, weather_rain_mm double, cpi_index double, competitor_sku_id string, "
-    "competitor_price double",
-    "date",
-)
+# Names and types of the columns of the landed files, and whether they may be null.
+POS = StructType([
+    StructField("transaction_id", StringType(), False),
+    StructField("customer_id", StringType(), False),
+    StructField("product_id", StringType(), False),
+    StructField("store_id", StringType(), False),
+    StructField("timestamp", TimestampNTZType(), False),
+    StructField("quantity", IntegerType(), False),
+    StructField("unit_price", DoubleType(), False),
+    StructField("total_amount", DoubleType(), False),
+    StructField("return_flag", BooleanType(), False),
+])
+ECOMMERCE = StructType([
+    StructField("event_id", StringType(), False),
+    StructField("session_id", StringType(), True),
+    StructField("customer_id", StringType(), True),
+    StructField("product_id", StringType(), False),
+    StructField("event_type", StringType(), False),
+    StructField("timestamp", TimestampNTZType(), False),
+    StructField("device_type", StringType(), True),
+])
+ERP = StructType([
+    StructField("product_id", StringType(), False),
+    StructField("store_id", StringType(), False),
+    StructField("snapshot_date", DateType(), False),
+    StructField("stock_quantity", IntegerType(), False),
+    StructField("reorder_point", IntegerType(), True),
+    StructField("lead_time_days", IntegerType(), True),
+    StructField("supplier_id", StringType(), True),
+])
+EXTERNAL = StructType([
+    StructField("date", DateType(), False),
+    StructField("weather_temp_c", DoubleType(), True),
+    StructField("weather_rain_mm", DoubleType(), True),
+    StructField("cpi_index", DoubleType(), True),
+    StructField("competitor_sku_id", StringType(), True),
+    StructField("competitor_price", DoubleType(), True),
+])

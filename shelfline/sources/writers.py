@@ -16,7 +16,6 @@ AUDIT_SCHEMA = (
     "run_id string, job string, event string, at timestamp, inputs array<string>, outputs array<string>, "
     "row_count long, feature_count int, features array<string>, quality_score double, message string"
 )
-AUDITED_FEATURES = 50
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -103,7 +102,7 @@ def audit_row(
     """Append one audit record; counts come from the run itself."""
     row = (
         run_id, job, event, datetime.datetime.now(datetime.timezone.utc), list(inputs), list(outputs), row_count,
-        len(features), list(features)[:AUDITED_FEATURES], quality_score, message,
+        len(features), list(features), quality_score, message,
     )
     spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 

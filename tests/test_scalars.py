@@ -87,11 +87,10 @@ def test_persona_actions(spark):
 
 def test_batches(spark):
     ids = spark.createDataFrame([(" a ",), ("  ",), ("b",)], "id string")
-    assert sorted(r[0] for r in fr.check_batch(ids, "id", "churn").collect()) == ["a", "b"]
+    assert sorted(r[0] for r in fr.check_batch(ids, "id").collect()) == ["a", "b"]
     with pytest.raises(ValueError):
-        fr.check_batch(ids.filter("id = '  '"), "id", "churn")
-    with pytest.raises(ValueError):
-        fr.check_batch(spark.range(501).select(F.col("id").cast("string")), "id", "inventory")
+        fr.check_batch(ids.filter("id = '  '"), "id")
+    assert fr.check_batch(spark.range(6000).select(F.col("id").cast("string")), "id").count() == 6000
     assert fr.check_horizon(90) == 90
     with pytest.raises(ValueError):
         fr.check_horizon(91)
