@@ -9,9 +9,10 @@
    bounded size. The union of the kept tokens of a group's members is its row in the matrix.
 4. Groups are opened for their own members first, then for one class of each component found so far,
    level by level. Dense groups of copies have become single components by then.
-5. The matrix tells the query classes whose overlap with a group's union is too small to hold a
-   partner; it also drops tokens whose classes are all one component. Only the groups that are left
-   are opened for a query, in bounded parts, and similarity is computed over whole sets.
+5. Classes that are still apart are queries. Tokens whose classes are all one component are dropped,
+   and so are classes with too few shingles in other components; then the matrix gives each query's
+   overlap with the union of each group of another component. Only groups that reach the query's
+   bound are opened for it, in bounded parts, and similarity is computed over whole sets.
 
 Links inside one component are not searched for again, so copies are never expanded into pairs.
 Nothing but counts reaches the driver.
@@ -35,8 +36,10 @@ SHINGLE = 4
 PERCENT = 85
 #: Slack of the prefix in per cent of the set.
 SLACK = 6
-#: Members, queries and shingles that one opened group may hold.
-MEMBERS, QUERIES, TOKENS = 64, 256, 400_000
+#: Members, or queries, and their shingles that one opened group may hold.
+MEMBERS, TOKENS = 512, 400_000
+#: A component of so many classes gets groups of its own for the last round.
+ALONE = 32
 
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -102,10 +105,12 @@ def components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     a row without id takes its component's id, null when no row of it has one.
     """
     spark = docs.sparkSession
-    profiles = stage_table(_profiles(docs, width, percent), "profiles")
+    wide, wide_path = stage_at(_profiles(docs, width, percent), "profiles")
+    profiles = stage_table(wide.drop("prefix", "other", "spare"), "profiles")
     rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
-    classes = profiles.where("n > 0").groupBy("node", "other").agg(rep, F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("spare").alias("spare"), F.first("prefix").alias("prefix"))
+    classes = wide.where("n > 0").groupBy("node", "other").agg(rep, F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("spare").alias("spare"), F.first("prefix").alias("prefix"))
     classes, classes_path = stage_at(classes, "classes")
+    drop_staged(spark, wide_path)
     kept = stage_table(_kept(classes), "kept-tokens")
     drop_staged(spark, classes_path)
     texts = stage_table(_texts(docs, kept), "class-texts")
@@ -123,7 +128,7 @@ def _kept(classes: DataFrame) -> DataFrame:
     """(node, rep, n, need, tokens): prefix tokens shared with other classes, rarest first, without those that are ignored."""
     rows = classes.select("node", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    found = with_small(rows, shared, "token")
+    found = rows.join(shared, "token")
     lists = found.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("all"))
     ignored = F.floor(F.col("spare") / 2).cast("int")
     facts = classes.select("node", "rep", "n", ignored.alias("ignored"), (F.col("spare") - ignored + 1).alias("need"))
@@ -174,7 +179,7 @@ def _links(kept: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
         if not more.take(1):
             break
         edges = edges.unionByName(more)
-    return edges.unionByName(opened(_queries(kept, parts), "query-links"))
+    return edges.unionByName(opened(_queries(kept, parts, texts, width, percent), "query-links"))
 
 
 def _part_of(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -182,31 +187,64 @@ def _part_of(members: DataFrame, edges: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").select("home", "part", "node", "n", F.coalesce("component", "node").alias("part_of"))
 
 
-def _queries(kept: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of the groups that must be opened for query classes, members and queries, in bounded chunks."""
-    tokens = kept.select("node", "need", F.explode("tokens.token").alias("token")).join(parts, "node")
-    # A token whose classes are one component already links nothing new.
-    open_tokens = tokens.groupBy("token").agg(F.min("part_of").alias("l"), F.max("part_of").alias("h")).where("l < h").select("token")
-    tokens = stage_table(tokens.join(open_tokens, "token", "left_semi"), "open-tokens")
-    # The matrix: a token's groups, each with the one component of its members there, or null for several.
-    union = tokens.groupBy("token", "home", "part").agg(F.min("part_of").alias("l"), F.max("part_of").alias("h"))
-    q = tokens.select("token", "need", F.col("node").alias("query"), F.col("n").alias("query_n"), F.col("part_of").alias("query_part"), F.col("home").alias("own_home"), F.col("part").alias("own_part"))
-    met = q.join(union, "token").where("NOT (l = query_part AND h = query_part) AND NOT (home = own_home AND part = own_part)")
-    # Of two groups the later one's members ask the earlier one.
-    met = met.where("home < own_home OR (home = own_home AND part < own_part)")
+def _queries(kept: DataFrame, parts: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows (home, part, chunk, ...) of the groups that must be opened for query classes, members and queries, in bounded chunks."""
+    sizes = parts.groupBy("part_of").agg(F.count(F.lit(1)).alias("size"))
+    tokens = kept.select("node", "need", F.explode("tokens.token").alias("token")).join(parts.select("node", "n", "home", "part_of"), "node").join(sizes, "part_of")
+    tokens = _between_components(tokens, ["token"])
+    tokens = stage_table(tokens, "open-tokens")
+    crowds = tokens.groupBy("home").agg(F.count_distinct("node").alias("n")).where(F.col("n") > MEMBERS).select("home")
+    if crowds.take(1):
+        tokens = stage_table(_without_hopeless(tokens, crowds, texts, width, percent), "open-tokens")
+    # Groups anew, of classes that are still open: one component each when it is large, else mixed.
+    alone = F.when(F.col("size") >= ALONE, F.col("part_of")).otherwise(0)
+    order = F.struct(F.when(alone != 0, F.col("size")).otherwise(0).alias("size"), alone.alias("alone"), F.xxhash64("home", alone, "part").alias("group"))
+    nodes = tokens.select("node", "n", "home", "part_of", "size").distinct()
+    nodes = stage_table(_parts(nodes.withColumn("alone", alone), ["home", "alone"], MEMBERS).select("node", "n", "home", "part_of", order.alias("group")), "groups")
+    tokens = tokens.select("token", "node", "need").join(nodes, "node")
+    # The matrix: the groups in which a token occurs. A class asks the groups behind its own.
+    union = tokens.select("token", F.col("group").alias("theirs")).distinct()
+    met = tokens.select("token", "node", "need", "n", "part_of", "group").join(union, "token").where("group < theirs AND NOT (group.alone = theirs.alone AND group.alone <> 0)")
     # The bound: a group whose union shares fewer tokens with the query holds no partner of it.
-    overlap = met.groupBy("home", "part", F.col("query").alias("node"), F.col("query_n").alias("n"), F.col("query_part").alias("part_of"), "need").agg(F.count(F.lit(1)).alias("overlap"))
-    met = overlap.where("overlap >= need").drop("need", "overlap")
-    sizes = met.groupBy("home", "part").agg(F.ceil(F.greatest(F.count(F.lit(1)) / QUERIES, F.sum("n") / TOKENS)).alias("chunks"))
-    met = stage_table(met.join(sizes, ["home", "part"]).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(11)), F.col("chunks"))), "met")
-    asked = met.select("home", "part", "chunk").distinct()
-    own = parts.join(asked, ["home", "part"]).select("home", "part", "chunk", "node", "part_of", F.lit(False).alias("query"))
-    return own.unionByName(met.select("home", "part", "chunk", "node", "part_of", F.lit(True).alias("query")))
+    overlap = met.groupBy("theirs", "node", "n", "part_of", "need").agg(F.count(F.lit(1)).alias("overlap"))
+    met = overlap.where("overlap >= need").select(F.col("theirs").alias("group"), "node", "n", "part_of")
+    chunks = met.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / MEMBERS, F.sum("n") / TOKENS)).alias("chunks"))
+    met = stage_table(met.join(chunks, "group").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(11)), F.col("chunks"))), "met")
+    asked = met.select("group", "chunk").distinct()
+    own = nodes.join(asked, "group").select("group", "chunk", "node", "part_of", F.lit(False).alias("query"))
+    mixed = nodes.where("group.alone = 0").select("group", F.lit(-1).cast("long").alias("chunk"), "node", "part_of", F.lit(False).alias("query"))
+    rows = own.unionByName(mixed).unionByName(met.select("group", "chunk", "node", "part_of", F.lit(True).alias("query")))
+    return rows.select(F.lit(0).cast("long").alias("home"), F.col("group.group").alias("part"), "chunk", "node", "part_of", "query")
+
+
+def _between_components(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose token occurs in several components; the others link nothing new."""
+    several = rows.groupBy(*keys).agg(F.min("part_of").alias("l"), F.max("part_of").alias("h")).where("l < h").select(*keys)
+    return rows.join(several, keys, "left_semi")
+
+
+def _without_hopeless(tokens: DataFrame, crowds: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same bound over whole sets, for classes of crowded homes: enough of their shingles must occur in other components at all."""
+
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, part, text in zip(batch["node"], batch["part_of"], batch["text"]):
+                yield pd.DataFrame({"token": shingle_set(text, width).view(np.int64), "node": node, "part_of": part})
+
+    crowded = tokens.join(crowds, "home", "left_semi")
+    # Whoever may be their partner shares an open token with them.
+    near = tokens.join(crowded.select("token").distinct(), "token", "left_semi").select("node", "part_of").distinct()
+    full = near.join(texts, "node").select("node", "part_of", "text").mapInPandas(explode, "token long, node long, part_of long")
+    full = stage_table(full, "open-shingles")
+    shared = _between_components(full, ["token"]).groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    judged = crowded.select("node", "n").distinct().join(shared, "node", "left")
+    hopeless = judged.where(F.coalesce("shared", F.lit(0)) * 100 < F.col("n") * percent).select("node")
+    return _between_components(tokens.join(hopeless, "node", "left_anti"), ["token"])
 
 
 def _opener(width: int, percent: int):
     def open_group(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between members, or of queries with members when there are any; one edge for each component met."""
+        """Links between members, or of queries with members when there are any: a spanning forest of them."""
         rows = rows.sort_values("node")
         is_query = rows["query"].to_numpy(bool)
         sets = [shingle_set(t, width) for t in rows["text"]]
@@ -216,20 +254,20 @@ def _opener(width: int, percent: int):
         n = np.array([len(s) for s in sets])
         union = n[asking][:, None] + n[inside] - both
         linked = 100 * both >= percent * union
-        node, part = rows["node"].to_numpy(np.int64), rows["part_of"].to_numpy(np.int64)
-        edges = set()
+        node, part = rows["node"].to_numpy(np.int64), rows["part_of"].to_numpy(np.int64).copy()
+        edges = []
         for k, a in enumerate(asking):
-            met: dict[int, int] = {}
-            for b in inside[linked[k]]:
-                if part[b] != part[a]:
-                    met.setdefault(int(part[b]), int(node[b]))
-            edges.update((int(node[a]), b) for b in met.values())
-        return pd.DataFrame(sorted(edges), columns=["a", "b"], dtype="int64")
+            met = inside[linked[k]]
+            for other, first in zip(*np.unique(part[met], return_index=True)):
+                if other != part[a]:  # components grow as they meet, so each link found joins two of them
+                    edges.append((node[a], node[met[first]]))
+                    part[part == other] = part[a]
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return open_group
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 1 << 16) -> np.ndarray:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 1 << 13) -> np.ndarray:
     """Sizes of all intersections: products of 0/1 matrices over slices of the tokens of ``right``."""
     out = np.zeros((len(left), len(right)), np.int64)
     known = np.unique(np.concatenate(right)) if right else np.empty(0, np.uint64)
