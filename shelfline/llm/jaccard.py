@@ -193,9 +193,7 @@ def _queries(kept: DataFrame, parts: DataFrame, texts: DataFrame, width: int, pe
     tokens = kept.select("node", "need", F.explode("tokens.token").alias("token")).join(parts.select("node", "n", "home", "part_of"), "node").join(sizes, "part_of")
     tokens = _between_components(tokens, ["token"])
     tokens = stage_table(tokens, "open-tokens")
-    crowds = tokens.groupBy("home").agg(F.count_distinct("node").alias("n")).where(F.col("n") > MEMBERS).select("home")
-    if crowds.take(1):
-        tokens = stage_table(_without_hopeless(tokens, crowds, texts, width, percent), "open-tokens")
+    tokens = stage_table(_without_hopeless(tokens, texts, width, percent), "open-tokens")
     # Groups anew, of classes that are still open: one component each when it is large, else mixed.
     alone = F.when(F.col("size") >= ALONE, F.col("part_of")).otherwise(0)
     order = F.struct(F.when(alone != 0, F.col("size")).otherwise(0).alias("size"), alone.alias("alone"), F.xxhash64("home", alone, "part").alias("group"))
@@ -223,23 +221,20 @@ def _between_components(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(several, keys, "left_semi")
 
 
-def _without_hopeless(tokens: DataFrame, crowds: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The same bound over whole sets, for classes of crowded homes: enough of their shingles must occur in other components at all."""
+def _without_hopeless(tokens: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same bound over whole sets: enough of a class's shingles must occur in other components at all."""
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for node, part, text in zip(batch["node"], batch["part_of"], batch["text"]):
                 yield pd.DataFrame({"token": shingle_set(text, width).view(np.int64), "node": node, "part_of": part})
 
-    crowded = tokens.join(crowds, "home", "left_semi")
-    # Whoever may be their partner shares an open token with them.
-    near = tokens.join(crowded.select("token").distinct(), "token", "left_semi").select("node", "part_of").distinct()
+    near = tokens.select("node", "part_of").distinct()
     full = near.join(texts, "node").select("node", "part_of", "text").mapInPandas(explode, "token long, node long, part_of long")
     full = stage_table(full, "open-shingles")
     shared = _between_components(full, ["token"]).groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
-    judged = crowded.select("node", "n").distinct().join(shared, "node", "left")
-    hopeless = judged.where(F.coalesce("shared", F.lit(0)) * 100 < F.col("n") * percent).select("node")
-    return _between_components(tokens.join(hopeless, "node", "left_anti"), ["token"])
+    able = tokens.select("node", "n").distinct().join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent).select("node")
+    return _between_components(tokens.join(able, "node", "left_semi"), ["token"])
 
 
 def _opener(width: int, percent: int):
