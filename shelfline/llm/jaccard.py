@@ -49,13 +49,14 @@ def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=len(words))], np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
     total = np.zeros(len(h) - width + 1, np.uint64)
     for k in range(width):
         total = total * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - width + 1 + k]
         total ^= total >> np.uint64(29)
         total *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(total ^ (total >> np.uint64(32)))
+    total = np.sort(total ^ (total >> np.uint64(32)))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def needed(n: int, percent: int) -> int:
