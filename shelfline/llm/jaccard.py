@@ -159,7 +159,7 @@ def _links(kept: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
 
     def opened(rows: DataFrame, label: str) -> DataFrame:
         """Links of rows (home, part, chunk, node, part_of, query) inside each (home, part, chunk)."""
-        full = rows.join(texts, "node")
+        full = with_small(texts, rows, "node")
         return stage_table(full.groupBy("home", "part", "chunk").applyInPandas(_opener(width, percent), "a long, b long"), label)
 
     zero = F.lit(0).cast("long")
@@ -194,7 +194,7 @@ def _queries(kept: DataFrame, parts: DataFrame, texts: DataFrame, width: int, pe
     tokens = kept.select("node", "need", F.explode("tokens.token").alias("token")).join(parts.select("node", "n", "home", "part_of"), "node").join(sizes, "part_of")
     tokens = _between_components(tokens, ["token"])
     tokens = stage_table(tokens, "open-tokens")
-    tokens = stage_table(_without_hopeless(tokens, texts, width, percent), "open-tokens")
+    tokens = _without_hopeless(tokens, texts, width, percent)
     # Groups anew, of classes that are still open: one component each when it is large, else mixed.
     alone = F.when(F.col("size") >= ALONE, F.col("part_of")).otherwise(0)
     order = F.struct(F.when(alone != 0, F.col("size")).otherwise(0).alias("size"), alone.alias("alone"), F.xxhash64("home", alone, "part").alias("group"))
@@ -231,11 +231,13 @@ def _without_hopeless(tokens: DataFrame, texts: DataFrame, width: int, percent:
                 yield pd.DataFrame({"token": shingle_set(text, width).view(np.int64), "node": node, "part_of": part})
 
     near = tokens.select("node", "part_of").distinct()
-    full = near.join(texts, "node").select("node", "part_of", "text").mapInPandas(explode, "token long, node long, part_of long")
-    full = stage_table(full, "open-shingles")
+    full = with_small(texts, near, "node").select("node", "part_of", "text").mapInPandas(explode, "token long, node long, part_of long")
+    full, full_path = stage_at(full, "open-shingles")
     shared = _between_components(full, ["token"]).groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
     able = tokens.select("node", "n").distinct().join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent).select("node")
-    return _between_components(tokens.join(able, "node", "left_semi"), ["token"])
+    left = stage_table(_between_components(tokens.join(able, "node", "left_semi"), ["token"]), "open-tokens")
+    drop_staged(tokens.sparkSession, full_path)
+    return left
 
 
 def _opener(width: int, percent: int):
