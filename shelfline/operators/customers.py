@@ -32,6 +32,9 @@ CLUSTER_PROFILES = [
     (6, "Potential Loyalist", "Silver", "Push Notification"),
     (7, "At-Risk VIP", "Platinum", "SMS"),
 ]
+#: Profile numbers from the best to the worst for recent and for lapsed clusters.
+RECENT_PROFILES = (0, 1, 2, 4)
+LAPSED_PROFILES = (7, 3, 6, 5)
 UNKNOWN_PROFILE = {"persona": "Unknown", "clv_tier": "Bronze", "recommended_channel": "Email"}
 
 # Actions per persona (action, urgency, channel, lift) and the action for other customers at risk.
@@ -228,15 +231,40 @@ def top_contributions(model: ChurnModel, scored: DataFrame, n_customers: int = 2
 
 
 def assign_segments(features: DataFrame, k: int = 8, seed: int = 42, columns: Sequence[str] = ("recency_days", "frequency", "monetary")) -> DataFrame:
-    """k-means on standardised customer features."""
+    """k-means on standardised customer features, numbered by what the clusters mean (:func:`rank_clusters`).
+
+    The first column is the days since the last purchase, the others measure value.
+    """
     base = features.select("customer_id", *[F.col(c).cast(T.DoubleType()).alias(c) for c in columns])
     base = stage_table(base, "segments")  # iterated over many times
-    stages = [
+    steps = [
         VectorAssembler(inputCols=list(columns), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id"),
+        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
     ]
-    return Pipeline(stages=stages).fit(base).transform(base)
+    model = Pipeline(stages=steps).fit(base)
+    numbers = rank_clusters([tuple(float(x) for x in c) for c in model.stages[-1].clusterCenters()])
+    meaning = F.create_map(*[F.lit(x) for pair in enumerate(numbers) for x in pair])
+    return model.transform(base).withColumn("cluster_id", F.element_at(meaning, F.col("cluster"))).drop("cluster")
+
+
+def rank_clusters(centers: Sequence[Sequence[float]]) -> list[int]:
+    """Profile number of each centroid (standardised recency first, then measures of value).
+
+    The half with the shorter recency is recent, the other lapsed. Each half is ordered by value and takes its
+    profiles from best to worst; ties go to the earlier centroid, and what exceeds the profiles gets new numbers.
+    """
+    by_recency = sorted(range(len(centers)), key=lambda k: (centers[k][0], k))
+    middle = (len(centers) + 1) // 2
+    numbers = [0] * len(centers)
+    spare = len(CLUSTER_PROFILES)
+    for half, profiles in ((by_recency[:middle], RECENT_PROFILES), (by_recency[middle:], LAPSED_PROFILES)):
+        for place, k in enumerate(sorted(half, key=lambda k: (-sum(centers[k][1:]), k))):
+            if place < len(profiles):
+                numbers[k] = profiles[place]
+            else:
+                numbers[k], spare = spare, spare + 1
+    return numbers
 
 
 def silhouette(clustered: DataFrame) -> float:

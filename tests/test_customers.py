@@ -69,6 +69,15 @@ def test_segments_find_separate_groups(spark):
     out = cu.assign_segments(df, k=3)
     groups = out.groupBy(F.substring("customer_id", 1, 1).alias("g")).agg(F.countDistinct("cluster_id").alias("n")).collect()
     assert all(r["n"] == 1 for r in groups) and cu.silhouette(out) > 0.9
+    numbers = {r["g"]: r["c"] for r in out.groupBy(F.substring("customer_id", 1, 1).alias("g")).agg(F.first("cluster_id").alias("c")).collect()}
+    assert numbers == {"1": 0, "0": 1, "2": 7}  # recent by value, then the lapsed big spenders
+
+
+def test_clusters_get_the_profile_of_their_rank():
+    recent = [(-1.0, 3.0, 3.0), (-1.1, 1.0, 1.0), (-0.9, 0.0, 0.0), (-1.0, -1.0, -1.0)]
+    lapsed = [(1.0, -1.0, -1.0), (1.1, 0.0, 0.0), (0.9, 1.0, 1.0), (1.2, 2.0, 2.0)]
+    assert cu.rank_clusters(recent + lapsed) == [0, 1, 2, 4, 5, 6, 3, 7]
+    assert sorted(cu.rank_clusters([(0.0, 0.0, 0.0)] * 10)) == list(range(10))
 
 
 def test_timeline(spark):
