@@ -29,8 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: its smallest doc_id."""
-    return jaccard.one_of_each(docs)
+    """One document of each group of near duplicates (five-word shingles, similarity of 0.8 or more): its smallest doc_id."""
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

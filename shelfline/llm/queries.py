@@ -81,6 +81,7 @@ QUERIES = {
 }
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES = {
@@ -109,5 +110,16 @@ reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link
 comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, c AS component_id, vec_id = c AS kept
 FROM embeddings JOIN comp ON vec_id = a""",
+    "op8_decontaminate": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '{_TERMS}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '{_TERMS}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, w[k : k + n - 1] AS win FROM starts),
+places AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM windows)),
+met AS (SELECT r, k, p.n AS n, item_id FROM (SELECT r, k, n, w[k : k + n - 1] AS win FROM places) p JOIN windows USING (n, win)),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS j FROM met) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM met) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
 }
-

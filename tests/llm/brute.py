@@ -23,16 +23,16 @@ def comps(n,edges):
         return x
     for a,b in edges: p[f(a)]=f(b)
     return [f(x) for x in range(n)]
-def op3(docs):
+def op3(docs,W=4,P=85):
     S=[]
     for d,t in docs:
-        w=words3(t); S.append(frozenset([tuple(w)]) if 0<len(w)<4 else frozenset(tuple(w[i:i+4]) for i in range(len(w)-3)))
+        w=words3(t); S.append(frozenset([tuple(w)]) if 0<len(w)<W else frozenset(tuple(w[i:i+W]) for i in range(len(w)-W+1)))
     inv=collections.defaultdict(list); edges=[]
     for i,s in enumerate(S):
         c=collections.Counter()
         for x in s: c.update(inv[x])
         for j,k in c.items():
-            if 100*k>=85*(len(s)+len(S[j])-k): edges.append((i,j))
+            if 100*k>=P*(len(s)+len(S[j])-k): edges.append((i,j))
         for x in s: inv[x].append(i)
     r=comps(len(S),edges); m={}
     for i,(d,_) in enumerate(docs): 

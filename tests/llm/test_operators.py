@@ -96,8 +96,10 @@ def test_curriculum(docs, nothing):
     assert curriculum.schedule_weights(curriculum.SCHEDULES) == pytest.approx([1, 1, 1])
 
 
-def test_jaccard(docs, nothing):
-    same([tuple(r) for r in jaccard.components(docs).drop("text_hash").collect()], brute.op3(corpus()))
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
+def test_jaccard(docs, nothing, width, percent):
+    got = jaccard.components(docs, width, percent).drop("text_hash")
+    same([tuple(r) for r in got.collect()], brute.op3(corpus(), width, percent))
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
     assert jaccard.components(nothing).count() == 0
@@ -237,7 +239,7 @@ def test_against_sql(spark, name):
     from tools.check import compare, normalised
 
     db = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = queries.QUERIES[name](spark, FOLDER)
     cursor = db.execute(queries.ORACLES[name])
