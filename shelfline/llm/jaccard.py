@@ -8,7 +8,8 @@
 3. *Groups*: classes with the same most frequent kept token are similar; they are dealt into groups of
    bounded size. The union of the kept tokens of a group's members is its row in the matrix.
 4. Groups are opened for their own members first, then for one class of each component found so far,
-   level by level. Dense groups of copies have become single components by then.
+   level by level. Dense groups of copies have become single components by then. The stars of the
+   components stand for the links that made them, so each level starts from what the last has found.
 5. Classes that are still apart are queries. Tokens whose classes are all one component are dropped,
    and so are classes with too few shingles in other components; then the matrix gives each query's
    overlap with the union of each group of another component. Only groups that reach the query's
@@ -166,7 +167,10 @@ def _links(kept: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
     edges = opened(members.select("home", "part", zero.alias("chunk"), "node", F.col("node").alias("part_of"), F.lit(False).alias("query")), "own-links")
     leaders = None
     while True:
-        parts = stage_table(_part_of(members, edges), "parts")
+        # From here on the stars of the components stand for the links that made them.
+        found = connected_components(edges)
+        parts = stage_table(_part_of(members, found), "parts")
+        edges = found.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
         # One class of each component and home meets those of the home's other groups.
         heads = parts.groupBy("home", "part_of").agg(F.min(F.struct("node", "n")).alias("h")).select("home", "part_of", "h.node", "h.n")
         several = heads.groupBy("home").count().where("count > 1").select("home")
@@ -183,8 +187,7 @@ def _links(kept: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
     return edges.unionByName(opened(_queries(kept, parts, texts, width, percent), "query-links"))
 
 
-def _part_of(members: DataFrame, edges: DataFrame) -> DataFrame:
-    found = connected_components(edges)
+def _part_of(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").select("home", "part", "node", "n", F.coalesce("component", "node").alias("part_of"))
 
 
@@ -242,7 +245,7 @@ def _without_hopeless(tokens: DataFrame, texts: DataFrame, width: int, percent:
 
 def _opener(width: int, percent: int):
     def open_group(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between members, or of queries with members when there are any: a spanning forest of them."""
+        """Links between members, or of queries with members when there are any: one star for each component that they make."""
         rows = rows.sort_values("node")
         is_query = rows["query"].to_numpy(bool)
         sets = [shingle_set(t, width) for t in rows["text"]]
@@ -252,15 +255,17 @@ def _opener(width: int, percent: int):
         n = np.array([len(s) for s in sets])
         union = n[asking][:, None] + n[inside] - both
         linked = 100 * both >= percent * union
-        node, part = rows["node"].to_numpy(np.int64), rows["part_of"].to_numpy(np.int64).copy()
-        edges = []
+        node, before = rows["node"].to_numpy(np.int64), rows["part_of"].to_numpy(np.int64)
+        part = before.copy()
         for k, a in enumerate(asking):
-            met = inside[linked[k]]
-            for other, first in zip(*np.unique(part[met], return_index=True)):
-                if other != part[a]:  # components grow as they meet, so each link found joins two of them
-                    edges.append((node[a], node[met[first]]))
+            for other in np.unique(part[inside[linked[k]]]):
+                if other != part[a]:
                     part[part == other] = part[a]
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+        # The smallest node of each earlier component, linked to the smallest of those that it has met.
+        first = np.sort(np.unique(before, return_index=True)[1])
+        _, lead, of = np.unique(part[first], return_index=True, return_inverse=True)
+        a, b = node[first[lead[of]]], node[first]
+        return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
 
     return open_group
 
