@@ -8,8 +8,10 @@ Files are split at it by Spark's text reader, so any number of tasks reads one f
 its offset (running sums of piece lengths, first in a split, then over splits) and the offset of its
 successor by its Content-Length. Only pieces that the chain of successors reaches from the start of
 the file are records; reachability is found by pointer jumping, which doubles the length of known
-chains in each round, with joins on (file, offset). Pieces in between belong to the payload of the
-record before them and are put together again. Only offsets and lengths take part in the rounds.
+chains in each round, with joins on (file, offset). A header may hold the mark too, so it goes on
+over the following pieces up to the first that has its end. Pieces in between belong to the header or
+payload of the record before them and are put together again. Only offsets and lengths take part in
+the rounds.
 """
 
 from __future__ import annotations
@@ -92,19 +94,24 @@ HEADERS = ["WARC-Type", "WARC-Record-ID", "WARC-Target-URI", "WARC-Payload-Diges
 
 
 def _parsed(pieces: DataFrame) -> DataFrame:
-    """Facts of each piece as if it were a record; ``need`` is the number of bytes its record has behind the mark."""
+    """Facts of each piece as if it were a record; ``need`` is the number of bytes its record has behind the mark.
+
+    ``need`` is null when the header does not end in the piece (``ended``); see :func:`_linked`.
+    """
     text = F.col("body").cast("string")
     head = F.substring_index(text, END, 1)
     head_bytes = F.octet_length(head)
-    length = F.regexp_extract(head, r"(?i)(?:^|\n)Content-Length: *([0-9]{1,18})", 1)
+    ended = F.contains(text, F.lit(END))
+    length = F.regexp_extract(head, r"(?i)\nContent-Length: *([0-9]{1,18})", 1)
     length = F.when(length != "", length.cast("long"))
     # Offsets of the block's own parts, in bytes.
     block = F.substring(F.col("body"), head_bytes + 1 + len(END), 2_000_000_000)
     http = F.substring_index(block.cast("string"), END, 1)
     skip = F.when(F.startswith(block.cast("string"), F.lit("HTTP/")), F.octet_length(http) + len(END)).otherwise(0)
     return pieces.select(
-        "*", F.octet_length("body").alias("size"), (head_bytes + 2 * len(END) + length).alias("need"), (head_bytes + len(END) + skip).alias("at"),
-        *[F.regexp_extract(head, rf"(?i)(?:^|\n){h}: *([^\r\n]*)", 1).alias(h) for h in HEADERS],
+        "*", F.octet_length("body").alias("size"), F.when(ended, head_bytes + 2 * len(END) + length).alias("need"), (head_bytes + len(END) + skip).alias("at"),
+        ended.alias("ended"), head_bytes.alias("head_bytes"), length.alias("length"),
+        *[F.regexp_extract(head, rf"(?i)\n{h}: *([^\r\n]*)", 1).alias(h) for h in HEADERS],
     )
 
 
@@ -122,6 +129,15 @@ def _offsets(facts: DataFrame) -> DataFrame:
     return facts.withColumn("within", run).join(splits, ["file", "block"]).withColumn("offset", F.col("before") + F.col("within") - len(MARK)).drop("before", "within")
 
 
+def _linked(placed: DataFrame) -> DataFrame:
+    """Adds ``next``: where the record of each piece ends, by the header up to the first end at or behind the piece."""
+    onwards = Window.partitionBy("file").orderBy(F.col("offset").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.last(F.when(F.col("ended"), F.col("offset") + len(MARK) + F.col("head_bytes")), ignorenulls=True).over(onwards)
+    # The first length in the header; a piece with the header's end and no length ends the search.
+    length = F.last(F.when(F.col("ended") | F.col("length").isNotNull(), F.struct("length")), ignorenulls=True).over(onwards)["length"]
+    return placed.withColumn("next", end + 2 * len(END) + length)
+
+
 def reachable(links: DataFrame) -> DataFrame:
     """(file, offset) of the pieces that the chain from offset 0 reaches, by pointer jumping over (file, offset, next)."""
     spark = links.sparkSession
@@ -150,7 +166,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     ``complete`` says whether the file holds as many bytes as the record's header asks for. Without
     ``payloads`` no payload is kept behind the first pass over the files, except of the records that
-    have the mark in their payload.
+    have the mark in their header or payload.
     """
     facts = _parsed(_pieces(spark, path))
     payload = F.substring(F.col("body"), F.col("at") + 1, (F.col("need") - len(END) - F.col("at")).cast("int"))
@@ -159,19 +175,21 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     whole = whole.withColumn("payload", payload) if payloads else whole
     kept = ["payload"] if payloads else []
     table = stage_table(whole.drop("body"), "pieces")
-    placed = stage_table(_offsets(table.select("file", "block", "place", "size", "need")).select("file", "block", "place", "offset", "size", (F.col("offset") + len(MARK) + F.col("need")).alias("next")), "offsets")
+    placed = _linked(_offsets(table.select("file", "block", "place", "size", "ended", "head_bytes", "length")))
+    placed = stage_table(placed.select("file", "block", "place", "offset", "next"), "offsets")
     seen = reachable(placed.select("file", "offset", "next"))
     found = placed.join(seen.withColumn("start", F.lit(True)), ["file", "offset"], "left")
-    # The record that a piece lies in: the last start at or before it.
-    owner = F.max(F.when(F.col("start"), F.col("offset"))).over(Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))
-    found = stage_table(found.withColumn("owner", owner).where("owner IS NOT NULL"), "owners")
+    # The record that a piece lies in: the last start at or before it, when that record reaches so far.
+    last = F.max(F.when(F.col("start"), F.struct("offset", "next"))).over(Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))
+    found = found.withColumn("_last", last).where("start OR offset < _last.next")
+    found = stage_table(found.withColumn("owner", F.col("_last.offset")).drop("_last"), "owners")
     records = table.join(found.where("start").select("file", "block", "place", "offset"), ["file", "block", "place"])
     inner = found.where("start IS NULL").select("file", "owner").distinct()
     if inner.take(1):
         mended = _mended(spark, path, found.join(inner, ["file", "owner"], "left_semi"))
         new = [c for c in mended.columns if c not in ("file", "offset")]
-        records = records.join(mended.select("file", "offset", *[F.col(c).alias(f"_{c}") for c in new]), ["file", "offset"], "left")
-        records = records.withColumns({c: F.when(F.col("_payload_digest").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in new if c in records.columns})
+        records = records.join(mended.select("file", "offset", F.lit(True).alias("_mended"), *[F.col(f"`{c}`").alias(f"_{c}") for c in new]), ["file", "offset"], "left")
+        records = records.withColumns({c: F.when(F.col("_mended"), F.col(f"`_{c}`")).otherwise(F.col(f"`{c}`")) for c in new if c in records.columns})
     plain = lambda h: F.nullif(F.col(f"`{h}`"), F.lit(""))
     return records.select(
         "file", "offset", F.col("`WARC-Type`").alias("record_type"), plain("WARC-Record-ID").alias("record_id"), plain("WARC-Target-URI").alias("url"),
@@ -181,13 +199,16 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
 
 def _mended(spark: SparkSession, path: str, pieces: DataFrame) -> DataFrame:
-    """Payload facts of the records whose payload holds the mark: their pieces are read again and joined."""
+    """Facts of the records whose header or payload holds the mark: their pieces are read again and joined."""
     body = _pieces(spark, path).join(pieces.select("file", "block", "place", "offset", "owner"), ["file", "block", "place"])
     joined = body.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["body"].cast("string")), MARK)
     facts = _parsed(joined.select("file", F.col("owner").alias("offset"), text.cast("binary").alias("body")))
     payload = F.substring(F.col("body"), F.col("at") + 1, (F.col("need") - len(END) - F.col("at")).cast("int"))
-    return facts.select("file", "offset", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"), (F.col("size") >= F.col("need") - len(END)).alias("complete"), payload.alias("payload"))
+    return facts.select(
+        "file", "offset", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"),
+        (F.col("size") >= F.col("need") - len(END)).alias("complete"), payload.alias("payload"), *[F.col(f"`{h}`") for h in HEADERS],
+    )
 
 
 def page_of(urn: Column) -> Column:

@@ -136,6 +136,21 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_mark_in_header(spark):
+    body = "x" * 120
+    urls = ["http://h/0", "http://h/WARC/1.1/a", "WARC/1.", "http://h/WARC/1.0?WARC/1.", "http://h/4", "http://h/WARC/1.1\r\n\r\nContent-Length: 3", "http://h/6"]
+    html = ["a", body, "WARC/1.1\r\n\r\n", body, "b", body + "WARC/1.", body]
+    pages = spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(zip(urls, html))], "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r for r in warc.round_trip(pages).collect()}
+    assert len(got) == pages.count()
+    assert {k: r.payload_bytes for k, r in got.items()} == {k: len(h) for k, h in enumerate(html)}
+    assert {k: r.refers_to for k, r in got.items() if r.record_type == "revisit"} == {3: 1, 6: 1}
+    path = warc.scratch_path(spark, "warc-test")
+    warc.write_archives(pages, path)
+    back = {warc_id: url for warc_id, url in warc.read_archives(spark, path).select("record_id", "url").collect()}
+    assert back == {f"<urn:page:{k}>": u.replace("\r", "%0D").replace("\n", "%0A") for k, u in enumerate(urls)}
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.normal(size=(40, 16))
