@@ -10,8 +10,9 @@ successor by its Content-Length. Only pieces that the chain of successors reache
 the file are records; reachability is found by pointer jumping, which doubles the length of known
 chains in each round, with joins on (file, offset). A header may hold the mark too, so it goes on
 over the following pieces up to the first that has its end. Pieces in between belong to the header or
-payload of the record before them and are put together again. Only offsets and lengths take part in
-the rounds.
+payload of the record before them and are put together again; their bytes are read a second time and found by their
+SHA-256, since how Spark cuts files into splits may differ between two reads. Only offsets and
+lengths take part in the rounds.
 """
 
 from __future__ import annotations
@@ -90,6 +91,11 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _content(body: Column) -> Column:
+    """What stands for the bytes of a piece."""
+    return F.unhex(F.sha2(body, 256))
+
+
 HEADERS = ["WARC-Type", "WARC-Record-ID", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Refers-To"]
 
 
@@ -172,6 +178,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     payload = F.substring(F.col("body"), F.col("at") + 1, (F.col("need") - len(END) - F.col("at")).cast("int"))
     complete = F.col("size") >= F.col("need") - len(END)
     whole = facts.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": F.sha2(payload, 256), "complete": complete})
+    whole = whole.withColumn("content", _content(F.col("body")))
     whole = whole.withColumn("payload", payload) if payloads else whole
     kept = ["payload"] if payloads else []
     table = stage_table(whole.drop("body"), "pieces")
@@ -186,7 +193,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     records = table.join(found.where("start").select("file", "block", "place", "offset"), ["file", "block", "place"])
     inner = found.where("start IS NULL").select("file", "owner").distinct()
     if inner.take(1):
-        mended = _mended(spark, path, found.join(inner, ["file", "owner"], "left_semi"))
+        pieces = found.join(inner, ["file", "owner"], "left_semi").join(table.select("file", "block", "place", "content"), ["file", "block", "place"])
+        mended = _mended(spark, path, stage_table(pieces.select("file", "owner", "offset", "content"), "torn"))
         new = [c for c in mended.columns if c not in ("file", "offset")]
         records = records.join(mended.select("file", "offset", F.lit(True).alias("_mended"), *[F.col(f"`{c}`").alias(f"_{c}") for c in new]), ["file", "offset"], "left")
         records = records.withColumns({c: F.when(F.col("_mended"), F.col(f"`_{c}`")).otherwise(F.col(f"`{c}`")) for c in new if c in records.columns})
@@ -199,9 +207,15 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
 
 def _mended(spark: SparkSession, path: str, pieces: DataFrame) -> DataFrame:
-    """Facts of the records whose header or payload holds the mark: their pieces are read again and joined."""
-    body = _pieces(spark, path).join(pieces.select("file", "block", "place", "offset", "owner"), ["file", "block", "place"])
-    joined = body.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("parts"))
+    """Facts of the records whose header or payload holds the mark: their pieces (file, owner, offset, content) are read again and joined.
+
+    Pieces of equal content are equal bytes, so nothing depends on where this read finds them.
+    """
+    wanted = pieces.select("content").distinct()
+    bodies = _pieces(spark, path).select("body", _content(F.col("body")).alias("content")).join(wanted, "content", "left_semi")
+    bodies = bodies.groupBy("content").agg(F.first("body").alias("body"))
+    # A piece that is not found again stays null and fails the record's completeness.
+    joined = pieces.join(bodies, "content", "left").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["body"].cast("string")), MARK)
     facts = _parsed(joined.select("file", F.col("owner").alias("offset"), text.cast("binary").alias("body")))
     payload = F.substring(F.col("body"), F.col("at") + 1, (F.col("need") - len(END) - F.col("at")).cast("int"))
@@ -219,14 +233,17 @@ def round_trip(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of (page_id, url, html) written and read back.
 
     A revisit has no payload of its own; both figures are those of the response that it refers to,
-    taken from that record's bytes. Null html is an empty payload.
+    taken from that record's bytes. Null html is an empty payload. A record that comes back cut is an error.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, min_payload)
     records = read_archives(spark, path, payloads=False)
-    records = stage_table(records.select(page_of(F.col("record_id")).alias("page_id"), "record_type", page_of(F.col("refers_to")).alias("refers_to"), "payload_bytes", "payload_digest", "header_digest"), "records")
+    records = stage_table(records.select(page_of(F.col("record_id")).alias("page_id"), "record_type", page_of(F.col("refers_to")).alias("refers_to"), "payload_bytes", "payload_digest", "header_digest", "complete"), "records")
     drop_staged(spark, path)
+    cut = records.where("NOT coalesce(complete, false)").count()
+    if cut:
+        raise RuntimeError(f"{cut} records were not read back whole")
     own = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
     # Responses of one page_id may be several; the payload is the one whose digest the revisit names.
     first = own.select(F.col("page_id").alias("to"), F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("b")).distinct()

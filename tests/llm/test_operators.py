@@ -151,6 +151,30 @@ def test_warc_mark_in_header(spark):
     assert back == {f"<urn:page:{k}>": u.replace("\r", "%0D").replace("\n", "%0A") for k, u in enumerate(urls)}
 
 
+def test_warc_reads_of_different_splits(spark, monkeypatch):
+    magic = "WARC/1.1\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
+    pages = spark.createDataFrame([(k, "u", magic * 3 + "y" * 300 * k) for k in range(8)], "page_id long, url string, html string").coalesce(1)
+    setting, pieces, reads = "spark.sql.files.maxPartitionBytes", warc._pieces, []
+    before = spark.conf.get(setting)
+
+    def other_splits(*args):
+        reads.append(1)
+        spark.conf.set(setting, "1m" if len(reads) == 1 else "2k")
+        return pieces(*args)
+
+    monkeypatch.setattr(warc, "_pieces", other_splits)
+    try:
+        got = {r.page_id: r.payload_bytes for r in warc.round_trip(pages).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert len(reads) == 2 and got == {k: len(magic) * 3 + 300 * k for k in range(8)}
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "_pieces", pieces)
+    monkeypatch.setattr(warc, "read_archives", lambda *a, **k: read(*a, **k).withColumn("complete", F.lit(False)))
+    with pytest.raises(RuntimeError, match="8 records"):
+        warc.round_trip(pages)
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.normal(size=(40, 16))
