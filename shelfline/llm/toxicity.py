@@ -1,7 +1,7 @@
 """Toxicity of deobfuscated text.
 
 1. A character trigram model is counted over all documents.
-2. Each text is restored: words with leetspeak, drawn-out letters or spaced-out letters become a
+2. Each text is restored: words with or of leetspeak, drawn-out letters or spaced-out letters become a
    lattice of what their characters may stand for, and the Viterbi path under the character model
    and the channel's costs is taken. A plain word has one reading only and is left as it is.
 3. Restored texts of labelled documents are cut into distinct words; counts of toxic and clean
@@ -17,6 +17,7 @@ character model) or a bounded one (the marks and their weights).
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ LEET = {
 #: Costs of the channel in nats: a leet character, a symbol left out, a drawn-out letter cut, a space left out.
 LEET_COST, DROP_COST, CUT_COST, SPACE_COST = 1.0, 7.0, 0.5, 0.7
 SIZE = 32
-#: A longer word is decoded in pieces of this length.
+#: After so many places of a long word, what all paths have in common is set aside.
 PIECE = 200
 DRAWN = re.compile(r"([^\W\d_])\1\1")
 EDGES = ".,;:!?\"'()[]{}<>-_/\\&%#~`^=…«»“”„"
@@ -115,15 +116,15 @@ def lattice(word: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
             readings = [(letter * k, LEET_COST * min(run, 3)) for letter in LEET[char] for k in range(1, min(run, 2) + 1)]
             places.append([*readings, (" ", DROP_COST)])
         else:
-            places.append([(" ", 0.0)])
+            places.append([(" ", 0.0), ("", SPACE_COST)])
         at += run
     return places
 
 
 def viterbi(places: list[list[tuple[str, float]]], costs: list[float]) -> str:
-    """The cheapest reading; ties go to the first in order."""
-    paths = {(0, 0): (0.0, "")}
-    for readings in [*places, [(" ", 0.0)]]:
+    """The cheapest reading; ties go to the first in order. Long words keep their paths short, see PIECE."""
+    paths, done = {(0, 0): (0.0, "")}, []
+    for number, readings in enumerate([*places, [(" ", 0.0)]]):
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, out) in paths.items():
             for text, extra in readings:
@@ -136,7 +137,10 @@ def viterbi(places: list[list[tuple[str, float]]], costs: list[float]) -> str:
                 if (x, y) not in after or total < after[x, y][0]:
                     after[x, y] = (total, out + text)
         paths = after
-    return min(paths.values())[1].strip()
+        if number % PIECE == PIECE - 1:
+            done.append(os.path.commonprefix([out for _, out in paths.values()]))
+            paths = {state: (cost, out[len(done[-1]) :]) for state, (cost, out) in paths.items()}
+    return ("".join(done) + min(paths.values())[1]).strip()
 
 
 class Restorer:
@@ -151,8 +155,7 @@ class Restorer:
         if (word, spaced) not in self.seen:
             if len(self.seen) >= self.KEPT:
                 self.seen.clear()
-            pieces = [word[k : k + PIECE] for k in range(0, len(word), PIECE)]
-            self.seen[word, spaced] = "".join(viterbi(lattice(p, spaced), self.costs) for p in pieces)
+            self.seen[word, spaced] = viterbi(lattice(word, spaced), self.costs)
         return self.seen[word, spaced]
 
     def __call__(self, text: str) -> str:
@@ -163,10 +166,12 @@ class Restorer:
         for token in text.split():
             if not token.isalpha():
                 core = token.strip(EDGES)
-                if len(core) == 1 and core.isalpha():
-                    single.append(core)
+                one = core or (token if len(token) == 1 else "")
+                if len(one) == 1 and (one.isalpha() or one in LEET):
+                    single.append(one)
                     continue
-                bare = core if core.isalpha() else token.rstrip(EDGES).lstrip(EDGES.replace("(", "").replace("!", ""))
+                # A bracket or exclamation mark in front may be a letter of a word, but not of a number.
+                bare = core if core.isalpha() or not WORDS.search(core) else token.rstrip(EDGES).lstrip(EDGES.replace("(", "").replace("!", ""))
                 if single:
                     out.append(self.flush(single))
                     single = []
@@ -183,18 +188,18 @@ class Restorer:
         return " ".join(out)
 
     def mixed(self, token: str) -> str:
-        """A word with other characters in it: i-d-i-o-t is spaced out, it's and well-known are words, others leetspeak."""
-        parts = WORDS.findall(token)
-        if not parts:
+        """A word with other characters in it: i-d-i-o-t is spaced out, it's and well-known are words, others, with letters or without, leetspeak."""
+        parts, leet = WORDS.findall(token), any(c in LEET for c in token)
+        if not parts and not leet:
             return ""
-        if len(parts) > 2 and all(len(p) == 1 for p in parts) and not any(c in LEET for c in token):
+        if len(parts) > 2 and all(len(p) == 1 for p in parts) and not leet:
             return self.flush(parts)
-        if not any(c in LEET for c in token) and not DRAWN.search(token):
+        if not leet and not DRAWN.search(token):
             return " ".join(parts)
         return self.word(token)
 
     def flush(self, letters: list[str]) -> str:
-        return " ".join(letters) if len(letters) < 3 else self.word(" ".join(letters), spaced=True)
+        return " ".join(c for c in letters if c.isalpha()) if len(letters) < 3 else self.word(" ".join(letters), spaced=True)
 
 
 def restored_words(docs: DataFrame, costs: list[float]) -> DataFrame:

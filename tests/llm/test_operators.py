@@ -225,6 +225,15 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(nothing, empty_costs, empty_model).count() == 0
 
 
+def test_restored(spark):
+    lines = [f"you are an idiot and an ass number {k} of them all" for k in range(50)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    restore = toxicity.Restorer(toxicity.character_costs(toxicity.character_counts(docs)))
+    assert [restore(t) for t in ("@$$", "455", "1 d 1 0 t", "i-d-1-0-t", "an !d10t, an @$$!")] == ["ass", "ass", "idiot", "idiot", "an idiot an ass"]
+    assert not restore("# - ?").strip() and restore("it's well-known") == "it s well known"
+    assert set(restore("i d i o t " * 60).split()) == {"idiot"}
+
+
 @pytest.mark.parametrize("item_bytes", [decontaminate.ITEM_BYTES, 200])
 def test_decontamination(spark, docs, nothing, item_bytes):
     items = [(1, text(300, 1)[:200]), (2, "One, TWO."), (3, None), (4, "..."), (1, text(25, 60)), (5, text(25, 60)), (None, "x y")]
