@@ -106,6 +106,11 @@ def components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     shingles and are their own component. Rows with equal sets are linked, also those of one doc_id;
     a row without id takes its component's id, null when no row of it has one.
     """
+    return _components(docs, width, percent).drop("part")
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """As :func:`components`, with ``part``, a name of the component that is null only without shingles."""
     spark = docs.sparkSession
     wide, wide_path = stage_at(_profiles(docs, width, percent), "profiles")
     profiles = stage_table(wide.drop("prefix", "other", "spare"), "profiles")
@@ -121,9 +126,9 @@ def components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     placed = profiles.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(parts, "node", "left")
     placed = placed.select("node", "low", F.coalesce("component", "node").alias("part"))
     smallest = placed.groupBy("part").agg(F.min("low").alias("component_id"))
-    placed = placed.join(smallest, "part").select("node", "component_id")
+    placed = placed.join(smallest, "part").select("node", "component_id", "part")
     joined = profiles.select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(placed, "node", "left")
-    return joined.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return joined.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "part")
 
 
 def _kept(classes: DataFrame) -> DataFrame:
@@ -287,11 +292,24 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 1 <
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: its smallest doc_id. Documents without shingles or id all stay."""
-    found = stage_table(components(docs.select("doc_id", "text"), width, percent), "components")
-    # Of rows that share the component's smallest id one text stays, and one row of it.
-    keep = found.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
-    lone = found.where("n_shingles = 0 OR component_id IS NULL").select("doc_id", "text_hash")
-    chosen = keep.select("k.doc_id", "k.text_hash").unionByName(lone).distinct()
-    names = chosen.select(F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_text"))
-    return docs.join(names, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.xxhash64("text") == F.col("_keep_text")), "left_semi")
+    """``docs`` with one row of each component: of its smallest doc_id, and of that id's text with the smallest hash.
+
+    Rows without id come last, so only a component without any id keeps one of them. Documents
+    without shingles are copies of nothing and all stay.
+    """
+    found = stage_table(_components(docs.select("doc_id", "text"), width, percent), "components")
+    counted = found.where("n_shingles > 0").groupBy("part", F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    chosen = counted.groupBy("part").agg(F.min(F.struct("none", "doc_id", "text_hash", "n")).alias("k"))
+    lone = found.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    chosen = stage_table(chosen.select("k.doc_id", "k.text_hash", "k.n").unionByName(lone.withColumn("n", F.lit(1).cast("long"))), "chosen")
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        names = keys.select(F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_text"))
+        return docs.join(names, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.xxhash64("text") == F.col("_keep_text")), "left_semi")
+
+    once, repeated = rows_of(chosen.where("n = 1")), chosen.where("n > 1")
+    if not repeated.take(1):
+        return once
+    # Of rows with one id and text the first in order of all columns stays.
+    first = rows_of(repeated).groupBy("doc_id", F.xxhash64("text").alias("_text")).agg(F.min(F.struct(*docs.columns)).alias("_first"))
+    return once.unionByName(first.select("_first.*"))

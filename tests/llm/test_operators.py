@@ -105,6 +105,21 @@ def test_jaccard(docs, nothing, width, percent):
     assert jaccard.components(nothing).count() == 0
 
 
+def test_one_of_each(spark):
+    a, b, c = text(60, 11), text(60, 12), text(60, 13)
+    rows = [(None, a), (None, a), (9, a), (8, a), (8, a), (8, a), (None, b), (None, b), (None, b + " "), (1, c), (1, c), (None, ""), (None, ""), (2, None), (2, None), (3, b + " " + c)]
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, place int")
+    sets = brute.op3([(k, t) for k, (_, t) in enumerate(rows)])
+    groups = collections.defaultdict(list)
+    for k, n, part in sets:
+        groups[part if n else -1 - k].append(k)
+    smallest = [min((rows[k][0] for k in g if rows[k][0] is not None), default=None) for g in groups.values()]
+    kept = jaccard.one_of_each(docs).collect()
+    same([r.doc_id for r in kept], smallest)
+    assert len({r.place for r in kept}) == len(kept)
+    assert all(sum(r.place in g for r in kept) == 1 for g in groups.values())
+
+
 def test_overlaps_in_slices():
     sets = [np.unique(np.random.default_rng(k).integers(0, 500, 200).astype(np.uint64)) for k in range(6)]
     assert (jaccard.overlaps(sets, sets[:4], 37) == [[len(set(a) & set(b)) for b in sets[:4]] for a in sets]).all()
