@@ -6,12 +6,13 @@
    and the channel's costs is taken. A plain word has one reading only and is left as it is.
 3. Restored texts of labelled documents are cut into distinct words; counts of toxic and clean
    documents by word and by word beginning give each a posterior share of toxic documents. Marks are
-   the words and beginnings whose share is surely high, the most widespread ``MOST_MARKS`` of them.
+   all words and beginnings whose share is surely high.
 4. A document's score is a logistic function of how many of its words carry each mark. Its weights
-   are fitted on at most ``SAMPLE`` labelled rows, chosen by md5 of the id.
+   are fitted on at most ``SAMPLE`` labelled rows, chosen by md5 of the id. Marks that these rows do
+   not have get their log odds over all rows, scaled like the fitted weights.
 
 All counts are Spark aggregates over all rows. What is sent to the tasks has a fixed size (the
-character model) or a bounded one (the marks and their weights).
+character model) or a bounded one (marks and weights); more marks are joined as a table.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -46,7 +48,8 @@ WORDS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(3, 9)
 #: A mark needs this many toxic documents, and its posterior share less Z deviations must exceed this.
 MIN_TOXIC, MIN_SHARE, Z = 3, 0.5, 1.0
-MOST_MARKS = 2_000
+#: So many marks are sent to the tasks; more are joined to the words.
+SENT_MARKS = 100_000
 #: Labelled rows that the weights are fitted on.
 SAMPLE = 40_000
 
@@ -222,11 +225,18 @@ def _features(word):
     return F.array_compact(F.array(whole, *begins))
 
 
-Model = tuple[list[str], list[float], float]
+#: Table of (mark, weight), its number of rows, intercept.
+Model = tuple[DataFrame, int, float]
+
+
+def _carried(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """(_row, the columns of ``marks``, hits): in how many words of each row of (_row, words) a mark is."""
+    each = rows.select("_row", F.explode("words").alias("word")).select("_row", F.explode(_features(F.col("word"))).alias("mark"))
+    return each.join(marks, "mark").groupBy("_row", *marks.columns).agg(F.count(F.lit(1)).alias("hits"))
 
 
 def learn(labelled: DataFrame, costs: list[float]) -> Model:
-    """(marks, weights, intercept) from rows of (doc_id, text, toxic 0/1). Without toxic rows there are no marks."""
+    """The model from rows of (doc_id, text, toxic 0/1). Without toxic rows there are no marks."""
     known = labelled.where("toxic IS NOT NULL").select("doc_id", "text", "toxic")
     words = stage_table(restored_words(known, costs).select("doc_id", "toxic", F.col("_words").alias("words")), "toxic-words")
     base = words.agg(F.avg("toxic")).first()[0] or 0.0
@@ -236,12 +246,19 @@ def learn(labelled: DataFrame, costs: list[float]) -> Model:
     share = a / (a + b)
     bound = share - Z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     strong = counted.where((F.col("bad") >= MIN_TOXIC) & (bound > MIN_SHARE))
-    strongest = strong.orderBy((F.col("bad") * bound).desc(), F.length("mark").desc(), "mark").limit(MOST_MARKS)
-    marks = [r["mark"] for r in strongest.select("mark").collect()]
+    marks = stage_table(strong.select("mark", F.log(a / b).alias("odds")), "toxic-marks")
     sample = words.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic").limit(SAMPLE)
-    rows = sample.select("toxic", _hits(marks, words.sparkSession)("words").alias("hits")).groupBy("toxic", "hits").count().collect()
-    weights, intercept = fit([(r["toxic"], r["count"], r["hits"]) for r in rows], len(marks))
-    return marks, weights, intercept
+    sample = stage_table(sample.select("toxic", "words", F.monotonically_increasing_id().alias("_row")), "toxic-sample")
+    hits = _carried(sample, marks).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("mark", "odds", "hits"))).alias("hits"))
+    rows = sample.select("_row", "toxic").join(hits, "_row", "left").groupBy("toxic", "hits").count().collect()
+    odds = {h["mark"]: h["odds"] for r in rows for h in r["hits"] or []}
+    number = {mark: k for k, mark in enumerate(sorted(odds))}
+    weights, intercept = fit([(r["toxic"], r["count"], [number[h["mark"]] for h in r["hits"] or [] for _ in range(h["hits"])]) for r in rows], len(number))
+    fitted = words.sparkSession.createDataFrame(list(zip(number, weights)), "mark string, weight double")
+    scale = sum(w * odds[m] for m, w in zip(number, weights)) / (sum(o * o for o in odds.values()) or 1.0)
+    weight = F.coalesce("weight", F.col("odds") * (scale if scale > 0 else 1.0)).alias("weight")
+    weighed = stage_table(marks.join(fitted, "mark", "left").select("mark", weight), "toxic-weights")
+    return weighed, weighed.count(), intercept
 
 
 def _automaton(marks: list[str]) -> ahocorasick.Automaton:
@@ -259,18 +276,6 @@ def marks_in(automaton, words: list[str]) -> list[int]:
     return sorted(number for _, number in automaton.iter("  ".join(["", *words, ""])))
 
 
-def _hits(marks: list[str], spark):
-    sent = spark.sparkContext.broadcast(marks)
-
-    @F.pandas_udf("array<int>")
-    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = _automaton(sent.value)
-        for lists in batches:
-            yield pd.Series([marks_in(automaton, list(words)) for words in lists], index=lists.index)
-
-    return hits
-
-
 def strength(hits: int) -> float:
     """A mark in many words of a text says more than in one, but less each time."""
     return math.log2(1 + hits)
@@ -282,10 +287,10 @@ def fit(rows: list[tuple[int, int, list[int]]], size: int, penalty: float = 0.00
     label = np.array([y for y, _, _ in rows], np.float64)
     at, column, value = [], [], []
     for k, (_, _, hits) in enumerate(rows):
-        for number in sorted(set(hits)):
+        for number, times in sorted(Counter(hits).items()):
             at.append(k)
             column.append(number)
-            value.append(strength(list(hits).count(number)))
+            value.append(strength(times))
     at, column, value = np.array(at, np.int64), np.array(column, np.int64), np.array(value, np.float64)
     w, b, total = np.zeros(size), -2.0, max(1.0, weight.sum())
     if not len(rows) or label.max() == label.min():
@@ -311,25 +316,39 @@ def fit(rows: list[tuple[int, int, list[int]]], size: int, penalty: float = 0.00
 
 def score(docs: DataFrame, costs: list[float], model: Model) -> DataFrame:
     """``docs`` with ``_score``: 0 to 1. Null and empty texts score like texts without a mark."""
-    sent = docs.sparkSession.sparkContext.broadcast((costs, model))
+    table, size, intercept = model
+    if size > SENT_MARKS:
+        return _score_by_join(docs, costs, model)
+    listed = table.orderBy("mark").collect()
+    sent = docs.sparkSession.sparkContext.broadcast((costs, [r["mark"] for r in listed], [r["weight"] for r in listed]))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own_costs, (marks, weights, intercept) = sent.value
+        own_costs, marks, weights = sent.value
         restore, automaton = Restorer(own_costs), _automaton(marks)
         for texts in batches:
             out = []
             for text in texts:
                 total = intercept
                 hits = marks_in(automaton, sorted(set(WORDS.findall(restore(text))))) if text else []
-                for number in set(hits):
-                    total += weights[number] * strength(hits.count(number))
+                for number, times in Counter(hits).items():
+                    total += weights[number] * strength(times)
                 out.append(1 / (1 + math.exp(-max(-50.0, min(50.0, total)))))
             yield pd.Series(out, dtype="float64", index=texts.index)
 
     return docs.withColumn("_score", scored("text"))
 
 
+def _score_by_join(docs: DataFrame, costs: list[float], model: Model) -> DataFrame:
+    """:func:`score` for marks that are too many to send: rows get a name and their words meet the table of marks."""
+    marks, _, intercept = model
+    rows = stage_table(restored_words(docs, costs).withColumn("_row", F.monotonically_increasing_id()), "scored-words")
+    hits = _carried(rows.select("_row", F.col("_words").alias("words")), marks)
+    totals = hits.groupBy("_row").agg(F.sum(F.col("weight") * F.log2(1.0 + F.col("hits"))).alias("_total"))
+    z = F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.coalesce("_total", F.lit(0.0)) + intercept))
+    return rows.join(totals, "_row", "left").select(*docs.columns, (1 / (1 + F.exp(-z))).alias("_score"))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[float], Model]:
     """Character costs from all of ``docs`` (doc_id, text), the model from those with a row in ``labels`` (doc_id, toxic).
 

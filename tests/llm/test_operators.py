@@ -240,6 +240,28 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(nothing, empty_costs, empty_model).count() == 0
 
 
+def test_every_mark_has_a_weight(spark, monkeypatch):
+    r = random.Random(3)
+    bad = ["".join(r.choice("abcdefghijklmnopqrstuvw") for _ in range(9)) for _ in range(330)]
+    lines = [(f"kala {w} mono", 1) for w in bad for _ in range(4)] + [("kala zyx mono", 1)] * 3 + [("kala mono", 0)] * 1500
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(lines)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(lines)], "doc_id long, toxic int")
+    asked = spark.createDataFrame([("zyx",), ("mono",), (f"{bad[0]} {bad[1]}",), (None,), (None,)], "text string")
+
+    def scores(costs, model):
+        return sorted((r.text or "", round(r._score, 9)) for r in toxicity.score(asked, costs, model).collect())
+
+    costs, model = toxicity.train(docs, labels)
+    sent = scores(costs, model)
+    assert dict(sent)["zyx"] > dict(sent)["mono"] and len(sent) == 5
+    monkeypatch.setattr(toxicity, "SENT_MARKS", 10)
+    assert scores(costs, model) == sent
+    # Also when the rows that the weights are fitted on do not have the mark.
+    monkeypatch.setattr(toxicity, "SAMPLE", 400)
+    fewer = dict(scores(*toxicity.train(docs, labels)))
+    assert min(fewer["zyx"], fewer[f"{bad[0]} {bad[1]}"]) > fewer["mono"]
+
+
 def test_restored(spark):
     lines = [f"you are an idiot and an ass number {k} of them all" for k in range(50)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
