@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import curriculum, decontaminate, embedding_dups, jaccard, language_id, line_dedup, merkle, token_counts, toxicity, url_reputation, warc
+from shelfline.llm import curriculum, decontaminate, embedding_dups, hard_negatives, jaccard, language_id, line_dedup, merkle, token_counts, toxicity, url_reputation, warc
 from shelfline.llm.common import remainder, table
 
 
@@ -72,6 +72,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), learned).select("doc_id", held_out, "_lang.lang_pred", "_lang.score")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.document_manifest(table(spark, folder, "documents", *merkle.FIELDS))
 
@@ -80,7 +86,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_curriculum_mix, op3_ngram_jaccard, op4_warc, op5_embedding_dups, op6_url_filter, op7_toxicity,
-        op8_decontaminate, op9_token_counts, op10_language_id, op13_merkle_manifest,
+        op8_decontaminate, op9_token_counts, op10_language_id,
+        op11_hard_negatives, op13_merkle_manifest,
     )
 }
 
@@ -132,6 +139,17 @@ found AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FR
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id AS other_id, b.r AS b, a.label = b.label AS alike, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)),
+pos AS (SELECT a, anchor_id, other_id AS positive_id, b, score AS positive_score FROM met WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id, b) <= 5),
+neg AS (SELECT p.*, m.other_id AS negative_id, m.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.b ORDER BY m.score DESC, m.other_id, m.b) AS rank
+  FROM pos p JOIN met m ON m.a = p.a AND NOT m.alike AND 80 * positive_score <= 100 * m.score AND 100 * m.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5""",
     "op13_merkle_manifest": f"""
 WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce('=' || lang, 'null') AS g,
   {_fields("doc_id", "source", "lang")} AS head, n_chars, {_fields("text")} AS tail FROM documents),
