@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import curriculum, decontaminate, embedding_dups, hard_negatives, jaccard, language_id, line_dedup, merkle, token_counts, toxicity, url_reputation, warc
+from shelfline.llm import curriculum, decontaminate, embedding_dups, hard_negatives, jaccard, language_id, line_dedup, merkle, personal_data, token_counts, toxicity, url_reputation, warc
 from shelfline.llm.common import remainder, table
 
 
@@ -78,6 +78,11 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", label))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return personal_data.report(docs, personal_data.learn(docs))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.document_manifest(table(spark, folder, "documents", *merkle.FIELDS))
 
@@ -87,7 +92,7 @@ QUERIES = {
     for f in (
         op1_line_dedup, op2_curriculum_mix, op3_ngram_jaccard, op4_warc, op5_embedding_dups, op6_url_filter, op7_toxicity,
         op8_decontaminate, op9_token_counts, op10_language_id,
-        op11_hard_negatives, op13_merkle_manifest,
+        op11_hard_negatives, op12_personal_data, op13_merkle_manifest,
     )
 }
 
