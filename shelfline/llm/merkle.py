@@ -145,6 +145,8 @@ def manifest(leaves: DataFrame, group: str, order: str, candidate: str = "leaf",
     rows = leaves.select(
         name.alias("tree"), F.col(group).alias("member_of"), F.col(order).alias("member_id"), F.col("leaf").alias("node"), F.col(candidate).alias("held")
     )
+    # Ranking reads its input twice; digests are taken once and written.
+    rows = stage_table(rows, "merkle-digests")
     ranked = global_rank(rows, [F.col("member_id").asc_nulls_first(), F.col("node"), F.col("held")], "place", keys=["tree"])
     placed = stage_table(ranked.withColumn("pos", F.col("place") - 1).drop("place"), "merkle-leaves")
     heights = placed.groupBy("tree").agg(F.max("member_of").alias("member_of"), _height(F.max("pos") + 1).alias("height"))
