@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import with_small
-from shelfline.session import stage_table
+from shelfline.operators import ordered
+from shelfline.session import spread, stage_table
 
 #: Letters that a character of leetspeak stands for.
 LEET = {
@@ -235,6 +236,23 @@ def _carried(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return each.join(marks, "mark").groupBy("_row", *marks.columns).agg(F.count(F.lit(1)).alias("hits"))
 
 
+def sampled(rows: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows, those with the smallest md5 of doc_id, ties by doc_id and label; all rows when there are no more.
+
+    A threshold worked out from the count leaves a few more rows than asked for, and only these are ranked,
+    over slabs: no task sees more than its share. Should the threshold leave too few, the sample is that much smaller.
+    """
+    count = rows.count()
+    if count <= size:
+        return rows
+    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    margin = 1.05 * size + 10 * math.sqrt(size)
+    prefix = F.conv(F.substring(order, 1, 12), 16, 10).cast("long")
+    few = rows.where(prefix <= int((1 << 48) * min(1.0, margin / count)))
+    ranked = ordered.global_rank(few.withColumn("_order", order), [F.col("_order"), F.col("doc_id"), F.col("toxic"), F.xxhash64("words")], "_rank")
+    return ranked.where(F.col("_rank") <= size).drop("_order", "_rank")
+
+
 def learn(labelled: DataFrame, costs: list[float]) -> Model:
     """The model from rows of (doc_id, text, toxic 0/1). Without toxic rows there are no marks."""
     known = labelled.where("toxic IS NOT NULL").select("doc_id", "text", "toxic")
@@ -247,8 +265,7 @@ def learn(labelled: DataFrame, costs: list[float]) -> Model:
     bound = share - Z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     strong = counted.where((F.col("bad") >= MIN_TOXIC) & (bound > MIN_SHARE))
     marks = stage_table(strong.select("mark", F.log(a / b).alias("odds")), "toxic-marks")
-    sample = words.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic").limit(SAMPLE)
-    sample = stage_table(sample.select("toxic", "words", F.monotonically_increasing_id().alias("_row")), "toxic-sample")
+    sample = stage_table(spread(sampled(words, SAMPLE)).select("toxic", "words", F.monotonically_increasing_id().alias("_row")), "toxic-sample")
     hits = _carried(sample, marks).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("mark", "odds", "hits"))).alias("hits"))
     rows = sample.select("_row", "toxic").join(hits, "_row", "left").groupBy("toxic", "hits").count().collect()
     odds = {h["mark"]: h["odds"] for r in rows for h in r["hits"] or []}

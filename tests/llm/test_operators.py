@@ -262,6 +262,17 @@ def test_every_mark_has_a_weight(spark, monkeypatch):
     assert min(fewer["zyx"], fewer[f"{bad[0]} {bad[1]}"]) > fewer["mono"]
 
 
+def test_sample_by_threshold(spark):
+    import hashlib
+
+    rows = [(k % 900, k % 2, [f"w{k}"]) for k in range(3000)] + [(None, 1, ["n"])] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, toxic int, words array<string>").repartition(7)
+    got = toxicity.sampled(frame, 500).collect()
+    order = lambda r: (hashlib.md5(str(r[0]).encode() if r[0] is not None else b"").hexdigest(), r[0] is not None, r[0] or 0, r[1])
+    assert sorted(order(tuple(r)) for r in got) == sorted(map(order, rows))[:500]
+    assert toxicity.sampled(frame, 5000).count() == len(rows)
+
+
 def test_restored(spark):
     lines = [f"you are an idiot and an ass number {k} of them all" for k in range(50)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
@@ -291,7 +302,7 @@ def test_token_counts(spark, docs, nothing):
     assert token_counts.counts(nothing, model).count() == 0
 
 
-def test_language_id(spark, nothing):
+def test_language_id(spark, nothing, monkeypatch):
     words = {"aa": "alpha beta gamma delta", "bb": "uno dos tres cuatro", "cc": "один два три"}
     rows = [(" ".join(random.Random(k).choices(v.split(), k=20)), lang) for lang, v in words.items() for k in range(10)]
     learned = language_id.profiles(spark.createDataFrame([*rows, (None, "aa"), ("x", None)], "text string, lang string"))
@@ -299,6 +310,10 @@ def test_language_id(spark, nothing):
     got = [tuple(r._lang) for r in language_id.predict(asked, learned).collect()]
     assert [g[0] for g in got] == ["aa", "bb", "cc", "und", "und", "und", "aa"] and all(0 <= g[1] <= 1 for g in got)
     assert language_id.predict(nothing, []).count() == 0
+    # Profiles that are too many to be sent at once are sent in groups, with the same answers.
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 1)
+    many = language_id.profiles(spark.createDataFrame(rows, "text string, lang string"))
+    assert many.count() == 3 and [tuple(r._lang) for r in language_id.predict(asked, many).collect()] == got
 
 
 def test_registered():
