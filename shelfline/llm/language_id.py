@@ -12,6 +12,7 @@ language is found with a ranked window that Spark cuts before the shuffle. Only
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline.session import stage_table
+
 PLACES = 400
-#: Profiles of so many languages are sent to the tasks (8 bytes an n-gram); more are refused.
+#: Profiles of so many languages are sent to the tasks at a time (8 bytes an n-gram); more go group by group.
 MOST_LANGUAGES = 5_000
 UNKNOWN = "und"
 BITS = 21
@@ -59,8 +62,12 @@ def ranked(codes: np.ndarray, places: int) -> np.ndarray:
     return values[np.argsort(-n, kind="stable")[:places]]
 
 
-def profiles(docs: DataFrame, places: int = PLACES) -> list[tuple[str, list[int]]]:
-    """(language, n-grams in rank order) from rows of (text, lang); rows with null in either teach nothing."""
+#: (language, n-grams in rank order), a list; or the staged table of them when they are too many for one.
+Profiles = list[tuple[str, list[int]]] | DataFrame
+
+
+def profiles(docs: DataFrame, places: int = PLACES) -> Profiles:
+    """Profiles from rows of (text, lang); rows with null in either teach nothing."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fold = fold_table()
@@ -82,10 +89,12 @@ def profiles(docs: DataFrame, places: int = PLACES) -> list[tuple[str, list[int]
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
     top = sums.withColumn("place", place).where(F.col("place") <= places)
     lists = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("list"))
-    found = lists.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-    return sorted((r["lang"], [x["gram"] for x in r["list"]]) for r in found)
+    table = stage_table(lists.select("lang", F.col("list.gram").alias("grams")), "language-profiles")
+    return table if table.count() > MOST_LANGUAGES else _listed(table)
+
+
+def _listed(table: DataFrame) -> list[tuple[str, list[int]]]:
+    return sorted((r["lang"], r["grams"]) for r in table.collect())
 
 
 def _counted(lang: str, parts: list[np.ndarray]) -> pd.DataFrame:
@@ -116,12 +125,25 @@ class Judge:
         return self.names[best], float(1 - total[best] / (len(own) * self.places))
 
 
-def predict(docs: DataFrame, learned: list[tuple[str, list[int]]], places: int = PLACES) -> DataFrame:
+def predict(docs: DataFrame, learned: Profiles, places: int = PLACES) -> DataFrame:
     """``docs`` with ``_lang``: struct (lang_pred, score). Texts that are null or without a letter are ``und``, score 0.
 
-    Whole texts are ranked, however long. Nothing but the text is read.
+    Whole texts are ranked, however long. Nothing but the text is read; a column ``_lang`` of the input is replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(learned)
+    if isinstance(learned, list):
+        return docs.withColumn("_lang", _judged(docs.sparkSession, learned, places))
+    spark, groups = docs.sparkSession, math.ceil(learned.count() / MOST_LANGUAGES)
+    # Hash groups are uneven: twice as many keep each of them below the bound.
+    numbered = learned.withColumn("group", F.pmod(F.xxhash64("lang"), F.lit(2 * groups)))
+    judged = [_judged(spark, _listed(numbered.where(F.col("group") == g)), places) for g in range(2 * groups)]
+    # A score is a distance over a length that all groups share; a group without a say answers "und" with 0.
+    ranked_ = F.array_sort(F.array(*[F.struct((-j["score"]).alias("away"), (j["lang_pred"] == UNKNOWN).alias("none"), j["lang_pred"].alias("lang")) for j in judged]))
+    best = ranked_[0]
+    return docs.withColumn("_lang", F.struct(best["lang"].alias("lang_pred"), F.abs(best["away"]).alias("score")))
+
+
+def _judged(spark, learned: list[tuple[str, list[int]]], places: int):
+    sent = spark.sparkContext.broadcast(learned)
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -130,4 +152,4 @@ def predict(docs: DataFrame, learned: list[tuple[str, list[int]]], places: int =
             out = [decide(grams(t, fold)) if t else (UNKNOWN, 0.0) for t in texts]
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    return docs.withColumn("_lang", judge("text"))
+    return judge("text")
