@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline.functions import calendar as cal
 from shelfline.operators import forecast as fc
 from shelfline.operators import frames as fr
 from shelfline.operators import inventory as inv
 from shelfline.operators import timeseries as ts
+from shelfline.operators.curves import Design
+from shelfline.plans import forecast_sql
 from shelfline.plans.frames import QUANTILE_SQL, quantile_forecast
 from shelfline.plans.registry import query
 from shelfline.plans.views import Tables
@@ -21,6 +24,10 @@ def promoted(daily: DataFrame) -> DataFrame:
     return daily.withColumn("is_promotional_period", F.dayofmonth("date") <= 7)
 
 
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
 GRID_SQL = ", ".join(
     "(VALUES " + ", ".join(f"('{v}')" if isinstance(v, str) else f"({v}::DOUBLE)" for v in values) + f") v{i}({name})"
     for i, (name, values) in enumerate(fc.SEARCH_SPACE.items())
@@ -36,23 +43,38 @@ def param_grid_cross(t: Tables) -> DataFrame:
     return fc.with_grid(t.daily_sales().groupBy("product_id").agg(F.count(F.lit(1)).alias("n_days")))
 
 
-@query("seasonal_forecast")
+def horizon_days(daily: DataFrame, horizon: int = 30) -> DataFrame:
+    """The calendar behind the last day of sales: what a promotion calendar knows ahead."""
+    last = daily.agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return promoted(last.select(F.explode(F.sequence(F.date_add("a", 1), F.date_add("b", horizon))).alias("date")))
+
+
+FORECAST_DESIGN = Design(regressors=("is_promotional_period",))
+
+
+@query("seasonal_forecast", forecast_sql.seasonal(FORECAST_DESIGN, "day(date) <= 7"), "daily_sales")
 def seasonal_forecast(t: Tables) -> DataFrame:
-    return fc.seasonal_forecast(fc.curve_rows(promoted(t.daily_sales()), ["is_promotional_period"]))
+    daily = promoted(t.daily_sales())
+    out = fc.seasonal_forecast(daily, FORECAST_DESIGN, future=horizon_days(daily))
+    return rounded(out, "yhat", "yhat_lower", "yhat_upper", "mape", "rmse", "mae", "coverage")
+
 
+def with_signals(t: Tables, days: DataFrame) -> DataFrame:
+    """Days with the usual temperature of the day of the year, the mean price index of the month, and whether it is a holiday.
 
-def with_signals(t: Tables, daily: DataFrame) -> DataFrame:
-    """Daily sales with the mean temperature of the day and the mean price index of the month."""
-    temperature = t.weather().groupBy("date").agg(F.avg("temp_c").alias("temp_c"))
-    index = t.cpi().groupBy("month").agg(F.avg("cpi_index").alias("cpi_index"))  # twelve rows
-    joined = daily.join(temperature, "date", "left").withColumn("month", F.month("date"))
-    return joined.join(F.broadcast(index), "month", "left").drop("month")
+    All three are known ahead.
+    """
+    usual = t.weather().groupBy(F.dayofyear("date").alias("_doy")).agg(F.avg("temp_c").alias("temp_c"))  # a row for each day of a year
+    index = t.cpi().groupBy(F.col("month").alias("_month")).agg(F.avg("cpi_index").alias("cpi_index"))  # twelve rows
+    joined = days.withColumns({"_doy": F.dayofyear("date"), "_month": F.month("date"), "is_holiday": F.array_contains(cal.holiday_array(), F.col("date"))})
+    return joined.join(F.broadcast(usual), "_doy", "left").join(F.broadcast(index), "_month", "left").drop("_doy", "_month")
 
 
 @query("dual_season_forecast")
 def dual_season_forecast(t: Tables) -> DataFrame:
-    """All SKUs: without a class table every SKU is forecast."""
-    return fc.dual_season_forecast(with_signals(t, promoted(t.daily_sales())), None)
+    """SKUs whose season is classed high, all SKUs when no class is known."""
+    daily = stage_table(t.daily_sales(), "daily")
+    return fc.dual_season_forecast(with_signals(t, promoted(daily)), ts.strength_classes(daily), future=with_signals(t, horizon_days(daily)))
 
 
 @query("arima_benchmark")
@@ -74,6 +96,14 @@ def hpo_best(t: Tables) -> DataFrame:
     return fr.best_trial(trials, ["product_id"], list(fc.SEARCH_SPACE), defaults)
 
 
+@query("error_by_horizon", forecast_sql.by_horizon(Design(weekly=3, yearly=3), fc.CURVE_HORIZONS, fc.MINIMUM_ROWS), "daily_sales")
+def error_by_horizon(t: Tables) -> DataFrame:
+    """Hold-out errors of every SKU, without its class."""
+    daily = t.daily_sales()
+    none = t.spark.createDataFrame([], "product_id string, category string")
+    return rounded(fc.error_by_horizon(daily, none).drop("tier"), "mape")
+
+
 @query("mape_vs_horizon")
 def mape_vs_horizon(t: Tables) -> DataFrame:
     daily = stage_table(t.daily_sales(), "daily")
@@ -82,7 +112,7 @@ def mape_vs_horizon(t: Tables) -> DataFrame:
 
 @query("quantile_forecast")
 def quantile_forecast_query(t: Tables) -> DataFrame:
-    return fc.quantile_forecast(fc.curve_rows(t.daily_sales()))
+    return fc.quantile_forecast(t.daily_sales())
 
 
 @query(

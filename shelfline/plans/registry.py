@@ -37,6 +37,8 @@ def with_views(sql: str, uses: str) -> str:
         return sql.strip()
     heads = ",\n".join(f"{v} AS ({SQL_VIEWS[v].strip()})" for v in wanted)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {heads},\n{body[5:]}"
     return f"WITH {heads}\n{body}"

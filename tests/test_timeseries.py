@@ -4,8 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.functions import arma, curves, series
-from shelfline.operators import forecast as fc
+from shelfline.functions import series
 from shelfline.operators import timeseries as ts
 
 START = dt.date(2023, 1, 1)
@@ -159,95 +158,3 @@ def test_differencing_and_analysis_series(spark):
     flags = spark.createDataFrame([("a", True)], "product_id string, recommend_differencing boolean")
     assert ts.analysis_series(df, flags).count() == 2
     assert ts.analysis_series(df, flags.withColumn("recommend_differencing", F.lit(False))).count() == 3
-
-
-def weekly(n=400, base=100.0, seed=0):
-    return np.maximum(1, base + 15 * np.sin(2 * np.pi * np.arange(n) / 7) + np.random.default_rng(seed).normal(0, 3, n))
-
-
-def test_seasonal_forecast_follows_the_week(spark):
-    df = frame(spark, s=weekly(), short=weekly(59))
-    got = fc.seasonal_forecast(fc.curve_rows(df)).orderBy("ds").collect()
-    assert {r["product_id"] for r in got} == {"s"} and len(got) == 30 and got[0]["ds"] == START + dt.timedelta(days=400)
-    truth = 100 + 15 * np.sin(2 * np.pi * np.arange(400, 430) / 7)
-    assert np.abs(np.array([r["yhat"] for r in got]) - truth).max() < 8
-    assert got[0]["mape"] < 0.08 and 0.7 < got[0]["coverage"] <= 1
-    assert all(r["yhat_lower"] < r["yhat"] < r["yhat_upper"] for r in got)
-
-
-def test_backtest_equals_refitting_at_every_cutoff():
-    y, t = weekly(260), np.arange(260.0)
-    curve = curves.Curve(t, y, yearly=2)
-    ends, tails = curves.cut_positions(t, 30, 30, 180)
-    fast = curves.Backtest(curve, ends, tails).run(0.05, 10.0, 10.0, 0.8)
-    errors = []
-    for end, tail in zip(ends, tails):
-        beta, *_ = curves.fit(curve, end)
-        errors += list(np.abs(curve.back(curve.x[end:tail] @ beta) - y[end:tail]) / y[end:tail])
-    assert fast["mape"] == pytest.approx(np.mean(errors))
-
-
-def test_regressors_and_multiplicative_target(spark):
-    promo = (np.arange(300) % 10 < 3).astype(float)
-    y = weekly(300) * (1 + promo)
-    df = frame(spark, s=y).withColumn("is_promotional_period", (F.datediff("date", F.lit(START)) % 10) < 3)
-    plain = fc.seasonal_forecast(fc.curve_rows(df)).first()["mape"]
-    helped = fc.seasonal_forecast(fc.curve_rows(df, ["is_promotional_period", "absent"]), log=True).first()["mape"]
-    assert helped < plain / 2
-
-
-def test_dual_season_uses_only_high_classes(spark):
-    df = frame(spark, a=weekly(100), b=weekly(100))
-    classes = spark.createDataFrame([("a", "high"), ("b", "low")], "product_id string, category string")
-    assert {r[0] for r in fc.dual_season_forecast(df, classes, 5).select("product_id").collect()} == {"a"}
-    assert fc.dual_season_forecast(df, None, 5).count() == 10
-
-
-def test_search_covers_the_grid(spark):
-    df = frame(spark, s=weekly(260), short=weekly(150), zero=np.zeros(260))
-    trials = fc.search_parameters(df)
-    got = {r["product_id"]: r for r in trials.groupBy("product_id").agg(
-        F.count("*").alias("n"), F.countDistinct("trial_id").alias("d"), F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.min("cv_mape").alias("m")).collect()}
-    assert all((r["n"], r["d"]) == (640, 640) for r in got.values())
-    assert got["s"]["ok"] == 640 and got["s"]["m"] < 0.1 and got["short"]["ok"] == 0 and got["zero"]["ok"] == 0
-
-
-def test_grid_size(spark):
-    assert fc.with_grid(spark.range(2)).count() == 1280
-
-
-def test_arma_recovers_an_autoregression():
-    rng, x = np.random.default_rng(2), np.zeros(1500)
-    for i in range(2, 1500):
-        x[i] = 0.6 * x[i - 1] - 0.3 * x[i - 2] + rng.normal()
-    value, aic = arma.forecast(x, 2, 0, 0, 0, 1)
-    assert value[0] == pytest.approx(0.6 * x[-1] - 0.3 * x[-2], abs=0.15)
-    assert aic < arma.forecast(x, 0, 0, 1, 0, 1)[1]
-
-
-def test_differenced_forecast_continues_a_trend():
-    value, _ = arma.forecast(np.arange(100.0) * 2, 0, 1, 0, 1, 5)
-    np.testing.assert_allclose(value, 198 + 2 * np.arange(1, 6), atol=0.5)
-
-
-def test_arima_benchmark(spark):
-    got = fc.arima_benchmark(frame(spark, s=weekly(200), short=weekly(89))).collect()
-    assert [r["product_id"] for r in got] == ["s"]
-    errors = {k: got[0][f"{k}_mape"] for k in ("arima", "prophet", "auto_arima")}
-    assert got[0]["winner"] == min(errors, key=errors.get) and min(errors.values()) < 0.1
-
-
-def test_error_by_horizon_skips_short_series(spark):
-    classes = spark.createDataFrame([("s", "high")], "product_id string, category string")
-    errors = fc.error_by_horizon(frame(spark, s=weekly(70), other=weekly(100)), classes)
-    got = {(r["product_id"], r["h"]): (r["tier"], r["mape"]) for r in errors.collect()}
-    assert got[("s", 7)][0] == "A" and got[("s", 7)][1] < 0.15 and got[("s", 14)] == ("A", None) and got[("other", 30)][0] == "C"
-    assert {r["product_id"] for r in fc.stable_skus(errors).collect()} <= {"other"}
-    assert fc.tier_error_curve(errors).filter("tier = 'A' AND h = 30").first()["mape"] is None
-
-
-def test_quantiles_are_ordered_and_widen(spark):
-    got = fc.quantile_forecast(fc.curve_rows(frame(spark, s=weekly(200), low=np.abs(noise(100))))).collect()
-    assert len(got) == 180 and all(0 <= r["p10"] <= r["p50"] <= r["p90"] for r in got)
-    width = {r["step"]: r["p90"] - r["p10"] for r in got if r["product_id"] == "s"}
-    assert width[90] > width[1]
