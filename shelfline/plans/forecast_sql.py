@@ -26,10 +26,10 @@ def ridge_sql(design: Design, seen: str) -> str:
     return "[" + ", ".join(f"{p}::DOUBLE" for p in parts) + "]"
 
 
-def points_sql(design: Design, minimum: int, regressor: str = "") -> str:
+def points_sql(design: Design, minimum: int, regressor: str = "", source: str = "daily_sales") -> str:
     x = row_sql(design, "day", f"CAST({regressor} AS INT)::DOUBLE" if regressor else "")
     return f"""
-known AS (SELECT product_id, date, date_diff('day', DATE '1970-01-01', date) AS day, quantity::DOUBLE AS y FROM daily_sales WHERE quantity IS NOT NULL),
+known AS (SELECT product_id, date, date_diff('day', DATE '1970-01-01', date) AS day, quantity::DOUBLE AS y FROM {source} WHERE quantity IS NOT NULL),
 spans AS (SELECT product_id, min(day) AS s, max(day) AS e, count(*) AS n FROM known GROUP BY 1 HAVING count(*) >= {minimum}),
 pts AS (SELECT product_id, day, s, e, n, y, {x} AS x, row_number() OVER (PARTITION BY product_id ORDER BY day DESC) AS b FROM known JOIN spans USING (product_id))"""
 
@@ -94,3 +94,19 @@ seg AS (SELECT product_id, x, y, greatest({passed}) AS cut FROM pts),
 measured AS (SELECT product_id, cut, avg(abs(y - list_inner_product(x, beta)) / CASE WHEN abs(y) < 1e-8 THEN 1.0::DOUBLE ELSE abs(y) END) AS mape
   FROM pts JOIN cuts USING (product_id) JOIN fits USING (product_id, cut) WHERE b <= cut GROUP BY ALL)
 SELECT product_id, cut AS h, round(mape, 4) AS mape FROM tasks LEFT JOIN measured USING (product_id, cut)"""
+
+
+def bands(design: Design, source: str, horizon: int, minimum: int = 60) -> str:
+    """CTEs up to ``qf`` (product_id, date, p10, p50, p90): the curve moved by the quantiles of its residuals."""
+    x = row_sql(design, "day")
+    value = lambda i: f"round(greatest(0, m + q[2] + (q[{i}] - q[2]) * wide), 4)"
+    return f"""{points_sql(design, minimum, source=source)},
+cuts AS (SELECT product_id, s, e, -1 AS cut FROM spans),
+seg AS (SELECT product_id, -1 AS cut, x, y FROM pts),
+{solve_sql(design, "1.25::DOUBLE")},
+edges AS (SELECT product_id, quantile_cont(y - list_inner_product(x, beta), [0.1, 0.5, 0.9]) AS q FROM pts JOIN fits USING (product_id) GROUP BY 1),
+days AS (SELECT product_id, s, e, unnest(range(1, {horizon + 1})) AS step FROM spans),
+dated AS (SELECT product_id, s, e, step, e + step AS day FROM days),
+ahead AS (SELECT product_id, step, DATE '1970-01-01' + CAST(day AS INT) AS date, {x} AS x FROM dated),
+drawn AS (SELECT product_id, date, sqrt(1 + step / 30.0::DOUBLE) AS wide, list_inner_product(x, beta) AS m, q FROM ahead JOIN fits USING (product_id) JOIN edges USING (product_id)),
+qf AS (SELECT product_id, date, {value(1)} AS p10, {value(2)} AS p50, {value(3)} AS p90 FROM drawn)"""

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import scalars as sc
+from shelfline.operators import forecast
 from shelfline.operators import frames as fr
+from shelfline.operators.curves import Design
+from shelfline.plans import forecast_sql
 from shelfline.plans.monitoring import FORECAST_SQL, naive_forecasts
 from shelfline.functions.scalars import percent_error
 from shelfline.plans.registry import query
@@ -15,16 +18,18 @@ from shelfline.plans.views import Tables
 CUT = "2001-10-05"  # first forecast day of the quantile frame
 
 
+BAND = Design(weekly=3, yearly=3)
+BAND_DAYS = 31
+
+
 def quantile_forecast(t: Tables) -> DataFrame:
-    """Forecast rows of the last month: last week's value with a band around it."""
-    p50 = F.col("l7")
-    rows = naive_forecasts(t).filter((F.col("date") >= F.lit(CUT).cast("date")) & p50.isNotNull())
-    return rows.select("product_id", "date", (p50 * 0.8).alias("p10"), p50.alias("p50"), (p50 * 1.2).alias("p90"))
+    """Forecast of the last month from the sales before it: curves with the quantiles of their residuals."""
+    known = t.daily_sales().filter(F.col("date") < F.lit(CUT).cast("date"))
+    out = forecast.residual_quantile_forecast(known, BAND_DAYS, BAND)
+    return out.withColumns({c: F.round(c, 4) for c in ("p10", "p50", "p90")})
 
 
-QUANTILE_SQL = "WITH " + FORECAST_SQL.strip() + f""",
-qf AS (SELECT product_id, date, l7 * 0.8::DOUBLE AS p10, l7 AS p50, l7 * 1.2::DOUBLE AS p90 FROM fc WHERE date >= DATE '{CUT}' AND l7 IS NOT NULL)
-"""
+QUANTILE_SQL = "WITH RECURSIVE " + FORECAST_SQL.strip() + ", " + forecast_sql.bands(BAND, f"(SELECT * FROM daily_sales WHERE date < DATE '{CUT}')", BAND_DAYS) + "\n"
 
 
 @query(
@@ -156,12 +161,12 @@ def union_hist_forecast(t: Tables) -> DataFrame:
 
 @query(
     "forecast_summary",
-    QUANTILE_SQL + "SELECT product_id, sum(p50) AS total_p50, round(avg(p50), 6) AS mean_p50, max(p90) AS max_p90, min(p10) AS min_p10 FROM qf GROUP BY 1",
+    QUANTILE_SQL + "SELECT product_id, round(sum(p50), 3) AS total_p50, round(avg(p50), 6) AS mean_p50, max(p90) AS max_p90, min(p10) AS min_p10 FROM qf GROUP BY 1",
     "daily_sales",
 )
 def forecast_summary(t: Tables) -> DataFrame:
     return quantile_forecast(t).groupBy("product_id").agg(
-        F.sum("p50").alias("total_p50"), F.round(F.avg("p50"), 6).alias("mean_p50"), F.max("p90").alias("max_p90"), F.min("p10").alias("min_p10")
+        F.round(F.sum("p50"), 3).alias("total_p50"), F.round(F.avg("p50"), 6).alias("mean_p50"), F.max("p90").alias("max_p90"), F.min("p10").alias("min_p10")
     )
 
 
@@ -192,13 +197,13 @@ SCENARIOS = [
     QUANTILE_SQL
     + """, s AS (SELECT * FROM (VALUES (10.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), (0, 5, 0), (20, -5, 4)) v(promo_pct, price_pct, temp_delta)),
 b AS (SELECT product_id, sum(p50) AS base_demand FROM qf GROUP BY 1)
-SELECT product_id, promo_pct, price_pct, temp_delta, base_demand,
-       round(base_demand * (1 + promo_pct / 100 + -1.5::DOUBLE * price_pct / 100 + 0.005::DOUBLE * temp_delta), 6) AS total_demand FROM b, s""",
+SELECT product_id, promo_pct, price_pct, temp_delta, round(base_demand, 3) AS base_demand,
+       round(base_demand * (1 + promo_pct / 100 + -1.5::DOUBLE * price_pct / 100 + 0.005::DOUBLE * temp_delta), 3) AS total_demand FROM b, s""",
     "daily_sales",
 )
 def whatif_demand(t: Tables) -> DataFrame:
     out = fr.whatif_demand(quantile_forecast(t), SCENARIOS, ["product_id"])
-    return out.withColumn("total_demand", F.round("total_demand", 6))
+    return out.withColumns({c: F.round(c, 3) for c in ("base_demand", "total_demand")})
 
 
 @query(
