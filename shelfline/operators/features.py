@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 from shelfline.functions import calendar as cal
 from shelfline.functions.scalars import clv_band, extreme_weather, high_risk_flag
-from shelfline.operators.ordered import as_of_join, decimal_sum, newest_per_key, one_row
+from shelfline.operators.ordered import decimal_sum, newest_per_key, one_row
+from shelfline.session import stage_by, stage_table
 
 RFM_LOOKBACK_DAYS = 90
 RFM_COLUMNS = ["recency_days", "frequency", "monetary", "avg_basket_size", "rfm_score"]
@@ -215,6 +216,30 @@ def service_columns(service: str) -> list[str]:
     return [f for v in chosen.views for f in VIEWS[v].fields] + list(chosen.on_demand)
 
 
+def rfm_history(sales: DataFrame, every: int = 7) -> DataFrame:
+    """RFM features and score of every customer at every snapshot day, one each ``every`` days.
+
+    A sale counts for the snapshots of the next ``RFM_LOOKBACK_DAYS`` days, so one pass over the sales and
+    one aggregate give all snapshots. Scores are scaled within a snapshot. Snapshots are the days whose
+    number since 1970 is divisible by ``every``.
+    """
+    day = F.unix_date(F.to_date("ts"))
+    first, last = F.ceil(day / every).cast("int"), F.floor((day + RFM_LOOKBACK_DAYS) / every).cast("int")
+    dealt = sales.filter(F.col("ts").isNotNull()).select(
+        "customer_id", day.alias("_day"), F.col("total_amount").alias("_amount"), F.explode(F.sequence(first, last)).alias("_snap")
+    ).withColumn("_snap", F.col("_snap") * every)
+    rfm = dealt.groupBy("customer_id", "_snap").agg(
+        (F.col("_snap") - F.max("_day")).cast("long").alias("recency_days"), F.count(F.lit(1)).alias("frequency"),
+        decimal_sum(F.col("_amount")).cast("double").alias("monetary"),
+    ).withColumn("avg_basket_size", F.col("monetary") / F.col("frequency"))
+    rfm = stage_table(rfm, "rfm-history")
+    bounds = rfm.groupBy("_snap").agg(*[fn(c).alias(f"_{side}_{c}") for c in RFM_WEIGHTS for side, fn in (("lo", F.min), ("hi", F.max))])
+    scaled = lambda c: (F.col(c) - F.col(f"_lo_{c}")) / (F.col(f"_hi_{c}") - F.col(f"_lo_{c}") + F.lit(1e-9)) * 4 + 1
+    score = (6 - scaled("recency_days")) * RFM_WEIGHTS["recency_days"] + scaled("frequency") * RFM_WEIGHTS["frequency"] + scaled("monetary") * RFM_WEIGHTS["monetary"]
+    at = F.date_from_unix_date("_snap").cast("timestamp_ntz").alias("event_ts")
+    return rfm.join(bounds, "_snap").withColumn("rfm_score", score).select("customer_id", at, *RFM_COLUMNS)
+
+
 def materialize_latest(view: FeatureView, source: DataFrame, start, end) -> DataFrame:
     """Newest row per entity key with its time inside [start, end]."""
     time = F.col(view.time)
@@ -223,27 +248,95 @@ def materialize_latest(view: FeatureView, source: DataFrame, start, end) -> Data
     return newest_per_key(inside, view.keys, [time.desc(), tie]).select(*view.keys, view.time, *view.fields)
 
 
+PERIOD = "event_period"
+
+
+def materialize(view: FeatureView, source: DataFrame, by: str = "month") -> DataFrame:
+    """The view's table in the shared folder: its keys, time, fields and ``event_period``, the first day of the row's period.
+
+    Each period is a folder, in which rows stand by time; ``by`` is "day", "week" or "month": the shortest whose
+    rows fill a file.
+    """
+    time = F.col(view.time)
+    rows = source.select(*view.keys, time, *view.fields, F.to_date(F.date_trunc(by, time)).alias(PERIOD)).filter(time.isNotNull())
+    return stage_by(rows, f"view-{view.name}", PERIOD, order=view.time)
+
+
+def view_report(view: FeatureView, table: DataFrame, start, end, now) -> DataFrame:
+    """One row: rows and entities of the interval, its first and last time, and the age of the newest row in days."""
+    time = F.col(view.time)
+    inside = within(table, view, F.lit(start), F.lit(end))
+    return inside.agg(
+        F.lit(view.name).alias("view"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*view.keys).alias("n_entities"),
+        F.min(time).alias("first_ts"), F.max(time).alias("last_ts"), F.datediff(F.to_date(F.lit(now)), F.to_date(F.max(time))).alias("age_days"),
+    )
+
+
+def within(table: DataFrame, view: FeatureView, start: Column, end: Column) -> DataFrame:
+    """Rows from ``start`` to ``end``; of a materialised table only the folders of their periods are opened.
+
+    A period that holds ``start`` may begin up to 31 days earlier.
+    """
+    time = F.col(view.time)
+    rows = table
+    if PERIOD in table.columns:
+        rows = rows.filter((F.col(PERIOD) >= F.date_sub(F.to_date(start), 31)) & (F.col(PERIOD) <= F.to_date(end)))
+    return rows.filter((time >= start.cast("timestamp_ntz")) & (time <= end.cast("timestamp_ntz")))
+
+
+def fresh_rows(view: FeatureView, table: DataFrame, now) -> DataFrame:
+    """Rows within the view's time to live."""
+    at = F.lit(now).cast("timestamp_ntz")
+    return within(table, view, at - F.expr(f"INTERVAL {view.ttl_days} DAYS"), at)
+
+
 def latest_feature_lookup(entities: DataFrame, sources: dict[str, DataFrame], now, references: Sequence[str] = ALL_REFERENCES) -> DataFrame:
     """Per entity row the newest value of every referenced feature, null beyond its time to live."""
     out = entities
     for name, fields in resolve_references(references).items():
         view = VIEWS[name]
-        at = F.lit(now).cast("timestamp_ntz")
-        fresh = sources[name].filter(
-            (F.col(view.time) <= at) & (F.col(view.time) >= at - F.expr(f"INTERVAL {view.ttl_days} DAYS"))
-        )
+        fresh = fresh_rows(view, sources[name], now)
         latest = newest_per_key(fresh, view.keys, [F.col(view.time).desc(), F.xxhash64(*fields)])
         out = out.join(latest.select(*view.keys, *fields), list(view.keys), "left")
     return out
 
 
+def recent_rows(asked: DataFrame, table: DataFrame, view: FeatureView, fields: Sequence[str]) -> DataFrame:
+    """(_row, _found): for each asked (_row, keys, _at) the newest row of ``table`` at or before it, not older than the time to live.
+
+    Time is cut into buckets as long as the time to live, so what is wanted lies in the bucket of the
+    asked time or the one before: an equality join on keys and bucket. Made for tables with few rows a
+    key and bucket, such as daily features; event streams go through ``ordered.as_of_join``.
+    """
+    seconds = view.ttl_days * 86400
+    bucket = lambda time: F.floor(F.unix_micros(F.to_timestamp(time)) / F.lit(seconds * 1_000_000)).cast("long")
+    looks = asked.select("*", F.explode(F.array(bucket(F.col("_at")), bucket(F.col("_at")) - 1)).alias("_bucket"))
+    value = F.struct(F.col(view.time).alias("_time"), F.xxhash64(*fields).alias("_tie"), *fields)
+    rows = table.filter(F.col(view.time).isNotNull()).select(*view.keys, value.alias("_found"), bucket(F.col(view.time)).alias("_bucket"))
+    met = looks.join(rows, [*view.keys, "_bucket"])
+    fits = (F.col("_found._time") <= F.col("_at")) & (F.col("_found._time") >= F.col("_at") - F.expr(f"INTERVAL {view.ttl_days} DAYS"))
+    return met.filter(fits).groupBy("_row").agg(F.max("_found").alias("_found"))
+
+
 def point_in_time_features(
     entities: DataFrame, sources: dict[str, DataFrame], entity_ts: str, references: Sequence[str] = ALL_REFERENCES
 ) -> DataFrame:
-    """Training frame: for each view an as-of join that never looks past the entity time."""
-    out = entities
-    for name, fields in resolve_references(references).items():
+    """Training frame: each entity row with every referenced feature as it was known at the row's time.
+
+    Only a row number, the keys and the time go to the views; what they find is brought together in one
+    aggregate and joined back once. Rows without a time, or older than a view's time to live, get nulls.
+    """
+    numbered = stage_table(entities.withColumn("_row", F.monotonically_increasing_id()), "entities")
+    wanted, parts = resolve_references(references), []
+    for name, fields in wanted.items():
         view = VIEWS[name]
-        source = sources[name].select(*view.keys, view.time, *fields)
-        out = as_of_join(out, source, view.keys, entity_ts, view.time, fields, view.ttl_days).drop("feature_ts")
-    return out
+        asked = numbered.select("_row", *view.keys, F.col(entity_ts).cast("timestamp_ntz").alias("_at")).filter(F.col("_at").isNotNull())
+        found = recent_rows(asked, sources[name], view, fields)
+        parts.append(found.select("_row", *[F.col(f"_found.{f}").alias(f) for f in fields]))
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    fields = [f for own in wanted.values() for f in own]
+    # A row meets a view once, so the maximum is its one value.
+    found = both.groupBy("_row").agg(*[F.max(f).alias(f) for f in fields])
+    return numbered.join(found, "_row", "left").select(*entities.columns, *fields)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from shelfline.operators import features as ft
 from shelfline.operators.ordered import as_of_join
 from shelfline.plans.registry import query
 from shelfline.plans.views import SNAPSHOT, Tables
+from shelfline.session import stage_table
 from shelfline.sources import readers
 
 LOOKUP_AT = "2000-06-15"
@@ -365,23 +369,131 @@ def materialize_latest(t: Tables) -> DataFrame:
     return rounded(out, {c: 6 for c in out.columns if c.startswith(("rolling", "momentum"))})
 
 
-def feature_sources(t: Tables) -> dict[str, DataFrame]:
-    """The four feature views over the test tables, at the grain of single parts."""
+def feature_sources(t: Tables, now: str) -> dict[str, DataFrame]:
+    """The four feature views as far as a lookup at ``now`` can see them: only what is within a time to live is worked out.
+
+    Demand windows count rows, so SKUs that sold within it keep their whole history; the others are left out.
+    """
     at = F.col("date").cast("timestamp_ntz").alias("event_ts")
-    daily = sku_daily(t)
-    rfm = ft.rfm_features(t.customer_sales(), LOOKUP_AT, bounded=True)
-    places = (
-        t.category_sales().select("product_id", "store_id", "category", "date").distinct()
-    )
+    near = F.col("date").between(F.date_sub(F.lit(now).cast("date"), 1), F.lit(now).cast("date"))
+    daily = sku_daily(t).filter(F.col("date") <= F.lit(now).cast("date"))
+    sold = daily.filter(near).select("product_id").distinct()
+    rfm = ft.rfm_features(t.customer_sales(), now, bounded=True)
+    places = t.category_sales().select("product_id", "store_id", "category", "date").filter(near).distinct()
+    external = ft.join_external(places, ft.with_extreme_weather(t.weather()), t.cpi())
+    return {
+        "customer_rfm_fv": rfm.withColumn("event_ts", F.lit(now).cast("timestamp_ntz")),
+        "sku_demand_fv": ft.demand_features(daily.join(sold, "product_id", "left_semi")).select("*", at),
+        "sku_date_fv": ft.date_features(daily.filter(near)).select("*", at),
+        "sku_external_fv": external.select("*", at),
+    }
+
+
+def feature_history(t: Tables) -> dict[str, DataFrame]:
+    """The four feature views over all days: weekly customer snapshots, daily SKU features."""
+    at = F.col("date").cast("timestamp_ntz").alias("event_ts")
+    daily = stage_table(sku_daily(t), "sku-daily")
+    places = t.category_sales().select("product_id", "store_id", "category", "date").distinct()
     external = ft.join_external(places, ft.with_extreme_weather(t.weather()), t.cpi())
     return {
-        "customer_rfm_fv": rfm.withColumn("event_ts", F.lit(LOOKUP_AT).cast("timestamp_ntz")),
+        "customer_rfm_fv": ft.rfm_history(t.customer_sales()),
         "sku_demand_fv": ft.demand_features(daily).select("*", at),
         "sku_date_fv": ft.date_features(daily).select("*", at),
         "sku_external_fv": external.select("*", at),
     }
 
 
+HISTORY_SQL = """
+WITH sales AS (SELECT customer_id, date_diff('day', DATE '1970-01-01', date) AS day, total_amount FROM pos),
+dealt AS (SELECT customer_id, day, total_amount, unnest(range(ceil(day / 7.0)::INT, floor((day + 90) / 7.0)::INT + 1)) * 7 AS snap FROM sales),
+rfm AS (SELECT customer_id, snap, snap - max(day) AS recency_days, count(*) AS frequency, CAST(sum(total_amount) AS DOUBLE) AS monetary FROM dealt GROUP BY 1, 2),
+crf AS (SELECT customer_id, CAST(DATE '1970-01-01' + CAST(snap AS INT) AS TIMESTAMP) AS event_ts, recency_days, frequency, monetary, monetary / frequency AS avg_basket_size,
+  (6 - ((recency_days - min(recency_days) OVER w) / (max(recency_days) OVER w - min(recency_days) OVER w + 1e-9::DOUBLE) * 4 + 1)) * 0.30::DOUBLE
+  + ((frequency - min(frequency) OVER w) / (max(frequency) OVER w - min(frequency) OVER w + 1e-9::DOUBLE) * 4 + 1) * 0.35::DOUBLE
+  + ((monetary - min(monetary) OVER w) / (max(monetary) OVER w - min(monetary) OVER w + 1e-9::DOUBLE) * 4 + 1) * 0.35::DOUBLE AS rfm_score
+  FROM rfm WINDOW w AS (PARTITION BY snap)),
+dem AS (SELECT product_id, CAST(date AS TIMESTAMP) AS event_ts, rolling_mean_7d, rolling_mean_14d, rolling_mean_30d, lag_1d, lag_7d,
+  (quantity - rolling_mean_7d) / (rolling_mean_7d + 1e-9::DOUBLE) AS momentum_7d FROM sku_demand_features),
+dat AS (SELECT product_id, CAST(date AS TIMESTAMP) AS event_ts, CAST(isodow(date) AS INT) AS day_of_week, CAST(weekofyear(date) AS INT) AS week_of_year,
+  isodow(date) >= 5 AS is_weekend, false AS is_promotional_period, CAST(DATE '2024-01-01' - date AS INT) AS days_to_next_holiday FROM sku_daily),
+ext AS (SELECT p.product_id, p.store_id, CAST(p.date AS TIMESTAMP) AS event_ts, temp_c, rain_mm, temp_c > 40 OR rain_mm > 50 AS is_extreme_weather, cpi_index, cpi_mom_change
+  FROM (SELECT DISTINCT product_id, store_id, category, date FROM pos) p LEFT JOIN weather w ON w.store_id = p.store_id AND w.date = p.date
+  LEFT JOIN cpi ON cpi.category = p.category AND cpi.month = month(p.date))
+"""
+VIEW_CTES = {"customer_rfm_fv": "crf", "sku_demand_fv": "dem", "sku_date_fv": "dat", "sku_external_fv": "ext"}
+ROUNDED = {**{c: 6 for v in ft.VIEWS.values() for c in v.fields if c.startswith(("rolling", "momentum"))}, "avg_basket_size": 6, "rfm_score": 4}
+
+
+def view_columns(table: str, view: ft.FeatureView, ttl: bool) -> str:
+    def one(c: str) -> str:
+        value = f"{table}.{c}" if c not in ROUNDED else f"round({table}.{c}, {ROUNDED[c]})"
+        return (f"CASE WHEN {table}.event_ts >= e.ts - INTERVAL {view.ttl_days} DAY THEN {value} END" if ttl else value) + f" AS {c}"
+
+    return ", ".join(one(c) for c in view.fields)
+
+
+@query(
+    "point_in_time_features_all",
+    HISTORY_SQL
+    + "SELECT e.transaction_id, e.customer_id, e.product_id, e.store_id, e.ts, "
+    + ", ".join(view_columns(table, ft.VIEWS[name], True) for name, table in VIEW_CTES.items())
+    + " FROM pos e "
+    + " ".join(
+        f"ASOF LEFT JOIN {table} ON " + " AND ".join(f"e.{k} = {table}.{k}" for k in ft.VIEWS[name].keys) + f" AND e.ts >= {table}.event_ts"
+        for name, table in VIEW_CTES.items()
+    ),
+    "pos sku_daily sku_demand_features weather cpi",
+)
+def point_in_time_features_all(t: Tables) -> DataFrame:
+    """All 21 features of the four views at the time of every sales line."""
+    lines = t.customer_sales().select("transaction_id", "customer_id", "product_id", "store_id", "ts")
+    return rounded(ft.point_in_time_features(lines, feature_history(t), "ts"), ROUNDED)
+
+
+@query(
+    "materialize_all",
+    HISTORY_SQL
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS "view", count(*) AS n_rows, count(DISTINCT ({', '.join(ft.VIEWS[name].keys)})) AS n_entities, min(event_ts) AS first_ts,
+max(event_ts) AS last_ts, CAST(DATE '{SNAPSHOT}' - CAST(max(event_ts) AS DATE) AS INT) AS age_days
+FROM {table} WHERE event_ts BETWEEN DATE '{SNAPSHOT}' - 90 AND DATE '{SNAPSHOT}'"""
+        for name, table in VIEW_CTES.items()
+    ),
+    "pos sku_daily sku_demand_features weather cpi",
+)
+def materialize_all(t: Tables) -> DataFrame:
+    """Each view written by day, with rows, entities and freshness of the last 90 days."""
+    start = str(datetime.date.fromisoformat(SNAPSHOT) - datetime.timedelta(days=90))
+    reports = [
+        ft.view_report(ft.VIEWS[name], ft.materialize(ft.VIEWS[name], source), start, SNAPSHOT, SNAPSHOT) for name, source in feature_history(t).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+@query(
+    "lookup_materialized",
+    HISTORY_SQL
+    + ", ids AS (SELECT DISTINCT product_id, store_id FROM pos)"
+    + "".join(
+        f""", {table}_new AS (SELECT * FROM {table} WHERE event_ts <= DATE '{LOOKUP_AT}' AND event_ts >= DATE '{LOOKUP_AT}' - {ft.VIEWS[name].ttl_days}
+QUALIFY row_number() OVER (PARTITION BY {', '.join(ft.VIEWS[name].keys)} ORDER BY event_ts DESC) = 1)"""
+        for name, table in VIEW_CTES.items() if name != "customer_rfm_fv"
+    )
+    + "SELECT ids.product_id, ids.store_id, "
+    + ", ".join(view_columns(f"{table}_new", ft.VIEWS[name], False) for name, table in VIEW_CTES.items() if name != "customer_rfm_fv")
+    + " FROM ids LEFT JOIN dem_new USING (product_id) LEFT JOIN dat_new USING (product_id) LEFT JOIN ext_new USING (product_id, store_id)",
+    "pos sku_daily sku_demand_features weather cpi",
+)
+def lookup_materialized(t: Tables) -> DataFrame:
+    """The demand group's features of every SKU and store, from tables of which a lookup opens two days."""
+    names = list(ft.SERVICES["demand"].views)
+    sources = feature_history(t)
+    tables = {name: ft.materialize(ft.VIEWS[name], sources[name]) for name in names}
+    ids = t.lines().select("product_id", "store_id").distinct()
+    references = [f"{name}:{f}" for name in names for f in ft.VIEWS[name].fields]
+    return rounded(ft.latest_feature_lookup(ids, tables, LOOKUP_AT, references), {c: n for c, n in ROUNDED.items() if c not in ft.RFM_COLUMNS})
+
+
 LOOKUP_SQL = f"""
 WITH ids AS (SELECT DISTINCT customer_id, product_id, store_id FROM pos),
 r AS (SELECT customer_id, date_diff('day', max(date), DATE '{LOOKUP_AT}') AS recency_days, count(*) AS frequency,
@@ -422,7 +534,7 @@ LEFT JOIN cpi ON cpi.category = ex.category AND cpi.month = month(ex.date)""",
 )
 def latest_feature_lookup(t: Tables) -> DataFrame:
     ids = t.customer_sales().select("customer_id", "product_id", "store_id").distinct()
-    out = ft.latest_feature_lookup(ids, feature_sources(t), LOOKUP_AT)
+    out = ft.latest_feature_lookup(ids, feature_sources(t, LOOKUP_AT), LOOKUP_AT)
     places = {c: 6 for c in out.columns if c.startswith(("rolling", "momentum"))}
     return rounded(out, {**places, "avg_basket_size": 6, "rfm_score": 4})
 
@@ -440,6 +552,30 @@ FROM (SELECT DISTINCT customer_id FROM ids) ids LEFT JOIN rs USING (customer_id)
 def feature_service_select(t: Tables) -> DataFrame:
     ids = t.customer_sales().select("customer_id").distinct()
     names = [r for r in ft.ALL_REFERENCES if r.startswith("customer_rfm_fv:")]
-    found = ft.latest_feature_lookup(ids, feature_sources(t), LOOKUP_AT, names)
+    found = ft.latest_feature_lookup(ids, feature_sources(t, LOOKUP_AT), LOOKUP_AT, names)
     out = ft.churn_risk_on_demand(found).select("customer_id", *ft.service_columns("churn"))
     return rounded(out, {"avg_basket_size": 6, "rfm_score": 4})
+
+
+@query(
+    "feature_service_demand",
+    LOOKUP_SQL
+    + """
+SELECT DISTINCT ids.product_id, ids.store_id, round(rolling_mean_7d, 6) AS rolling_mean_7d, round(rolling_mean_14d, 6) AS rolling_mean_14d,
+       round(rolling_mean_30d, 6) AS rolling_mean_30d, lag_1d, lag_7d, round(momentum_7d, 6) AS momentum_7d,
+       CAST(isodow(sd.date) AS INT) AS day_of_week, CAST(weekofyear(sd.date) AS INT) AS week_of_year, isodow(sd.date) >= 5 AS is_weekend,
+       CASE WHEN sd.date IS NOT NULL THEN false END AS is_promotional_period,
+       CASE WHEN sd.date IS NOT NULL THEN CAST(DATE '2024-01-01' - sd.date AS INT) END AS days_to_next_holiday,
+       temp_c, rain_mm, temp_c > 40 OR rain_mm > 50 AS is_extreme_weather, cpi_index, cpi_mom_change
+FROM (SELECT DISTINCT product_id, store_id FROM ids) ids LEFT JOIN sd USING (product_id) LEFT JOIN ex USING (product_id, store_id)
+LEFT JOIN weather w ON w.store_id = ex.store_id AND w.date = ex.date
+LEFT JOIN cpi ON cpi.category = ex.category AND cpi.month = month(ex.date)""",
+    "pos sku_daily sku_demand_features weather cpi",
+)
+def feature_service_demand(t: Tables) -> DataFrame:
+    """The demand group: three views and no on-demand feature."""
+    ids = t.lines().select("product_id", "store_id").distinct()
+    chosen = ft.SERVICES["demand"]
+    names = [f"{v}:{f}" for v in chosen.views for f in ft.VIEWS[v].fields]
+    out = ft.latest_feature_lookup(ids, feature_sources(t, LOOKUP_AT), LOOKUP_AT, names).select("product_id", "store_id", *ft.service_columns("demand"))
+    return rounded(out, {c: n for c, n in ROUNDED.items() if c not in ft.RFM_COLUMNS})

@@ -70,6 +70,15 @@ def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def stage_by(df: DataFrame, label: str, *columns: str, order: str | None = None) -> DataFrame:
+    """As :func:`stage_table`, in one folder for each value of ``columns``, so that a filter on them opens only its folders."""
+    path = scratch_path(df.sparkSession, label)
+    _STAGED.append(path)
+    dealt = df.hint("rebalance", *columns)
+    (dealt.sortWithinPartitions(*columns, order) if order else dealt).write.partitionBy(*columns).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Delete one staged table that no later step reads."""
     if path in _STAGED:
