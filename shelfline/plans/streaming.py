@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.plans.registry import query
 from shelfline.plans.views import Tables
 from shelfline.session import scratch_path
+from shelfline.sources import readers
 from shelfline.streaming import jobs
 
 
@@ -38,7 +39,7 @@ def ext_stream_upsert(t: Tables) -> DataFrame:
     rows = event_stream(t).select("user_id", F.to_date("ts").alias("day"), "event_id", "ts", "value")
     newest = [F.col("ts").desc(), F.col("event_id").desc()]
     jobs.stream_upsert(rows, path, scratch_path(t.spark, "checkpoint"), ["user_id", "day"], "day", newest)
-    return t.spark.read.parquet(path).select("user_id", "day", "event_id", "ts", "value")
+    return readers.read_table(t.spark, path).select("user_id", "day", "event_id", "ts", "value")
 
 
 @query(

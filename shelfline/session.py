@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline import files
+
 SCRATCH_SETTING = "spark.checkpoint.dir"
 _STAGED: list[str] = []
 _local_scratch: str | None = None
@@ -83,20 +85,14 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     """Delete one staged table that no later step reads."""
     if path in _STAGED:
         _STAGED.remove(path)
-    delete_path(spark, path)
-
-
-def delete_path(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder through the file system that its path names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files.delete(spark, path)
 
 
 def release_staged(spark: SparkSession) -> int:
     """Delete the tables this process has staged. Call it once their results are written or read."""
     released = 0
     while _STAGED:
-        released += bool(delete_path(spark, _STAGED.pop()))
+        released += bool(files.delete(spark, _STAGED.pop()))
     return released
 
 

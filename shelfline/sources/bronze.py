@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline import files
 from shelfline.operators.frames import enrich_metadata
-from shelfline.session import stage_table
-from shelfline.sources import schemas
+from shelfline.sources import commits, schemas
 from shelfline.sources.readers import read_csv
-from shelfline.sources.writers import append_by_column, append_by_month, audit_row, observed, path_exists
+from shelfline.sources.writers import add_months, audit_row, observed
 
 
 @dataclass(frozen=True)
@@ -25,17 +25,17 @@ class Source:
     system: str
     schema: T.StructType
     gate: tuple[str, ...]
-    publish: Callable[[DataFrame, str], None]
+    publish: Callable[..., None]
 
 
-def _by(column: str) -> Callable[[DataFrame, str], None]:
-    return lambda df, path: append_by_column(df, path, column)
+def _by(column: str) -> Callable[..., None]:
+    return lambda df, path, check: commits.write(df, path, [column], check=check)
 
 
 # Run order, source systems and gated keys.
 SOURCES = (
-    Source("pos", "POS", schemas.POS, ("transaction_id", "customer_id", "product_id"), append_by_month),
-    Source("ecommerce", "ECOMMERCE", schemas.ECOMMERCE, (), append_by_month),
+    Source("pos", "POS", schemas.POS, ("transaction_id", "customer_id", "product_id"), add_months),
+    Source("ecommerce", "ECOMMERCE", schemas.ECOMMERCE, (), add_months),
     Source("erp", "ERP", schemas.ERP, ("product_id", "store_id", "snapshot_date"), _by("snapshot_date")),
     Source("external", "EXTERNAL", schemas.EXTERNAL, (), _by("date")),
 )
@@ -46,18 +46,19 @@ class NullKeyError(ValueError):
 
 
 def land(spark: SparkSession, source: Source, landed: str, table: str) -> int:
-    """Read, stamp, stage, check the keys on the way, then publish. Returns the row count."""
+    """Read, stamp, write and count in one pass; the commit follows only when no key is missing. Returns the row count."""
     df = enrich_metadata(read_csv(spark, landed, source.schema), source.system)
     missing = F.lit(False)
     for key in source.gate:
         missing = missing | F.col(key).isNull()
     counted, seen = observed(df, source.name, n_rows=F.count(F.lit(1)), n_bad=F.count_if(missing))
-    staged = stage_table(counted, source.name)
-    counts = seen.get
-    if counts["n_bad"]:
-        raise NullKeyError(f"{source.name}: {counts['n_bad']} rows without {', '.join(source.gate)}")
-    source.publish(staged, table)
-    return counts["n_rows"]
+
+    def gate() -> None:
+        if seen.get["n_bad"]:
+            raise NullKeyError(f"{source.name}: {seen.get['n_bad']} rows without {', '.join(source.gate)}")
+
+    source.publish(counted, table, check=gate)
+    return seen.get["n_rows"]
 
 
 def ingest_all(spark: SparkSession, landed: dict[str, str], tables: str, audit: str) -> DataFrame:
@@ -65,7 +66,7 @@ def ingest_all(spark: SparkSession, landed: dict[str, str], tables: str, audit:
     outcome = []
     for source in SOURCES:
         path, table = landed.get(source.name), f"{tables}/{source.name}"
-        if path is None or not path_exists(spark, path):
+        if path is None or not files.exists(spark, path):
             outcome.append((source.name, "SKIPPED", None))
             continue
         run = uuid.uuid4().hex

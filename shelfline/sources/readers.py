@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline import files
 from shelfline.functions.calendar import HOLIDAYS
 from shelfline.session import scratch_path
+from shelfline.sources import commits
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
@@ -24,10 +26,12 @@ def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A partitioned table folder; columns added by later appends are null in older files.
+    """A table with commits, or a partitioned folder; columns added by later writes are null in older files.
 
-    A given schema saves opening every file footer to merge theirs.
+    A plain folder has no schema of its own: a given one saves opening every file footer to merge theirs.
     """
+    if commits.last_commit(spark, path) is not None:
+        return commits.read(spark, path)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     return reader.parquet(path)
 
@@ -72,8 +76,7 @@ def write_holiday_file(spark: SparkSession) -> str:
 def load_holidays(spark: SparkSession, path: str) -> DataFrame:
     """JSON array (or lines) of {date, name, type}; a missing file is an empty calendar."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("date", "name", "type")])
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], schema).withColumn("date", F.to_date("date"))
     first = spark.read.text(path).limit(1).first()
     array = first is not None and first[0].lstrip().startswith("[")

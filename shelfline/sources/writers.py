@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.ordered import newest_per_key
 from shelfline.session import stage_table
+from shelfline.sources import commits
 
 AUDIT_SCHEMA = (
     "run_id string, job string, event string, at timestamp, inputs array<string>, outputs array<string>, "
@@ -18,11 +19,6 @@ AUDIT_SCHEMA = (
 )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def _layout(df: DataFrame, *columns: str) -> DataFrame:
     """Bring equal partition values together before a write.
 
@@ -38,6 +34,12 @@ def append_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
     _layout(dated, "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
 
 
+def add_months(df: DataFrame, path: str, time: str = "timestamp", check=None) -> None:
+    """Add rows to a table with commits, partitioned by year and month of ``time``; rows without a time are in year 0, month 0."""
+    dated = df.withColumns({"year": F.coalesce(F.year(time), F.lit(0)), "month": F.coalesce(F.month(time), F.lit(0))})
+    commits.write(dated, path, ["year", "month"], check=check)
+
+
 def append_by_column(df: DataFrame, path: str, column: str) -> None:
     _layout(df, column).write.mode("append").partitionBy(column).parquet(path)
 
@@ -57,32 +59,27 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def upsert(
     source: DataFrame, path: str, keys: Sequence[str], partition: str, newest: Sequence[Column] | None = None
 ) -> None:
-    """Insert new keys and replace known ones in a partitioned table.
+    """Insert new keys and replace known ones in a table with commits (see ``sources.commits``).
 
     ``partition`` must be a key or a function of one, so that a key never changes partition.
-    Only the partitions the source touches are read and rewritten, from a staged copy. The first
-    write creates the table; any failure is raised, never turned into an overwrite.
-    With ``newest`` a known row is replaced only if the new one comes first in that order.
+    Only the partitions the source touches are read and written anew, once, beside the old ones; a
+    write that breaks before its commit leaves the table as it was. With ``newest`` a known row is
+    replaced only if the new one comes first in that order.
     """
     spark = source.sparkSession
     source = stage_table(source, "upsert-source")
     check_unique(source, keys)
-    # One value per touched partition, no more than the table has folders: literals prune the scan.
-    touched = [r[0] for r in source.select(partition).distinct().collect()]
-    if None in touched:
-        raise ValueError(f"rows without a value for {partition}")
-    if not path_exists(spark, path):
-        _layout(source, partition).write.partitionBy(partition).parquet(path)
-        return
-    target = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(partition).isin(touched))
-    if newest:
-        merged = newest_per_key(target.unionByName(source, allowMissingColumns=True), keys, newest)
+    commit = commits.last_commit(spark, path)
+    touched = source.select(partition).distinct()
+    if commit is None:
+        merged = source
     else:
-        kept = target.join(source.select(*keys), list(keys), "left_anti")
-        merged = kept.unionByName(source, allowMissingColumns=True)
-    merged = stage_table(merged, "upsert-merged")
-    out = _layout(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(partition).parquet(path)
+        target = commits.read(spark, path, commit, only=touched)
+        if newest:
+            merged = newest_per_key(target.unionByName(source, allowMissingColumns=True), keys, newest)
+        else:
+            merged = target.join(source.select(*keys), list(keys), "left_anti").unionByName(source, allowMissingColumns=True)
+    commits.write(merged, path, [partition], replaces=touched)
 
 
 def upsert_customer_features(df: DataFrame, path: str) -> None:

@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.sources import bronze, readers, schemas, writers
+from shelfline import files
+from shelfline.sources import bronze, commits, readers, schemas, writers
 
 D, T = dt.date, dt.datetime
 POS_HEADER = "transaction_id,customer_id,product_id,store_id,timestamp,quantity,unit_price,total_amount,return_flag\n"
@@ -97,7 +98,7 @@ def test_upsert_inserts_updates_and_is_idempotent(spark, tmp_path, rows):
     change = [("a", one, 9.0), ("c", one, 4.0)]
     for _ in range(2):
         upsert(spark, path, change)
-        got = rows(spark.read.parquet(path), "customer_id", "snapshot_date", "monetary")
+        got = rows(readers.read_table(spark, path), "customer_id", "snapshot_date", "monetary")
         assert got == [("a", one, 9.0), ("a", two, 3.0), ("b", one, 2.0), ("c", one, 4.0)]
 
 
@@ -106,7 +107,7 @@ def test_upsert_refuses_duplicate_keys_and_keeps_the_table(spark, tmp_path):
     upsert(spark, path, [("a", D(2024, 1, 1), 1.0)])
     with pytest.raises(ValueError):
         upsert(spark, path, [("b", D(2024, 1, 1), 1.0), ("b", D(2024, 1, 1), 2.0)])
-    assert spark.read.parquet(path).count() == 1
+    assert readers.read_table(spark, path).count() == 1
 
 
 def test_upsert_accepts_a_new_column(spark, tmp_path):
@@ -127,7 +128,7 @@ def test_ingest_all_isolates_failures(spark, tmp_path):
     assert got["erp"][0].startswith("FAILED: erp: 1 rows without")
     table = readers.read_table(spark, str(tmp_path / "bronze" / "pos")).first()
     assert (table["year"], table["month"], table["source_system"]) == (2024, 1, "POS")
-    assert not writers.path_exists(spark, str(tmp_path / "bronze" / "erp"))
+    assert not files.exists(spark, str(tmp_path / "bronze" / "erp"))
     events = sorted((r["job"], r["event"], r["row_count"]) for r in spark.read.parquet(audit).collect() if r["job"] == "ingest_pos")
     assert events == [("ingest_pos", "COMPLETE", 1), ("ingest_pos", "START", None)]
 
@@ -170,21 +171,71 @@ def test_external_table_by_day(spark, tmp_path):
 def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "silver")
     upsert(spark, path, [("a", D(2024, 1, d), 1.0) for d in range(1, 11)])
-    plans = []
-    original = writers.stage_table
+    plans, original = [], commits.write
 
-    def spy(df, label):
-        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
-        return original(df, label)
+    def spy(rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return original(rows, *args, **kwargs)
 
-    monkeypatch.setattr(writers, "stage_table", spy)
+    monkeypatch.setattr(commits, "write", spy)
     upsert(spark, path, [("a", D(2024, 1, 3), 2.0)])
-    plan = dict(plans)["upsert-merged"]
-    assert "snapshot_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "silver").glob("snapshot_date=*")}
-    upsert(spark, path, [("a", D(2024, 1, 4), 2.0)])
-    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "silver").glob("snapshot_date=*")}
-    assert [k for k in before if before[k] != after[k]] == ["snapshot_date=2024-01-04"]
+    assert "dynamicpruning" in plans[0].split("PartitionFilters: [")[1].split("]")[0]
+    first, second = sorted((tmp_path / "silver" / "data").glob("write_id=*"), key=lambda p: len(list(p.glob("snapshot_date=*"))), reverse=True)
+    assert [p.name for p in second.glob("snapshot_date=*")] == ["snapshot_date=2024-01-03"]
+
+
+def state(spark, path):
+    return sorted(tuple(r) for r in readers.read_table(spark, path).collect())
+
+
+def test_a_write_that_breaks_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    upsert(spark, path, [("a", D(2024, 1, 1), 1.0), ("b", D(2024, 1, 2), 2.0)])
+    before, original = state(spark, path), files.create
+
+    def broken(*_):
+        raise OSError("lost on the way")
+
+    monkeypatch.setattr(files, "create", broken)  # rows are written, the commit is not
+    with pytest.raises(OSError):
+        upsert(spark, path, [("a", D(2024, 1, 1), 9.0)])
+    assert state(spark, path) == before and commits.last_commit(spark, path).number == 1
+    monkeypatch.setattr(files, "create", original)
+    monkeypatch.setattr(files, "delete", lambda *_: False)  # a process that dies cannot clean up either
+    monkeypatch.setattr(files, "create", broken)
+    with pytest.raises(OSError):
+        upsert(spark, path, [("a", D(2024, 1, 1), 9.0)])
+    monkeypatch.undo()
+    assert state(spark, path) == before and len(list((tmp_path / "silver" / "data").glob("write_id=*"))) == 2
+    upsert(spark, path, [("a", D(2024, 1, 1), 5.0), ("c", D(2024, 1, 1), 6.0)])
+    after = state(spark, path)
+    assert [r[0] for r in after] == ["a", "b", "c"] and commits.last_commit(spark, path).n_rows == 3
+    assert commits.vacuum(spark, path) > 0 and state(spark, path) == after
+    assert len(list((tmp_path / "silver" / "data").glob("write_id=*"))) == 2  # b is still live in the first write
+
+
+def test_of_two_commits_with_one_number_one_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    upsert(spark, path, [("a", D(2024, 1, 1), 1.0)])
+    stale = commits.last_commit(spark, path)
+    upsert(spark, path, [("b", D(2024, 1, 1), 2.0)])
+    now, latest = state(spark, path), commits.last_commit
+    monkeypatch.setattr(commits, "last_commit", lambda *_: stale)
+    with pytest.raises(Exception, match="(?i)exist"):
+        upsert(spark, path, [("c", D(2024, 1, 1), 3.0)])
+    monkeypatch.setattr(commits, "last_commit", latest)
+    assert state(spark, path) == now
+
+
+def test_landing_writes_each_feed_once(spark, tmp_path):
+    from shelfline import session
+
+    good = put(tmp_path, "pos.csv", POS_HEADER + "t1,c,p,s,2024-01-05 10:00:00,2,1.5,3.0,true\nt2,c,p,s,not a time,2,1.5,3.0,true\n")
+    staged = list(session._STAGED)
+    table = str(tmp_path / "pos")
+    assert bronze.land(spark, bronze.SOURCES[0], good, table) == 2 and bronze.land(spark, bronze.SOURCES[0], good, table) == 2
+    assert session._STAGED == staged and readers.read_table(spark, table).count() == 4
+    assert len(list((tmp_path / "pos" / "data").glob("write_id=*"))) == 2
 
 
 def test_upsert_needs_a_partition_value(spark, tmp_path):

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from shelfline.sources import readers
 from shelfline.streaming import jobs
 
 SCHEMA = "user_id string, event_type string, ts timestamp_ntz, value double"
@@ -35,7 +36,7 @@ def test_upsert_keeps_the_newest_whatever_the_order(spark, tmp_path):
     land(spark, source, [("a", "x", at(10), 9.0), ("c", "x", at(3), 3.0)])
     rows = stream(spark, source).withColumn("day", F.to_date("ts"))
     jobs.stream_upsert(rows, out, state, ["user_id", "day"], "day", [F.col("ts").desc()])
-    assert sorted((r["user_id"], r["value"]) for r in spark.read.parquet(out).collect()) == [("a", 5.0), ("b", 1.0), ("c", 3.0)]
+    assert sorted((r["user_id"], r["value"]) for r in readers.read_table(spark, out).collect()) == [("a", 5.0), ("b", 1.0), ("c", 3.0)]
 
 
 def test_windows_close_with_the_watermark(spark, tmp_path):
