@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.ordered import running_totals, unpivot_numeric
+from shelfline.operators.ordered import unpivot_numeric
 from shelfline.operators.profiling import numeric_columns
-from shelfline.session import stage_table
+from shelfline.operators.refine import largest_gap
 
 # Drift limits and the floor of a bin's share.
 PSI_LIMIT = 0.20
@@ -46,13 +46,6 @@ def sided_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.select("column", "value", *counts)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts on both sides per column and distinct value."""
-    return sided_values(df, columns).groupBy("column", "value").agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_prod").alias("n_prod")
-    )
-
-
 def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin by comparison with the inner edges; the largest value falls in the last bin."""
     step = (hi - lo) / bins
@@ -110,21 +103,15 @@ def kolmogorov_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.least(series, F.lit(1.0)), F.lit(0.0)))
 
 
-def _ks(counts: DataFrame) -> DataFrame:
-    run = running_totals(
-        counts, [F.col("value")], {"ref": F.col("n_ref"), "prod": F.col("n_prod")}, keys=["column"], with_totals=True
-    )
-    gap = F.abs(F.try_divide("ref", "ref_total") - F.try_divide("prod", "prod_total"))
-    found = run.groupBy("column").agg(
-        F.max(gap).alias("ks"), F.max("ref_total").alias("n_ref"), F.max("prod_total").alias("n_prod")
-    )
+def _ks(rows: DataFrame) -> DataFrame:
+    found = largest_gap(rows).withColumnRenamed("gap", "ks")
     p = F.when(F.col("ks").isNull(), 1.0).otherwise(kolmogorov_p(F.col("ks"), F.col("n_ref"), F.col("n_prod")))
     return found.select("column", F.coalesce("ks", F.lit(0.0)).alias("ks"), p.alias("p_value"))
 
 
 def ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov statistic and p-value per column."""
-    found = _with_all(_ks(value_counts(df, columns)), columns)
+    found = _with_all(_ks(sided_values(df, columns)), columns)
     return found.select("column", F.coalesce("ks", F.lit(0.0)).alias("ks"), F.coalesce("p_value", F.lit(1.0)).alias("p_value"))
 
 
@@ -137,11 +124,10 @@ def _with_all(found: DataFrame, columns: Sequence[str]) -> DataFrame:
 def drift_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """PSI, KS and the drift flag per column, rounded for reporting.
 
-    Both statistics read one staged table of value counts, so the input is scanned once.
+    Bounds, bins and the grid of the KS statistic are aggregates over the input; only cells that can
+    hold the largest gap are read again. No copy of the values is written.
     """
-    counts = stage_table(value_counts(df, columns), "value-counts")
-    bounds = counts.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    joined = _psi(bin_shares(counts, bounds, 10)).join(_ks(counts), "column")
+    joined = psi(df, columns).join(_ks(sided_values(df, columns)), "column")
     joined = _with_all(joined, columns).na.fill({"psi": 0.0, "ks": 0.0, "p_value": 1.0})
     flag = (F.col("psi") > PSI_LIMIT) | (F.col("p_value") < P_LIMIT)
     return joined.select(

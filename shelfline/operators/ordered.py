@@ -148,30 +148,6 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], ids: Sequence[str] =
     return casted.unpivot(list(ids), list(columns), "column", "value")
 
 
-def exact_quantiles(
-    long: DataFrame, probs: Sequence[float], group: str = "column", value: str = "value"
-) -> DataFrame:
-    """Linearly interpolated exact quantiles per group: columns ``q0, q1, …``.
-
-    Rows collapse to distinct values first; the running count over the ordered distinct
-    values then locates each rank, so no task ever holds a whole column.
-    """
-    counts = long.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, [F.col(value)], {"_upto": F.col("_n")}, keys=[group], with_totals=True)
-    picks = []
-    for i, p in enumerate(probs):
-        at = (F.col("_upto_total") - 1) * F.lit(float(p))
-        picks.append(F.min(F.when(F.col("_upto") > F.floor(at), F.col(value))).alias(f"_lo{i}"))
-        picks.append(F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).alias(f"_hi{i}"))
-    found = ranked.groupBy(group).agg(F.max("_upto_total").alias("n_values"), *picks)
-    out = [F.col(group), F.col("n_values")]
-    for i, p in enumerate(probs):
-        at = (F.col("n_values") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(f"q{i}"))
-    return found.select(*out)
-
-
 def one_row(df: DataFrame, **aggregates: Column) -> Column:
     """A struct of whole-table aggregates as a scalar subquery column."""
     return df.agg(F.struct(*[c.alias(n) for n, c in aggregates.items()]).alias("stats")).scalar()

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.operators.ordered import exact_quantiles, one_row, unpivot_numeric
+from shelfline.operators.ordered import one_row, unpivot_numeric
+from shelfline.operators.refine import exact_quantiles
 from shelfline.session import stage_table
 
 
@@ -168,19 +169,23 @@ def profile_summary(df: DataFrame) -> DataFrame:
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """One row per column: counts, most frequent value for text, moments and quartiles for numbers."""
+    """One row per column: counts, most frequent value for text, moments and quartiles for numbers.
+
+    A column that is neither number nor text, such as a time, is described by its text.
+    """
     numbers = numeric_columns(df)
     texts = [c for c in df.columns if c not in numbers]
     parts = []
     if texts:
         long = df.select(*[F.col(c).cast("string").alias(c) for c in texts]).unpivot([], texts, "column", "value")
         counts = long.filter("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            counts.groupBy("column").agg(
-                F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
-                F.min(F.struct((-F.col("n")).alias("n"), "value"))["value"].alias("top"), F.max("n").alias("freq"),
-            )
+        found = counts.groupBy("column").agg(
+            F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+            F.min(F.struct((-F.col("n")).alias("n"), "value"))["value"].alias("top"), F.max("n").alias("freq"),
         )
+        # A column that is null throughout has no values to count, but a row of its own.
+        names = df.sparkSession.createDataFrame([(c,) for c in texts], "column string")
+        parts.append(names.join(found, "column", "left").na.fill(0, ["count", "unique"]))
     if numbers:
         long = unpivot_numeric(df, numbers)
         moments = long.groupBy("column").agg(

@@ -231,7 +231,7 @@ def segment_profile(t: Tables) -> DataFrame:
     bounds = base.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in AXES for n, f in (("lo", F.min), ("hi", F.max))]).alias("b")).scalar()
     placed = base.withColumns({"persona": persona, "_b": bounds})
     means = placed.groupBy("persona").agg(
-        *[F.avg((F.col(c) - F.col(f"_b.lo_{c}")) / (F.col(f"_b.hi_{c}") - F.col(f"_b.lo_{c}")) * 100).alias(c) for c in AXES]
+        *[F.avg(F.try_divide(F.col(c) - F.col(f"_b.lo_{c}"), F.col(f"_b.hi_{c}") - F.col(f"_b.lo_{c}")) * 100).alias(c) for c in AXES]
     )
     points = F.array(
         *[

@@ -67,14 +67,14 @@ def psi_bands(t: Tables) -> DataFrame:
 @query(
     "broadcast_minmax",
     f"""WITH {LONG_SQL}, b AS (SELECT col, min(v) AS lo, max(v) AS hi FROM lg GROUP BY 1)
-SELECT lg.col AS "column", side, lo, hi, round(avg((v - lo) / (hi - lo)), 6) AS mean_position
+SELECT lg.col AS "column", side, lo, hi, round(avg((v - lo) / nullif(hi - lo, 0)), 6) AS mean_position
 FROM lg JOIN b USING (col) GROUP BY 1, 2, 3, 4""",
     "drift_features",
 )
 def broadcast_minmax(t: Tables) -> DataFrame:
     df = t.drift_features()
     long = drift.unpivot_numeric(df, COLUMNS, ["side"])
-    position = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    position = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))  # a constant column has no positions
     # One bounds row per column of the schema.
     joined = long.join(F.broadcast(drift.value_bounds(df, COLUMNS)), "column")
     return joined.groupBy("column", "side", "lo", "hi").agg(F.round(F.avg(position), 6).alias("mean_position"))

@@ -77,21 +77,22 @@ def iqr_outliers(t: Tables) -> DataFrame:
     return out.withColumns({"lower": F.round("lower", 6), "upper": F.round("upper", 6)})
 
 
+ALL_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *NUMBERS]
+ALL_OTHERS = ["l_returnflag", "l_linestatus", "l_shipdate"]
+#: The given tables have no nulls, so some cells of three columns are blanked by rule.
+BLANKED = {"l_tax": "l_linenumber <> 3", "l_returnflag": "l_returnflag <> 'N' OR l_quantity > 2", "l_shipdate": "l_linenumber <> 5"}
+
+
 @query(
     "missing_rate",
-    """
-WITH h AS (SELECT l_quantity, CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax,
-                  CASE WHEN l_returnflag <> 'N' OR l_quantity > 2 THEN l_returnflag END AS l_returnflag FROM lineitem)
-SELECT 'l_quantity' AS "column", round(avg((l_quantity IS NULL)::INT), 6) AS missing_rate, avg((l_quantity IS NULL)::INT) > 0.05 AS flagged FROM h
-UNION ALL SELECT 'l_tax', round(avg((l_tax IS NULL)::INT), 6), avg((l_tax IS NULL)::INT) > 0.05 FROM h
-UNION ALL SELECT 'l_returnflag', round(avg((l_returnflag IS NULL)::INT), 6), avg((l_returnflag IS NULL)::INT) > 0.05 FROM h""",
+    "WITH h AS (SELECT " + ", ".join(f"CASE WHEN {BLANKED.get(c, 'true')} THEN {c} END AS {c}" for c in [*ALL_NUMBERS, *ALL_OTHERS]) + " FROM lineitem)\n"
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", round(avg(({c} IS NULL)::INT), 6) AS missing_rate, avg(({c} IS NULL)::INT) > 0.05 AS flagged FROM h"""
+        for c in [*ALL_NUMBERS, *ALL_OTHERS]
+    ),
 )
 def missing_rate(t: Tables) -> DataFrame:
-    """The given tables have no nulls, so some cells are blanked by rule."""
-    holes = t.lineitem.select(
-        "l_quantity", F.when(F.col("l_linenumber") != 3, F.col("l_tax")).alias("l_tax"),
-        F.when((F.col("l_returnflag") != "N") | (F.col("l_quantity") > 2), F.col("l_returnflag")).alias("l_returnflag"),
-    )
+    holes = t.lineitem.select(*[F.when(F.expr(BLANKED[c]), F.col(c)).alias(c) if c in BLANKED else F.col(c) for c in t.lineitem.columns])
     return pf.missing_rate(holes).withColumn("missing_rate", F.round("missing_rate", 6))
 
 
@@ -138,9 +139,8 @@ def high_correlations(t: Tables) -> DataFrame:
     return out.withColumn("corr", F.round("corr", 6))
 
 
-TEXTS = ["l_returnflag", "l_linestatus"]
-DESCRIBE_SQL = f"WITH {LONG_SQL}, tx AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS col, {c} AS v, count(*) AS n FROM lineitem GROUP BY 2" for c in TEXTS
+DESCRIBE_SQL = "WITH lg AS (" + " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM lineitem" for c in ALL_NUMBERS) + "), tx AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, " + (f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c == "l_shipdate" else c) + " AS v, count(*) AS n FROM lineitem GROUP BY 2" for c in ALL_OTHERS
 ) + """)
 SELECT col AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique", (list(v ORDER BY n DESC, v))[1] AS top,
        CAST(max(n) AS BIGINT) AS freq, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS q25,
@@ -154,9 +154,9 @@ FROM lg GROUP BY 1"""
 
 @query("describe_all", DESCRIBE_SQL)
 def describe_all(t: Tables) -> DataFrame:
-    out = pf.describe_all(t.lineitem.select(*NUMBERS, *TEXTS))
+    """All columns of the sales lines."""
     places = {"mean": 6, "std": 4, "q25": 6, "q50": 6, "q75": 6}
-    return out.withColumns({c: F.round(c, n) for c, n in places.items()})
+    return pf.describe_all(t.lineitem).withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
 CORR_COLUMNS = NUMBERS + ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]

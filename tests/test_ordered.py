@@ -10,8 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline.operators.refine import exact_quantiles
 from shelfline.operators.ordered import (
-    as_of_join, day_spine, exact_quantiles, global_rank, newest_per_key, one_row, running_totals,
+    as_of_join, day_spine, global_rank, newest_per_key, one_row, running_totals,
 )
 from shelfline.operators.profiling import quantile_buckets
 
