@@ -33,6 +33,19 @@ def raw_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def set_aside(df: DataFrame, *helpers: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns of the helpers' names under other names, and the mapping that gives them back."""
+    taken, moved = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.lower() in {h.lower() for h in helpers}:
+            name = f"{c}_own"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            moved[c] = name
+    return df.withColumnsRenamed(moved), {name: c for c, name in moved.items()}
+
+
 #: Rows of a few numbers that may be sent to all tasks instead of shuffling texts to them.
 BROADCAST_ROWS = 2_000_000
 

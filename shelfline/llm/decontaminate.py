@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import set_aside
 from shelfline.session import stage_table
 
 WINDOW = 10
@@ -170,5 +171,6 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW, item_bytes:
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents in which no benchmark window occurs, with their columns."""
-    return scan(docs, items, window).where(F.size("_scan.spans") == 0).drop("_scan")
+    """The documents in which no benchmark window occurs, with their columns, whatever their names."""
+    docs, back = set_aside(docs, "_scan", "_id", "_hash", "s")
+    return scan(docs, items, window).where(F.size("_scan.spans") == 0).drop("_scan").withColumnsRenamed(back)

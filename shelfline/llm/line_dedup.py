@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import cuckoo
-from shelfline.llm.common import BLANKS, lower_ascii
+from shelfline.llm.common import BLANKS, lower_ascii, set_aside
 from shelfline.session import stage_table
 
 MIN_CHARS = 40
@@ -185,8 +185,10 @@ def dedup(index: LineIndex, docs: DataFrame, text: str = "kept_text") -> DataFra
 
     A repeated line stays in the largest doc_id that holds it, in each of its rows and at each of
     its positions there. Null and empty texts have one empty line, which always stays. Rows
-    without an id lose repeated lines and count towards none. Other columns are left alone.
+    without an id lose repeated lines and count towards none. Other columns are left alone, whatever their
+    names; only columns of the three names above are replaced.
     """
+    docs, back = set_aside(docs, "_drop_id", "_drop_text", "_drop", "_all")
     drops = repeated_lines(index, docs).select(F.col("doc_id").alias("_drop_id"), F.col("text_hash").alias("_drop_text"), F.col("drop").alias("_drop"))
     joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("_drop_id")) & (F.xxhash64("text") == F.col("_drop_text")), "left")
     lines = lines_of(F.col("text"))
@@ -200,4 +202,17 @@ def dedup(index: LineIndex, docs: DataFrame, text: str = "kept_text") -> DataFra
         joined.withColumn("_all", lines)
         .withColumns({"n_lines": F.size("_all").cast("long"), "n_dropped": dropped.cast("long"), text: kept})
         .drop("_drop_id", "_drop_text", "_drop", "_all")
+        .withColumnsRenamed(back)
     )
+
+
+def without_repeated(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines that stay in ``text``, and ``n_chars`` following it; the columns are those of ``docs``, whatever their names.
+
+    A document that loses nothing keeps its text as it is, null included.
+    """
+    rows, back = set_aside(docs, "n_lines", "n_dropped", "_kept")
+    kept, changed = dedup(create(rows), rows, "_kept"), F.col("n_dropped") > 0
+    length = F.length("_kept").cast(rows.schema["n_chars"].dataType)
+    values = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("text")), "n_chars": F.when(changed, length).otherwise(F.col("n_chars"))}
+    return kept.select(*[values.get(c, F.col(c)).alias(c) for c in rows.columns]).withColumnsRenamed(back)

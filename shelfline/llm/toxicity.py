@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import with_small
+from shelfline.llm.common import set_aside, with_small
 from shelfline.operators import ordered
 from shelfline.session import spread, stage_table
 
@@ -332,7 +332,10 @@ def fit(rows: list[tuple[int, int, list[int]]], size: int, penalty: float = 0.00
 
 
 def score(docs: DataFrame, costs: list[float], model: Model) -> DataFrame:
-    """``docs`` with ``_score``: 0 to 1. Null and empty texts score like texts without a mark."""
+    """``docs`` with ``_score``: 0 to 1. Null and empty texts score like texts without a mark.
+
+    Every row is scored by itself, repeated or not. A column ``_score`` of the input is replaced.
+    """
     table, size, intercept = model
     if size > SENT_MARKS:
         return _score_by_join(docs, costs, model)
@@ -366,6 +369,12 @@ def _score_by_join(docs: DataFrame, costs: list[float], model: Model) -> DataFra
     return rows.join(totals, "_row", "left").select(*docs.columns, (1 / (1 + F.exp(-z))).alias("_score"))
 
 
+def remove_toxic(docs: DataFrame, costs: list[float], model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows whose score is below ``limit``, with their columns, whatever their names; null and empty texts stay."""
+    docs, back = set_aside(docs, "_score", "_words", "_row", "_total")
+    return score(docs, costs, model).where(F.col("_score") < limit).drop("_score").withColumnsRenamed(back)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[float], Model]:
     """Character costs from all of ``docs`` (doc_id, text), the model from those with a row in ``labels`` (doc_id, toxic).
 
