@@ -7,25 +7,23 @@ Every stage is ``(spark, docs, sf_dir) -> DataFrame``; all but the last return t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfline.llm import curriculum, decontaminate, jaccard, line_dedup, toxicity
 from shelfline.llm.common import stage_table, table
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half."""
+    """Documents whose toxicity score is below one half. Null and empty texts stay, repeated rows stay or go together."""
     costs, marks = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs, costs, marks).where("_score < 0.5").drop("_score")
+    return toxicity.remove_toxic(docs, costs, marks)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without lines that stand in five or more; ``n_chars`` follows the text."""
-    kept = line_dedup.dedup(line_dedup.create(docs), docs, "_kept")
-    changed = F.col("n_dropped") > 0
-    text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
-    values = {"text": text, "n_chars": F.when(changed, F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
-    return kept.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+    """All documents without lines that stand in five or more; ``n_chars`` follows the text.
+
+    A document that loses nothing keeps its text as it is, null included. Rows without an id lose lines and count for none.
+    """
+    return line_dedup.without_repeated(docs)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +32,15 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs; null and empty texts have none."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: doc_id, source, size, copies, words taken and training position of every document that is taken."""
+    """The mix: doc_id, source, size, copies, words taken and training position of every document that is taken.
+
+    Null and empty texts have no words and are not taken; repeated rows are documents next to each other.
+    """
     mixed = curriculum.mix(docs.select("doc_id", "text", "source"))
     return mixed.where("taken > 0").select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "position").orderBy("position")
 
