@@ -13,7 +13,7 @@ from shelfline.session import build_session
 from shelfline.operators import forecast, timeseries
 spark = build_session("elsewhere", 2, 2)
 daily = spark.sql("SELECT 's' AS product_id, date_add(DATE '2023-01-01', CAST(id AS INT)) AS date, 100 + 10 * sin(id * 0.9) AS quantity FROM range(120)")
-print(forecast.quantile_forecast(forecast.curve_rows(daily), 5).count(), timeseries.adf_test(daily).count(), forecast.arima_benchmark(daily).count())
+print(forecast.quantile_forecast(daily, 5).count(), timeseries.adf_test(daily).count(), forecast.arima_benchmark(daily).count())
 """
 
 
