@@ -78,12 +78,12 @@ def seasonal_forecast(
 def dual_season_forecast(daily: DataFrame, classes: DataFrame | None, horizon: int = 30, future: DataFrame | None = None) -> DataFrame:
     """Weekly and annual seasons with the regressors present, for SKUs classed high.
 
-    Without a class table, or when it has no rows at all, every SKU is forecast.
+    Without a class table, or when no SKU is classed high, every SKU is forecast.
     """
     chosen = daily
     if classes is not None:
         high = classes.filter("category = 'high'").select("product_id")
-        listed = classes.agg(F.count(F.lit(1))).scalar() > 0
+        listed = high.agg(F.count(F.lit(1))).scalar() > 0
         chosen = daily.join(high.withColumn("_high", F.lit(True)).distinct(), "product_id", "left").filter(F.col("_high") | ~listed).drop("_high")
     names = tuple(c for c in ("is_promotional_period", "is_holiday", "temp_c", "cpi_index") if c in daily.columns)
     return seasonal_forecast(chosen, Design(regressors=names, log=True), horizon, future)

@@ -72,7 +72,7 @@ def with_signals(t: Tables, days: DataFrame) -> DataFrame:
 
 @query("dual_season_forecast")
 def dual_season_forecast(t: Tables) -> DataFrame:
-    """SKUs whose season is classed high, all SKUs when no class is known."""
+    """SKUs whose season is classed high, all SKUs when none is."""
     daily = stage_table(t.daily_sales(), "daily")
     return fc.dual_season_forecast(with_signals(t, promoted(daily)), ts.strength_classes(daily), future=with_signals(t, horizon_days(daily)))
 
