@@ -77,3 +77,19 @@ def backward(lower: Column, z: Column) -> Column:
         )
 
     return F.aggregate(F.reverse(lower), start, step)["b"]
+
+
+def durbin_levinson(r: Column) -> Column:
+    """Partial autocorrelations of lags 1, 2, … from autocorrelations r[0] = 1, r[1], …; once nothing is left to explain they are 0."""
+    start = F.struct(doubles().alias("phi"), F.lit(1.0).alias("error"), doubles().alias("out"))
+
+    def step(at: Column, own: Column, k: Column) -> Column:
+        seen = dot(at["phi"], F.reverse(F.slice(r, F.lit(2), k)))
+        found = F.when(at["error"] > 1e-12, (own - seen) / at["error"]).otherwise(0.0)
+        return let(found, lambda last: F.struct(
+            F.array_append(F.zip_with(at["phi"], F.reverse(at["phi"]), lambda a, b: a - last * b), last).alias("phi"),
+            (at["error"] * (1 - last * last)).alias("error"), F.array_append(at["out"], last).alias("out"),
+        ))
+
+    later = F.transform(F.slice(r, F.lit(2), F.size(r)), lambda v, i: F.struct(v.alias("v"), i.alias("k")))
+    return F.aggregate(later, start, lambda at, p: step(at, p["v"], p["k"]))["out"]

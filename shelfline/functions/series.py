@@ -14,52 +14,6 @@ from pyspark.sql.functions import pandas_udf
 # Kernels travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# MacKinnon's response surface for a unit-root test with constant (one variable).
-TAU_RANGE = (-18.83, -1.61, 2.74)
-TAU_SMALL = (2.1659, 1.4412, 0.038269)
-TAU_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
-
-
-def unit_root_p(tau: float) -> float:
-    low, border, high = TAU_RANGE
-    if tau <= low:
-        return 0.0
-    if tau >= high:
-        return 1.0
-    surface = TAU_SMALL if tau <= border else TAU_LARGE
-    z = sum(c * tau**i for i, c in enumerate(surface))
-    return 0.5 * (1 + math.erf(z / math.sqrt(2)))
-
-
-def _lagged(x: np.ndarray, dx: np.ndarray, lags: int, first: int) -> np.ndarray:
-    rows = np.arange(first, len(dx))
-    past = [dx[rows - k] for k in range(1, lags + 1)]
-    return np.column_stack([np.ones(len(rows)), x[rows], *past])
-
-
-def adf_p(x: np.ndarray) -> float | None:
-    """Augmented Dickey–Fuller p-value; the lag count minimises AIC on the common sample."""
-    x = np.asarray(x, float)
-    n = len(x)
-    if n < 10 or np.ptp(x) == 0:
-        return None
-    dx = np.diff(x)
-    longest = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2))
-    full, y = _lagged(x, dx, longest, longest), dx[longest:]
-    # One triangular factor serves every nested model.
-    q, _ = np.linalg.qr(full)
-    explained = np.cumsum((q.T @ y) ** 2)
-    columns = np.arange(2, longest + 3)
-    ssr = np.maximum(y @ y - explained[columns - 1], 1e-300)
-    best = int(np.argmin(len(y) * np.log(ssr / len(y)) + 2 * columns))
-    design, y = _lagged(x, dx, best, best), dx[best:]
-    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
-    rest = y - design @ beta
-    spread = rest @ rest / max(len(y) - design.shape[1], 1)
-    error = math.sqrt(max(spread * np.linalg.pinv(design.T @ design)[1, 1], 1e-300))
-    return unit_root_p(float(beta[1] / error))
-
-
 def loess(y: np.ndarray, width: int, weights: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
     """Local linear fit with tricube weights over the nearest ``width`` points."""
     n = len(y)
@@ -129,22 +83,6 @@ def spectrum_peaks(y: np.ndarray) -> tuple[bool, bool]:
     return bool(weekly), bool(annual)
 
 
-def partial_autocorrelation(r: np.ndarray) -> list[float]:
-    """Durbin–Levinson recursion over autocorrelations r[0] = 1, r[1], …"""
-    out, phi, error = [], np.zeros(0), 1.0
-    for k in range(1, len(r)):
-        last = (r[k] - phi @ r[k - 1 : 0 : -1]) / error if error > 1e-12 else 0.0
-        phi = np.append(phi - last * phi[::-1], last)
-        error *= 1 - last * last
-        out.append(float(last))
-    return out
-
-
-@pandas_udf(T.DoubleType())
-def adf_p_value(y: pd.Series) -> pd.Series:
-    return y.map(adf_p).astype("float64")
-
-
 @pandas_udf(T.DoubleType())
 def seasonal_strength(y: pd.Series) -> pd.Series:
     return y.map(lambda v: strength(np.asarray(v)) if len(v) >= 14 else None).astype("float64")
@@ -153,8 +91,3 @@ def seasonal_strength(y: pd.Series) -> pd.Series:
 @pandas_udf(T.StructType([T.StructField(n, T.BooleanType()) for n in ("weekly", "annual")]))
 def spectral_flags(y: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([spectrum_peaks(np.asarray(v)) for v in y], columns=["weekly", "annual"])
-
-
-@pandas_udf(T.ArrayType(T.DoubleType()))
-def pacf(r: pd.Series) -> pd.Series:
-    return r.map(lambda v: partial_autocorrelation(np.asarray(v, float)))

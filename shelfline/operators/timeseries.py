@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline.functions import linear
 from shelfline.functions import series as kernels
 from shelfline.functions.scalars import ladder
+from shelfline.operators import unit_root
 from shelfline.session import spread
 
 # KPSS critical values with their p-values.
@@ -142,7 +144,7 @@ def partial_autocorrelation(daily: DataFrame, value: str = "quantity", lags: int
     rows = lag_products(daily, lags, value)
     r = F.transform("products", lambda s: F.coalesce(F.try_divide(s, F.element_at("products", 1)), F.lit(0.0)))
     kept = rows.select("product_id", "n", F.slice(r, F.lit(1), F.least(F.lit(lags), F.floor(F.col("n") / 2) - 1).cast("int") + 1).alias("r"))
-    points = kept.select("product_id", "n", F.posexplode(kernels.pacf("r")).alias("_i", "pacf"))
+    points = kept.select("product_id", "n", F.posexplode(linear.durbin_levinson(F.col("r"))).alias("_i", "pacf"))
     return points.select("product_id", (F.col("_i") + 1).alias("lag"), "pacf", (F.lit(1.96) / F.sqrt("n")).alias("half_width"))
 
 
@@ -167,13 +169,8 @@ def seasonal_summary(parts: DataFrame) -> DataFrame:
 
 def adf_test(daily: DataFrame) -> DataFrame:
     """Unit-root test of each series and of its first difference (30 rows or more)."""
-    rows = series_arrays(daily).filter(F.col("n") >= MIN_TEST)
-    change = F.transform(
-        F.slice("values", F.lit(2), F.col("n") - 1), lambda v, i: v - F.get(F.col("values"), i)
-    )
-    return rows.select(
-        "product_id", "n", kernels.adf_p_value("values").alias("adf_p"), kernels.adf_p_value(change).alias("adf_diff_p")
-    ).withColumns({"is_stationary_adf": F.col("adf_p") < 0.05, "diff_is_stationary": F.col("adf_diff_p") < 0.05})
+    tested = unit_root.adf(daily, minimum=MIN_TEST)
+    return tested.withColumns({"is_stationary_adf": F.col("adf_p") < 0.05, "diff_is_stationary": F.col("adf_diff_p") < 0.05})
 
 
 def kpss_test(daily: DataFrame) -> DataFrame:

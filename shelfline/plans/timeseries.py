@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators import timeseries as ts
+from shelfline.operators import unit_root
 from shelfline.operators.ordered import day_spine
 from shelfline.plans.registry import query
 from shelfline.plans.views import Tables
@@ -139,30 +140,73 @@ def seasonal_summary(t: Tables) -> DataFrame:
     return out.withColumns({"seasonal_std": F.round("seasonal_std", 6), "residual_std": F.round("residual_std", 6)})
 
 
-@query("adf_test")
+#: Every system is cleared column by column: with k columns cleared its last corner is the residual sum of the first k.
+CLEAR = """list_transform(m, lambda r, i: CASE WHEN i <= k THEN r ELSE list_transform(r, lambda v, j: v - r[k] / m[k][k] * m[k][j]) END)"""
+
+
+def gram_sql(name: str, rows: str) -> str:
+    """CTEs to ``name`` (product_id, d, l, rows, m): the summed cross products of the lists ``x`` of ``rows``."""
+    return f"""{name}_c AS (SELECT product_id, d, l, i, j, count(*) AS rows, sum(x[i] * x[j]) AS v FROM ({rows}), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i), LATERAL (SELECT unnest(range(1, i + 1)) AS j) GROUP BY ALL),
+{name}_r AS (SELECT product_id, d, l, rows, i, list(v ORDER BY j) AS r FROM (SELECT * FROM {name}_c UNION ALL SELECT product_id, d, l, j, i, rows, v FROM {name}_c WHERE i <> j) GROUP BY ALL),
+{name} AS (SELECT product_id, d, l, rows, list(r ORDER BY i) AS m FROM {name}_r GROUP BY ALL)"""
+
+
+def adf_sql() -> str:
+    """CTEs to ``ad`` (product_id, n, adf_lags, adf_p, adf_diff_p); the normal law is summed by Simpson's rule."""
+    small = " + ".join(f"{c!r}::DOUBLE * tau ** {i}" for i, c in enumerate(unit_root.TAU_SMALL))
+    large = " + ".join(f"{c!r}::DOUBLE * tau ** {i}" for i, c in enumerate(unit_root.TAU_LARGE))
+    low, border, high = unit_root.TAU_RANGE
+    return f"""known AS (SELECT product_id, date, quantity::DOUBLE AS v, quantity - lag(quantity) OVER (PARTITION BY product_id ORDER BY date) AS w, count(*) OVER (PARTITION BY product_id) AS n FROM daily_sales),
+lv AS (SELECT product_id, 0 AS d, date, n, v FROM known WHERE n >= 30 UNION ALL SELECT product_id, 1, date, n, w FROM known WHERE n >= 30 AND w IS NOT NULL),
+ce AS (SELECT product_id, d, date, n, v - avg(v) OVER (PARTITION BY product_id, d) AS c FROM lv),
+ls AS (SELECT product_id, d, max(n) AS n, list(c ORDER BY date) AS c FROM ce GROUP BY ALL),
+df AS (SELECT *, list_transform(c[2:], lambda v, i: v - c[i]) AS dx, greatest(0, least(ceil(12 * (len(c) / 100.0::DOUBLE) ** 0.25::DOUBLE), len(c) // 2 - 2))::INT AS l FROM ls),
+tt AS (SELECT *, unnest(range(1, len(dx) + 1))::INT AS t FROM df),
+{gram_sql("ga", "SELECT product_id, d, l, list_concat([1.0::DOUBLE, c[t]], list_reverse(dx[t - l:t - 1]), [dx[t]]) AS x FROM tt WHERE t > l")},
+ca(product_id, d, l, rows, k, m) AS (SELECT product_id, d, l, rows, 1, m FROM ga UNION ALL SELECT product_id, d, l, rows, k + 1, {CLEAR} FROM ca WHERE k <= l + 2),
+be AS (SELECT product_id, d, arg_min(k - 3, (rows * ln(m[l + 3][l + 3] / rows) + 2 * (k - 1), k))::INT AS b FROM ca WHERE k >= 3 GROUP BY ALL),
+{gram_sql("gb", "SELECT product_id, d, b AS l, list_concat([1.0::DOUBLE], list_reverse(dx[t - b:t - 1]), [c[t], dx[t]]) AS x FROM tt JOIN be USING (product_id, d) WHERE t > b")},
+cb(product_id, d, l, rows, k, m) AS (SELECT product_id, d, l, rows, 1, m FROM gb UNION ALL SELECT product_id, d, l, rows, k + 1, {CLEAR} FROM cb WHERE k <= l + 1),
+ta AS (SELECT product_id, d, l, m[l + 2][l + 3] / sqrt(m[l + 2][l + 2] * (m[l + 3][l + 3] - m[l + 2][l + 3] * m[l + 2][l + 3] / m[l + 2][l + 2]) / (rows - l - 2)) AS tau FROM cb WHERE k = l + 2),
+zz AS (SELECT *, greatest(-8, least(8, CASE WHEN tau <= {border!r}::DOUBLE THEN {small} ELSE {large} END)) AS z FROM ta),
+pp AS (SELECT *, CASE WHEN tau <= {low!r}::DOUBLE THEN 0::DOUBLE WHEN tau >= {high!r}::DOUBLE THEN 1::DOUBLE ELSE 0.5::DOUBLE + z / 3000 / sqrt(2 * pi())
+  * list_sum(list_transform(range(0, 1001), lambda q: CASE WHEN q IN (0, 1000) THEN 1 WHEN q % 2 = 1 THEN 4 ELSE 2 END * exp(-(z * q / 1000) * (z * q / 1000) / 2))) END AS p FROM zz),
+ad AS (SELECT product_id, max(n) AS n, max(l) FILTER (WHERE d = 0) AS adf_lags, max(p) FILTER (WHERE d = 0) AS adf_p, max(p) FILTER (WHERE d = 1) AS adf_diff_p
+  FROM pp JOIN (SELECT DISTINCT product_id, n FROM lv) USING (product_id) GROUP BY 1)"""
+
+
+ADF_COLUMNS = "product_id, n, adf_lags, round(adf_p, 6) AS adf_p, round(adf_diff_p, 6) AS adf_diff_p, adf_p < 0.05 AS is_stationary_adf, adf_diff_p < 0.05 AS diff_is_stationary"
+
+
+def adf_rounded(out: DataFrame) -> DataFrame:
+    return out.withColumns({c: F.round(c, 6) for c in ("adf_p", "adf_diff_p")})
+
+
+@query("adf_test", f"WITH RECURSIVE {adf_sql()} SELECT {ADF_COLUMNS} FROM ad", "daily_sales")
 def adf_test(t: Tables) -> DataFrame:
-    return ts.adf_test(t.daily_sales())
+    return adf_rounded(ts.adf_test(t.daily_sales()))
 
 
 PRODUCT_SQL = ORDERED_SQL + """, c AS (SELECT product_id, date, i, n, quantity - avg(quantity) OVER (PARTITION BY product_id) AS c FROM s),
 g AS (SELECT a.product_id, k, sum(a.c * b.c) AS g, max(a.n) AS n FROM c a, range(0, 61) r(k) JOIN c b ON true WHERE b.product_id = a.product_id AND b.i = a.i - k GROUP BY 1, 2)
 """
 
-
 # The SQL sees lags up to 60, far beyond what the rule picks on these series.
-@query(
-    "kpss_test",
-    PRODUCT_SQL
-    + """, z AS (SELECT product_id, n, (sum(g) FILTER (WHERE k = 0) + 2 * sum(g) FILTER (WHERE k BETWEEN 1 AND floor(n ** (2 / 9.0::DOUBLE)))) / n AS s0,
+KPSS_SQL = """, z AS (SELECT product_id, n, (sum(g) FILTER (WHERE k = 0) + 2 * sum(g) FILTER (WHERE k BETWEEN 1 AND floor(n ** (2 / 9.0::DOUBLE)))) / n AS s0,
             2 * sum(k * g) FILTER (WHERE k BETWEEN 1 AND floor(n ** (2 / 9.0::DOUBLE))) / n AS s1 FROM g GROUP BY 1, 2),
 l AS (SELECT product_id, n, CAST(least(floor(1.1447::DOUBLE * ((s1 / s0) * (s1 / s0)) ** (1 / 3.0::DOUBLE) * n ** (1 / 3.0::DOUBLE)), n - 1) AS INT) AS lags FROM z),
 v AS (SELECT g.product_id, l.lags, (sum(g) FILTER (WHERE k = 0) + 2 * coalesce(sum((1 - k / (lags + 1.0::DOUBLE)) * g) FILTER (WHERE k BETWEEN 1 AND lags), 0)) / g.n AS var FROM g JOIN l USING (product_id) GROUP BY g.product_id, l.lags, g.n),
 e AS (SELECT product_id, sum(p * p) / (max(n) * max(n)) AS eta FROM (SELECT product_id, n, sum(c) OVER (PARTITION BY product_id ORDER BY date) AS p FROM c) GROUP BY 1),
-k AS (SELECT product_id, lags, eta / var AS st FROM v JOIN e USING (product_id)),
-p AS (SELECT *, CASE WHEN st <= 0.347 THEN 0.1::DOUBLE WHEN st <= 0.463 THEN 0.1::DOUBLE + (st - 0.347::DOUBLE) * (-0.05::DOUBLE / 0.116::DOUBLE)
+ks AS (SELECT product_id, lags, eta / var AS st FROM v JOIN e USING (product_id)),
+kp AS (SELECT *, CASE WHEN st <= 0.347 THEN 0.1::DOUBLE WHEN st <= 0.463 THEN 0.1::DOUBLE + (st - 0.347::DOUBLE) * (-0.05::DOUBLE / 0.116::DOUBLE)
                      WHEN st <= 0.574 THEN 0.05::DOUBLE + (st - 0.463::DOUBLE) * (-0.025::DOUBLE / 0.111::DOUBLE)
-                     WHEN st <= 0.739 THEN 0.025::DOUBLE + (st - 0.574::DOUBLE) * (-0.015::DOUBLE / 0.165::DOUBLE) ELSE 0.01 END AS pv FROM k)
-SELECT product_id, lags, round(st, 6) AS kpss_stat, round(pv, 6) AS kpss_p, pv > 0.05 AS is_stationary_kpss FROM p""",
+                     WHEN st <= 0.739 THEN 0.025::DOUBLE + (st - 0.574::DOUBLE) * (-0.015::DOUBLE / 0.165::DOUBLE) ELSE 0.01 END AS pv FROM ks)
+"""
+
+
+@query(
+    "kpss_test",
+    PRODUCT_SQL + KPSS_SQL + "SELECT product_id, lags, round(st, 6) AS kpss_stat, round(pv, 6) AS kpss_p, pv > 0.05 AS is_stationary_kpss FROM kp",
     "daily_sales",
 )
 def kpss_test(t: Tables) -> DataFrame:
@@ -176,20 +220,51 @@ def tests(t: Tables) -> tuple[DataFrame, DataFrame]:
     return daily, stage_table(ts.stationarity(daily), "stationarity")
 
 
-@query("stationarity")
+def tests_sql() -> str:
+    """CTEs to ``st``: both tests with the advice."""
+    return f"""{adf_sql()},
+{PRODUCT_SQL.strip().removeprefix("WITH ")}{KPSS_SQL},
+st AS (SELECT *, NOT (adf_p < 0.05) OR NOT (pv > 0.05) AS recommend_differencing FROM ad JOIN kp USING (product_id))"""
+
+
+@query(
+    "stationarity",
+    f"""WITH RECURSIVE {tests_sql()}
+SELECT {ADF_COLUMNS}, lags, round(st, 6) AS kpss_stat, round(pv, 6) AS kpss_p, pv > 0.05 AS is_stationary_kpss, recommend_differencing FROM st""",
+    "daily_sales",
+)
 def stationarity(t: Tables) -> DataFrame:
-    return tests(t)[1]
+    out = adf_rounded(tests(t)[1])
+    return out.withColumns({c: F.round(c, 6) for c in ("kpss_stat", "kpss_p")})
 
 
-@query("arima_order_hint")
+@query(
+    "arima_order_hint",
+    f"WITH RECURSIVE {tests_sql()} SELECT product_id, 2 AS p, CAST(recommend_differencing AS INT) AS d, 1 AS q FROM st WHERE n >= 65",
+    "daily_sales",
+)
 def arima_order_hint(t: Tables) -> DataFrame:
     return ts.order_hints(tests(t)[1])
 
 
-@query("pacf")
+@query(
+    "pacf",
+    f"""WITH RECURSIVE {tests_sql()},
+moved AS (SELECT product_id, date, quantity, quantity - lag(quantity) OVER (PARTITION BY product_id ORDER BY date) AS step FROM daily_sales),
+an AS (SELECT product_id, date, CASE WHEN recommend_differencing THEN step ELSE quantity END AS q FROM moved JOIN st USING (product_id)),
+ac AS (SELECT product_id, date, q - avg(q) OVER (PARTITION BY product_id) AS c FROM an WHERE q IS NOT NULL),
+al AS (SELECT product_id, list(c ORDER BY date) AS c, count(*) AS n FROM ac GROUP BY 1),
+ar AS (SELECT product_id, n, list_transform(range(0, least(30, n // 2 - 1) + 1), lambda k: list_inner_product(c[k + 1:], c[:n - k]) / list_inner_product(c, c)) AS r FROM al),
+dl(product_id, n, r, k, phi, error, last) AS (SELECT product_id, n, r, 0, []::DOUBLE[], 1.0::DOUBLE, NULL::DOUBLE FROM ar UNION ALL
+  SELECT product_id, n, r, k + 1, list_append(list_transform(phi, lambda v, i: v - nx * phi[k + 1 - i]), nx), error * (1 - nx * nx), nx
+  FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(phi, lambda v, i: v * r[k + 2 - i])), 0)) / error AS nx FROM dl WHERE k < len(r) - 1))
+SELECT product_id, k AS lag, round(last, 6) AS pacf, round(1.96::DOUBLE / sqrt(n), 6) AS half_width FROM dl WHERE k > 0""",
+    "daily_sales",
+)
 def pacf(t: Tables) -> DataFrame:
     daily, flags = tests(t)
-    return ts.partial_autocorrelation(ts.analysis_series(daily, flags))
+    out = ts.partial_autocorrelation(ts.analysis_series(daily, flags))
+    return out.withColumns({c: F.round(c, 6) for c in ("pacf", "half_width")})
 
 
 @query("seasonal_strength")

@@ -1,11 +1,14 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import series
+from shelfline.functions.scalars import normal_cdf
 from shelfline.operators import timeseries as ts
+from shelfline.operators import unit_root
 
 START = dt.date(2023, 1, 1)
 
@@ -31,28 +34,58 @@ def test_stationarity_of_noise_and_walk(spark):
     assert got["walk"]["adf_p"] > 0.05 and got["walk"]["recommend_differencing"] and got["walk"]["diff_is_stationary"]
 
 
-def test_unit_root_p_value_at_published_critical_values():
+def brute_tau(x):
+    """The t statistic by separate least-squares fits of every lag count; also the lag count."""
+    dx, n = np.diff(x), len(x)
+    longest = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2))
+
+    def fit(lags, first):
+        rows = np.arange(first, len(dx))
+        a = np.column_stack([np.ones(len(rows)), x[rows], *[dx[rows - k] for k in range(1, lags + 1)]])
+        beta = np.linalg.lstsq(a, dx[rows], rcond=None)[0]
+        rest = dx[rows] - a @ beta
+        return a, beta, rest @ rest
+
+    def score(lags):
+        a, _, ssr = fit(lags, longest)
+        return len(a) * np.log(ssr / len(a)) + 2 * a.shape[1]
+
+    best = min(range(longest + 1), key=score)
+    a, beta, ssr = fit(best, best)
+    return beta[1] / np.sqrt(ssr / (len(a) - a.shape[1]) * np.linalg.inv(a.T @ a)[1, 1]), best
+
+
+def test_unit_root_p_value_at_published_critical_values(spark):
     # 1%, 5% and 10% points of the test with constant for large samples.
-    for tau, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
-        assert series.unit_root_p(tau) == pytest.approx(p, abs=2e-3)
-    assert series.unit_root_p(-20) == 0 and series.unit_root_p(3) == 1
-
-
-def test_adf_chooses_the_lag_like_separate_regressions():
-    x = np.cumsum(noise(120, 8)) * 0.3 + noise(120, 9)
-    dx, longest = np.diff(x), int(np.ceil(12 * (120 / 100) ** 0.25))
-    scores = []
-    for lag in range(longest + 1):
-        a, y = series._lagged(x, dx, lag, longest), dx[longest:]
-        rest = y - a @ np.linalg.lstsq(a, y, rcond=None)[0]
-        scores.append(len(y) * np.log(rest @ rest / len(y)) + 2 * a.shape[1])
-    best = int(np.argmin(scores))
-    a, y = series._lagged(x, dx, best, best), dx[best:]
-    beta = np.linalg.lstsq(a, y, rcond=None)[0]
-    rest = y - a @ beta
-    tau = beta[1] / np.sqrt(rest @ rest / (len(y) - a.shape[1]) * np.linalg.inv(a.T @ a)[1, 1])
-    assert series.adf_p(x) == pytest.approx(series.unit_root_p(tau))
-    assert series.adf_p(np.ones(50)) is None
+    taus = [-3.43, -2.86, -2.57, -20.0, 3.0]
+    got = spark.range(1).select(*[unit_root.unit_root_p(F.lit(t)).alias(str(t)) for t in taus]).first()
+    assert list(got)[:3] == [pytest.approx(p, abs=2e-3) for p in (0.01, 0.05, 0.10)] and list(got)[3:] == [0.0, 1.0]
+
+
+def test_normal_distribution_function(spark):
+    z = [-9.0, -7.5, -3.0, -0.5, 0.0, 1.0, 7.9, 9.0]
+    got = spark.range(1).select(*[normal_cdf(F.lit(v)).alias(str(v)) for v in z]).first()
+    assert list(got) == [pytest.approx(0.5 * (1 + math.erf(v / math.sqrt(2))), abs=1e-13) for v in z]
+
+
+def test_unit_root_statistic_matches_separate_regressions(spark):
+    rng = np.random.default_rng(8)
+    lengths = {"shortest": (30, 0.1), "odd": (31, 0.0), "walk": (45, 1.0), "mixed": (120, 0.3), "long": (900, 0.05)}
+    named = {k: np.cumsum(rng.normal(size=n)) * s + rng.normal(size=n) + 1000 for k, (n, s) in lengths.items()}
+    series = unit_root.level_and_change(frame(spark, **named), "quantity", 30)
+    got = unit_root.statistics(unit_root.best_lags(unit_root.lag_sums(series, ["product_id", "d"], 21))).collect()
+    assert len(got) == 10
+    for r in got:
+        x = named[r["product_id"]] if r["d"] == 0 else np.diff(named[r["product_id"]])
+        tau, best = brute_tau(x)
+        assert r["best"] == best and r["tau"] == pytest.approx(tau, rel=1e-7)
+
+
+def test_unit_root_without_answer(spark):
+    df = frame(spark, flat=np.ones(50), line=np.arange(50.0), short=noise(29)).withColumn("extra", F.lit(1))
+    got = {r["product_id"]: (r["adf_p"], r["adf_diff_p"]) for r in ts.adf_test(df).collect()}
+    assert got == {"flat": (None, None), "line": (None, None)}
+    assert ts.adf_test(df.limit(0)).count() == 0
 
 
 def test_kpss_matches_direct_formula(spark):
