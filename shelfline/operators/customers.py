@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from shelfline.functions.scalars import risk_tier, rule_churn_score
 from shelfline.operators.metrics import classification_metrics, precision_at_top
-from shelfline.operators.ordered import global_rank
+from shelfline.operators.refine import smallest_rows
 from shelfline.session import stage_table
 
 FEATURES = ["recency_days", "frequency", "monetary", "avg_basket_size", "rfm_score"]
@@ -143,11 +143,10 @@ def persona_actions(scored: DataFrame) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Exact hold-out share per label, chosen by key hash. Ranks run over range slabs: two labels are two huge groups."""
-    hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    ranked = global_rank(hashed, [F.col("_h"), F.col(key)], "_rank", keys=[label], with_totals=True)
-    held = F.col("_rank") <= F.floor(F.col("_rank_total") * F.lit(test_share))
-    return ranked.withColumn("is_test", held).drop("_h", "_rank", "_rank_total")
+    """Exact hold-out share per label: the rows with the smallest key hashes, found by their cut value."""
+    # 52 bits, which a double holds exactly.
+    digest = F.shiftright(F.xxhash64(F.col(key), F.lit(seed)), 12)
+    return smallest_rows(df, digest, [F.col(key)], lambda n: F.floor(n * F.lit(test_share)), "is_test", [label])
 
 
 @dataclass(frozen=True)
@@ -272,9 +271,10 @@ def silhouette(clustered: DataFrame) -> float:
 
 
 def purchase_timeline(sales: DataFrame, customer: str | None = None) -> DataFrame:
-    """Purchases in time order with the marker size of each basket."""
+    """Purchases with the marker size of each basket; those of one customer come in time order."""
     chosen = sales if customer is None else sales.filter(F.col("customer_id") == customer)
-    return chosen.select(
+    marked = chosen.select(
         "customer_id", "ts", "category", "total_amount", "basket_size",
         (F.col("basket_size") * 3 + 6).alias("marker_size"),
-    ).orderBy("customer_id", "ts", "category", "total_amount")
+    )
+    return marked if customer is None else marked.orderBy("ts", "category", "total_amount")

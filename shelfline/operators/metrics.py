@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.scalars import gate_status, percent_error
-from shelfline.operators.ordered import global_rank, running_totals
+from shelfline.operators.ordered import running_totals
+from shelfline.operators.refine import smallest_rows
 
 # Limits below or above which a model counts as degraded.
 AUC_FLOOR = 0.85
@@ -92,9 +93,8 @@ def roc_points(scored: DataFrame, score: str = "prediction", label: str = "targe
 def precision_at_top(scored: DataFrame, key: str, score: str = "prediction", label: str = "target", share: float = 0.2) -> DataFrame:
     """Mean label of the top share by score; ties go to the smaller key."""
     slim = scored.select(key, score, label)
-    ranked = global_rank(slim, [F.col(score).desc(), F.col(key)], "_rank", with_totals=True)
-    kept = ranked.filter(F.col("_rank") <= F.greatest(F.lit(1), F.floor(F.col("_rank_total") * F.lit(share))))
-    return kept.agg(F.count(F.lit(1)).alias("n_top"), F.avg(label).alias("precision_at_top20"))
+    ranked = smallest_rows(slim, -F.col(score), [F.col(key)], lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(share))), "_top")
+    return ranked.filter("_top").agg(F.count(F.lit(1)).alias("n_top"), F.avg(label).alias("precision_at_top20"))
 
 
 def regression_metrics(

@@ -10,12 +10,13 @@ cells, and no copy of the data is written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline.operators.ordered import global_rank
 from shelfline.session import stage_table
 
 #: Cells an octave, finer cells of an opened cell, and the rows up to which a cell is opened value by value.
@@ -43,29 +44,24 @@ def _opened(rows: DataFrame, cells: DataFrame, group: str, carried: Sequence[str
     return inside.withColumn("path", path).drop("lo", "hi")
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "column", value: str = "value") -> DataFrame:
-    """Linearly interpolated exact quantiles per group: columns ``n_values``, ``q0, q1, …``. Null values do not count.
+def _at_ranks(known: DataFrame, group: str, asked: Column) -> DataFrame:
+    """(group, which, rank, total, lo, n, before) of the values at the asked ranks of (group, value): ``before`` rows are smaller, ``n`` equal.
 
-    Made for few groups, such as the columns of a table. Groups without values are absent.
+    ``asked`` is an array of (which, rank) worked out from ``total``, with ranks counted from 0.
     """
-    known = long.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("value"))
     rows = known.withColumn("path", F.array(grid_cell(F.col("value"))))
     counted = [F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")]
     cells = rows.groupBy(group, "path").agg(*counted)
     order = Window.partitionBy(group).orderBy("lo").rowsBetween(Window.unboundedPreceding, 0)
     placed = cells.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy(group))})
-    at = (F.col("total") - 1) * F.col("p")
-    asked = F.explode(F.array(*[
-        F.struct(F.lit(2 * i + side).alias("which"), F.lit(float(p)).alias("p"), F.lit(side).alias("side")) for i, p in enumerate(probs) for side in (0, 1)
-    ]))
-    ranks = placed.select("*", asked.alias("a")).select("*", "a.*").withColumn("rank", F.when(F.col("side") == 0, F.floor(at)).otherwise(F.ceil(at)).cast("long"))
+    ranks = placed.select("*", F.inline(asked))
     held = ranks.filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
     wanted = [group, "which", "rank", "total"]
     targets = stage_table(held.select(*wanted, "path", "lo", "hi", "n", (F.col("upto") - F.col("n")).alias("before")), "quantile-cells")
     while True:
         largest = targets.filter("lo < hi").agg(F.max("n")).first()[0]
         if largest is None:
-            break
+            return targets
         cells = targets.filter("lo < hi").select(group, "path", "lo", "hi", "before").distinct()
         inside = _opened(rows, cells, group, ["before"], largest <= SORTED)
         finer = inside.groupBy(group, "parent", "before", "path").agg(*counted)
@@ -75,8 +71,21 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
         met = met.filter((F.col("upto") > F.col("rank")) & (F.col("before") <= F.col("rank")))
         targets = stage_table(targets.filter("lo = hi").unionByName(met.select(*targets.columns)), "quantile-cells")
         rows = inside.drop("before", "parent")
+
+
+def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "column", value: str = "value") -> DataFrame:
+    """Linearly interpolated exact quantiles per group: columns ``n_values``, ``q0, q1, …``. Null values do not count.
+
+    Made for few groups, such as the columns of a table. Groups without values are absent.
+    """
+    known = long.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("value"))
+    place = lambda p: (F.col("total") - 1) * F.lit(float(p))
+    asked = F.array(*[
+        F.struct(F.lit(2 * i + side).alias("which"), rounded(place(p)).cast("long").alias("rank"))
+        for i, p in enumerate(probs) for side, rounded in enumerate((F.floor, F.ceil))
+    ])
     pick = lambda k: F.max(F.when(F.col("which") == k, F.col("lo"))).alias(f"_{k}")
-    found = targets.groupBy(group).agg(F.max("total").alias("n_values"), *[pick(k) for k in range(2 * len(probs))])
+    found = _at_ranks(known, group, asked).groupBy(group).agg(F.max("total").alias("n_values"), *[pick(k) for k in range(2 * len(probs))])
     out = []
     for i, p in enumerate(probs):
         place, lo, hi = (F.col("n_values") - 1) * F.lit(float(p)), F.col(f"_{2 * i}"), F.col(f"_{2 * i + 1}")
@@ -84,6 +93,40 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
     return found.select(group, "n_values", *out)
 
 
+def smallest_rows(
+    df: DataFrame, value: Column, ties: Sequence[Column], wanted: Callable[[Column], Column], name: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Adds ``name``: whether a row is one of the ``wanted(total)`` smallest of its key by ``value``, then by ``ties``.
+
+    The cut value is found by refinement, so rows are neither sorted nor written; only rows equal to
+    the cut value are ranked, and only where not all of them are wanted. Null and NaN come last. Made
+    for few keys; null is a key too. ``df`` is read several times.
+    """
+    group, size, cut, need, same = (fresh(df, c) for c in ("group", "size", "cut", "need", "same"))
+    last = F.lit(float("inf"))
+    sized = df.withColumns({size: F.coalesce(F.nanvl(value.cast("double"), last), last), group: F.to_json(F.struct(*keys)) if keys else F.lit("")})
+    asked = F.array(F.struct(F.lit(0).alias("which"), (wanted(F.col("total")) - 1).cast("long").alias("rank")))
+    found = _at_ranks(sized.select(F.col(group).alias("group"), F.col(size).alias("value")), "group", asked)
+    limits = found.select(F.col("group").alias(group), F.col("lo").alias(cut), (F.col("rank") + 1 - F.col("before")).alias(need), F.col("n").alias(same))
+    marked = sized.join(limits, group, "left")
+    torn = F.coalesce((F.col(size) == F.col(cut)) & (F.col(need) < F.col(same)), F.lit(False))
+    plain = marked.filter(~torn).withColumn(name, F.coalesce(F.col(size) <= F.col(cut), F.lit(False)))
+    out = plain.select(*df.columns, name)
+    if limits.filter(F.col(need) < F.col(same)).isEmpty():
+        return out
+    place = fresh(df, "place")
+    ranked = global_rank(marked.filter(torn), list(ties), place, keys=[group])
+    return out.unionByName(ranked.withColumn(name, F.col(place) <= F.col(need)).select(*df.columns, name))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A helper column's name that the frame does not have."""
+    name = "_" + name
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def largest_gap(rows: DataFrame, group: str = "column") -> DataFrame:
     """(group, gap, n_ref, n_prod): the largest distance between the two distribution functions of (group, value, n_ref, n_prod).
 

@@ -65,7 +65,7 @@ s AS (SELECT customer_id, round_even(p, 4) AS churn_proba, CASE WHEN p >= 0.8 TH
 
 @query("churn_rule_score", RULE_SQL + "SELECT * FROM s", "rfm")
 def churn_rule_score(t: Tables) -> DataFrame:
-    return cu.rule_scores(all_customers(t)).orderBy(F.col("churn_proba").desc(), "customer_id")
+    return cu.rule_scores(all_customers(t))
 
 
 @query(

@@ -222,7 +222,7 @@ def demand_lookup_p50(t: Tables) -> DataFrame:
     "erp",
 )
 def reorder_alerts(t: Tables) -> DataFrame:
-    out = inv.by_urgency(inv.reorder_alerts(stock_levels(t), recent_demand(t)))
+    out = inv.reorder_alerts(stock_levels(t), recent_demand(t))
     return out.drop("unit_cost").withColumn("avg_daily_demand", F.round("avg_daily_demand", 6))
 
 
@@ -269,12 +269,9 @@ def reorder_recommendations(t: Tables) -> DataFrame:
     both = inv.reorder_recommendations(stock, use_eoq=False).withColumnRenamed("recommended_qty", "recommended_qty_plain")
     out = inv.reorder_recommendations(both)
     critical = out.agg(F.count_if(F.col("urgency") == "Critical")).scalar()
-    return inv.by_urgency(
-        out.select(
-            "sku_id", "current_stock", "days_until_stockout", "urgency", "recommended_qty",
-            F.col("recommended_qty_plain").cast("long").alias("recommended_qty_plain"), "po_value",
-            critical.alias("critical_count"),
-        )
+    return out.select(
+        "sku_id", "current_stock", "days_until_stockout", "urgency", "recommended_qty",
+        F.col("recommended_qty_plain").cast("long").alias("recommended_qty_plain"), "po_value", critical.alias("critical_count"),
     )
 
 

@@ -389,9 +389,16 @@ def clean_invoice_sales(t: Tables) -> DataFrame:
     )
 
 
-@query("sample_fraction")
+@query(
+    "sample_fraction",
+    """WITH s AS (SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS transaction_id, l_orderkey AS order_key, l_partkey AS part_key, l_partkey::VARCHAR AS product_id,
+  l_suppkey::VARCHAR AS store_id, l_shipdate AS ts, CAST(l_shipdate AS DATE) AS date, CAST(l_quantity AS INT) AS quantity, l_extendedprice / l_quantity AS unit_price,
+  CAST(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS DOUBLE) AS total_amount, l_returnflag = 'R' AS return_flag FROM lineitem)
+SELECT * FROM s QUALIFY row_number() OVER (ORDER BY md5('42:' || transaction_id)[:13], transaction_id) <= round(0.1::DOUBLE * count(*) OVER ())""",
+)
 def sample_fraction(t: Tables) -> DataFrame:
-    return readers.sample_fraction(t.lines()).withColumn("total_amount", F.col("total_amount").cast("double"))
+    drawn = readers.sample_fraction(t.lines(), ["transaction_id"])
+    return drawn.withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
 @query("sample_rows", "SELECT * FROM events ORDER BY md5(event_id::VARCHAR), event_id LIMIT 500")

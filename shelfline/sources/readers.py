@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import files
 from shelfline.functions.calendar import HOLIDAYS
+from shelfline.operators.refine import fresh, smallest_rows
 from shelfline.session import scratch_path
 from shelfline.sources import commits
 
@@ -161,8 +164,14 @@ def clean_invoice_sales(*sheets: DataFrame) -> DataFrame:
     )
 
 
-def sample_fraction(df: DataFrame, fraction: float = 0.10, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float = 0.10, seed: int = 42) -> DataFrame:
+    """An exact share of the rows, the same for every run: those with the smallest hash of seed and keys, then the smallest keys."""
+    names = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    # 13 hex digits are 52 bits, which a double holds exactly.
+    digest = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *names)), 1, 13), 16, 10)
+    drawn = fresh(df, "drawn")
+    marked = smallest_rows(df, digest, [F.col(k) for k in keys], lambda n: F.round(n * F.lit(fraction)), drawn)
+    return marked.filter(drawn).drop(drawn)
 
 
 def sample_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Order statistics by refinement against numpy, also when every cell has to be opened many times."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +74,25 @@ def test_describe_keeps_columns_without_values(spark):
     df = spark.createDataFrame([(None, 1.0, None), (None, 2.0, None)], "gone string, v double, hole double")
     got = {r["column"]: r for r in profiling.describe_all(df).collect()}
     assert got["gone"]["count"] == 0 and got["gone"]["unique"] == 0 and got["gone"]["top"] is None and got["hole"]["count"] == 0 and got["v"]["q50"] == 1.5
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.5, 1.0])
+def test_smallest_rows_match_brute_force(spark, share):
+    rng = np.random.default_rng(3)
+    # Half of the rows hold one value; others are null, NaN, infinite or far apart.
+    values = [1.5] * 200 + [None] * 30 + [float("nan")] * 10 + [float("-inf")] * 5 + [float(v) for v in rng.normal(scale=10.0 ** rng.integers(-8, 8, 155))]
+    data = [(i, v, (None, "a", "b")[i % 3], i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "id int, v double, k string, _cut int").repartition(5)
+    got = refine.smallest_rows(df, F.col("v"), [F.col("id")], lambda n: F.floor(n * F.lit(share)), "_in", ["k"])
+    assert got.columns == ["id", "v", "k", "_cut", "_in"] and got.count() == len(data)
+    place = lambda r: (math.inf if r[1] is None or math.isnan(r[1]) else r[1], r[0])
+    wanted = set()
+    for k in (None, "a", "b"):
+        own = sorted((r for r in data if r[2] == k), key=place)
+        wanted |= {r[0] for r in own[: math.floor(len(own) * share)]}
+    assert {r["id"] for r in got.filter("_in").collect()} == wanted
+
+
+def test_smallest_rows_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, v double")
+    assert refine.smallest_rows(df, F.col("v"), [F.col("id")], lambda n: n, "_in").count() == 0

@@ -157,7 +157,13 @@ def test_samples(spark):
     df = spark.range(1000)
     once, twice = [[r[0] for r in readers.sample_rows(df.repartition(n), 50, "id").collect()] for n in (1, 7)]
     assert once == twice and len(set(once)) == 50
-    assert 50 < readers.sample_fraction(df).count() < 160
+    tenths = [sorted(r[0] for r in readers.sample_fraction(df.repartition(n), ["id"]).collect()) for n in (1, 7)]
+    other = sorted(r[0] for r in readers.sample_fraction(df, ["id"], seed=7).collect())
+    assert tenths[0] == tenths[1] != other and len(other) == len(tenths[0]) == 100
+    repeated = df.selectExpr("cast(null as string) AS id", "id AS _size").unionByName(df.selectExpr("'x' AS id", "id AS _size"))
+    drawn = readers.sample_fraction(repeated, ["id"], 0.25)
+    assert drawn.count() == 500 and drawn.columns == ["id", "_size"] and drawn.select("id").distinct().count() == 1
+    assert readers.sample_fraction(df.limit(0), ["id"]).count() == 0
 
 
 def test_external_table_by_day(spark, tmp_path):
