@@ -21,6 +21,15 @@ def ladder(pairs: list[tuple[Column, str]], otherwise: str | None) -> Column:
     return out.otherwise(otherwise) if otherwise is not None else out
 
 
+def half_even(value: Column, places: int = 0) -> Column:
+    """Round a double half to even after scaling, so that a tie is one even where its binary value is a last bit off.
+
+    ``bround`` looks at the shortest decimal text instead, in which 952.65 may read 952.6500000000001.
+    """
+    scale = F.lit(float(10**places))
+    return F.rint(value * scale) / scale
+
+
 def risk_tier(p: Column, boundary: str = "inclusive") -> Column:
     """Churn tier. ``inclusive`` tests >=, ``exclusive`` tests >, ``interval`` leaves p outside (0, 1] null."""
     if boundary == "inclusive":

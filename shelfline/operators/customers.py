@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.functions.scalars import risk_tier, rule_churn_score
+from shelfline.functions.scalars import half_even, risk_tier, rule_churn_score
 from shelfline.operators.metrics import classification_metrics, precision_at_top
 from shelfline.operators.refine import smallest_rows
 from shelfline.session import stage_table
@@ -86,7 +86,7 @@ def fill_feature_nulls(df: DataFrame, features: Sequence[str] = FEATURES) -> Dat
 def rule_scores(features: DataFrame) -> DataFrame:
     raw = rule_churn_score(F.col("recency_days"), F.col("frequency"), F.col("monetary"))
     return features.withColumn("_p", raw).select(
-        "customer_id", F.bround("_p", 4).alias("churn_proba"), risk_tier(F.col("_p")).alias("risk_tier")
+        "customer_id", half_even(F.col("_p"), 4).alias("churn_proba"), risk_tier(F.col("_p")).alias("risk_tier")
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.scalars import half_even
 from shelfline.operators.ordered import unpivot_numeric
 from shelfline.operators.profiling import numeric_columns
 from shelfline.operators.refine import largest_gap
@@ -131,8 +132,8 @@ def drift_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     joined = _with_all(joined, columns).na.fill({"psi": 0.0, "ks": 0.0, "p_value": 1.0})
     flag = (F.col("psi") > PSI_LIMIT) | (F.col("p_value") < P_LIMIT)
     return joined.select(
-        "column", F.bround("psi", 4).alias("psi"), F.bround("ks", 4).alias("ks"),
-        F.bround("p_value", 4).alias("p_value"), flag.alias("drift_detected"),
+        "column", half_even(F.col("psi"), 4).alias("psi"), half_even(F.col("ks"), 4).alias("ks"),
+        half_even(F.col("p_value"), 4).alias("p_value"), flag.alias("drift_detected"),
     )
 
 
@@ -143,14 +144,14 @@ def prediction_drift(df: DataFrame, column: str) -> DataFrame:
 
 def psi_summary(psis: DataFrame) -> DataFrame:
     """One row: the feature map with its mean, how many drift, and the largest."""
-    entries = F.sort_array(F.collect_list(F.struct("column", F.bround("psi", 4).alias("psi"))))  # one per column
-    overall = F.bround(F.avg("psi"), 4)
+    entries = F.sort_array(F.collect_list(F.struct("column", half_even(F.col("psi"), 4).alias("psi"))))  # one per column
+    overall = half_even(F.avg("psi"), 4)
     extra = F.array(F.struct(F.lit("_overall_drift_score").alias("column"), overall.alias("psi")))
     return psis.agg(
         F.map_from_entries(F.concat(entries, extra)).alias("summary"),
         overall.alias("overall_drift_score"),
         F.count_if(F.col("psi") > PSI_LIMIT).alias("n_drifted"),
-        F.bround(F.max("psi"), 4).alias("max_psi"),
+        half_even(F.max("psi"), 4).alias("max_psi"),
         F.max_by("column", "psi").alias("max_feature"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfline.functions.scalars import gate_status, mape_band
+from shelfline.functions.scalars import gate_status, half_even, mape_band
 
 # The forecast horizon range.
 HORIZONS = (1, 90)
@@ -138,5 +138,5 @@ def experiment_summary(experiments: DataFrame, runs: DataFrame, keep: int = 20)
     )
     return joined.select(
         "experiment", F.coalesce("run_name", F.lit("N/A")).alias("run_name"), "metric",
-        F.bround("value", 4).alias("value"), "target", status.alias("status"),
+        half_even(F.col("value"), 4).alias("value"), "target", status.alias("status"),
     )

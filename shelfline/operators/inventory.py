@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.functions.scalars import URGENCY_ORDER, ladder, rank_of, stock_urgency
+from shelfline.functions.scalars import URGENCY_ORDER, half_even, ladder, rank_of, stock_urgency
 from shelfline.operators.ordered import newest_per_key, running_totals
 
 # Defaults of the order quantity formulas.
@@ -62,8 +62,8 @@ def lead_time_stats(lead_times: DataFrame) -> DataFrame:
     cv = F.try_divide("std_days", "mean_days")
     return stats.withColumns(
         {
-            "cv_pct": F.bround(cv * 100, 1),
-            "unreliable": F.coalesce(F.bround(cv * 100, 1) > 30, F.lit(False)),
+            "cv_pct": half_even(cv * 100, 1),
+            "unreliable": F.coalesce(half_even(cv * 100, 1) > 30, F.lit(False)),
             "unreliable_exact": F.coalesce(cv > 0.3, F.lit(False)),
         }
     )
@@ -96,7 +96,7 @@ def eoq_columns(
         "avg_cycle_stock": cycle,
     }
     return {
-        n: F.coalesce(F.when(valid, F.bround(c, EOQ_FIELDS[n])), F.lit(0.0)) for n, c in raw.items()
+        n: F.coalesce(F.when(valid, half_even(c, EOQ_FIELDS[n])), F.lit(0.0)) for n, c in raw.items()
     }
 
 
@@ -104,7 +104,7 @@ def order_quantity(annual_demand: Column, unit_cost: Column, order_cost: float =
     """Order quantity of the recommendation list: at least one unit, zero for unusable input."""
     base = F.try_divide(2 * annual_demand * order_cost, unit_cost * holding)
     valid = (annual_demand > 0) & (unit_cost > 0)
-    return F.coalesce(F.when(valid, F.greatest(F.lit(1), F.bround(F.sqrt(base), 0).cast("long"))), F.lit(0))
+    return F.coalesce(F.when(valid, F.greatest(F.lit(1), half_even(F.sqrt(base), 0).cast("long"))), F.lit(0))
 
 
 def dead_stock(
@@ -113,7 +113,7 @@ def dead_stock(
     lead_days = F.col(lead) if lead in stock.columns else F.lit(14)
     score = F.least(F.lit(50.0), F.col(days) / F.greatest(lead_days, F.lit(1)))
     return stock.withColumns(
-        {"dead_stock_flag": F.col(days) > threshold, "dead_stock_score": F.bround(score, 2)}
+        {"dead_stock_flag": F.col(days) > threshold, "dead_stock_score": half_even(score, 2)}
     )
 
 
@@ -139,7 +139,7 @@ def reorder_alerts(
 ) -> DataFrame:
     """Days until stock-out, urgency of the rounded days, and the reorder point flag."""
     out = demand_per_sku(inventory, demand, sku)
-    days = F.bround(F.col(stock) / F.col("avg_daily_demand"), 1)
+    days = half_even(F.col(stock) / F.col("avg_daily_demand"), 1)
     below = F.col(stock) < F.col(reorder_point) if reorder_point in inventory.columns else F.lit(False)
     return out.withColumn("days_until_stockout", days).withColumns(
         {"urgency": stock_urgency(F.col("days_until_stockout")), "below_reorder_point": below}
@@ -153,13 +153,13 @@ def by_urgency(alerts: DataFrame, sku: str = "sku_id") -> DataFrame:
 def reorder_recommendations(stock: DataFrame, use_eoq: bool = True) -> DataFrame:
     """Order quantity and value per SKU from current stock and average daily demand."""
     daily = F.greatest(F.col("avg_daily_demand"), F.lit(DEMAND_FLOOR))
-    plain = F.greatest(F.lit(0), F.bround(daily * 30 - F.col("current_stock"), 0).cast("long"))
+    plain = F.greatest(F.lit(0), half_even(daily * 30 - F.col("current_stock"), 0).cast("long"))
     quantity = order_quantity(daily * 365, F.col("unit_cost")) if use_eoq else plain
-    days = F.bround(F.col("current_stock") / daily, 1)
+    days = half_even(F.col("current_stock") / daily, 1)
     return stock.withColumns({"days_until_stockout": days, "recommended_qty": quantity}).withColumns(
         {
             "urgency": stock_urgency(F.col("days_until_stockout")),
-            "po_value": F.bround(F.col("recommended_qty") * F.col("unit_cost"), 2),
+            "po_value": half_even(F.col("recommended_qty") * F.col("unit_cost"), 2),
         }
     )
 

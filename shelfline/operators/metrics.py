@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.scalars import gate_status, percent_error
+from shelfline.functions.scalars import gate_status, half_even, percent_error
 from shelfline.operators.ordered import running_totals
 from shelfline.operators.refine import smallest_rows
 
@@ -166,5 +166,5 @@ def champion_challenger(pairs: DataFrame) -> DataFrame:
     gate = gate_status(F.col("challenger"), F.col("gate"), F.col("direction")) == "PASS"
     better = F.coalesce(pct >= PROMOTION_STEP, F.lit(False))
     return pairs.withColumns(
-        {"improvement_pct": F.bround(pct, 2), "gate_pass": gate, "improvement_pass": better, "promote": gate & better}
+        {"improvement_pct": half_even(pct, 2), "gate_pass": gate, "improvement_pass": better, "promote": gate & better}
     )

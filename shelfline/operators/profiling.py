@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions.scalars import half_even
 from shelfline.operators.ordered import one_row, unpivot_numeric
 from shelfline.operators.refine import exact_quantiles
 from shelfline.session import stage_table
@@ -54,7 +55,7 @@ def revenue_deciles(stats: DataFrame) -> DataFrame:
             F.avg("txn_count").alias("avg_txn_count"),
         )
         .withColumn(
-            "revenue_share_pct", F.bround(F.col("total_revenue") / total["revenue"].cast("double") * 100, 2)
+            "revenue_share_pct", half_even(F.col("total_revenue") / total["revenue"].cast("double") * 100, 2)
         )
     )
 
@@ -89,7 +90,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         long.join(F.broadcast(bounds), "column")
         .groupBy("column", "lower", "upper")
         .agg(F.count_if(outside).alias("n_outliers"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("outlier_pct", F.bround(F.col("n_outliers") / F.col("_n") * 100, 2))
+        .withColumn("outlier_pct", half_even(F.col("n_outliers") / F.col("_n") * 100, 2))
         .drop("_n")
     )
 
@@ -162,8 +163,8 @@ def profile_summary(df: DataFrame) -> DataFrame:
     pairs = high_correlations(df, numbers).agg(F.count(F.lit(1))).scalar() if len(numbers) > 1 else F.lit(0)
     return base.select(
         "n_rows", F.lit(n_columns).alias("n_columns"),
-        F.bround(F.try_divide(F.col("_missing") * 100, F.col("n_rows") * n_columns), 4).alias("missing_cells_pct"),
-        F.bround(F.try_divide(copies * 100, F.col("n_rows")), 4).alias("duplicate_rows_pct"),
+        half_even(F.try_divide(F.col("_missing") * 100, F.col("n_rows") * n_columns), 4).alias("missing_cells_pct"),
+        half_even(F.try_divide(copies * 100, F.col("n_rows")), 4).alias("duplicate_rows_pct"),
         pairs.alias("n_high_correlations"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.scalars import attainment_pct, mape_band, psi_band, percent_error
+from shelfline.functions.scalars import attainment_pct, half_even, mape_band, psi_band, percent_error
 from shelfline.operators import drift, features as ft, metrics as mt
 from shelfline.plans.quality import SCORE_SQL, suite_scores
 from shelfline.operators.ordered import global_rank
@@ -497,7 +497,7 @@ def mape_vs_target(t: Tables) -> DataFrame:
         ).alias("s")
     ).scalar()
     return mapes.withColumn("_s", whole).select(
-        "product_id", F.bround(F.col("mape") - 10, 2).alias("vs_target"), "_s.n_within", "_s.n_above", "_s.mean_mape"
+        "product_id", half_even(F.col("mape") - 10, 2).alias("vs_target"), "_s.n_within", "_s.n_above", "_s.mean_mape"
     )
 
 

@@ -82,6 +82,17 @@ def test_reorder_alerts_use_rounded_days_and_defaults(spark):
     assert plain["avg_daily_demand"] == 10.0 and plain["below_reorder_point"] is False
 
 
+def test_stockout_days_on_a_tie_round_to_even(spark):
+    """261 in stock at 100 units a year and 2 at 200 last 952.65 and 3.65 days; the doubles lie a last bit beside it."""
+    stock = spark.createDataFrame([("a", 261, 1.0), ("b", 2, 1.0)], "sku_id string, current_stock int, unit_cost double")
+    demand = spark.createDataFrame([("a", 100 / 365), ("b", 200 / 365)], "sku_id string, avg_daily_demand double")
+    alerts = inv.reorder_alerts(stock, demand)
+    want = {"a": 952.6, "b": 3.6}
+    assert {r["sku_id"]: r["days_until_stockout"] for r in alerts.collect()} == want
+    listed = inv.reorder_recommendations(inv.demand_per_sku(stock, demand, "sku_id"))
+    assert {r["sku_id"]: r["days_until_stockout"] for r in listed.collect()} == want
+
+
 def test_reorder_order_and_demand_forms(spark):
     stock = spark.createDataFrame([("a", 500), ("b", 60), ("c", 50), ("d", 50)], "sku_id string, current_stock int")
     assert [r["sku_id"] for r in inv.by_urgency(inv.reorder_alerts(stock, None)).collect()] == ["c", "d", "b", "a"]
