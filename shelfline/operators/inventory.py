@@ -44,8 +44,20 @@ def abc_class(
     ).drop("_money", "_upto", "_upto_total")
 
 
+def exact_std(value: Column) -> Column:
+    """Sample standard deviation that does not depend on the order of rows where values are whole numbers.
+
+    Their sums are exact while below 2^53, so a ratio of exactly 0.5 cannot fall below it; other values take the usual aggregate.
+    """
+    value = value.cast("double")
+    n, total, squares = F.count(value), F.sum(value), F.sum(value * value)
+    exact = F.bool_and(value == F.rint(value)) & (n * squares < F.lit(float(2**53)))
+    return F.when(exact, F.sqrt(F.try_divide(n * squares - total * total, n * (n - 1)))).otherwise(F.stddev_samp(value))
+
+
 def xyz_class(demand: DataFrame, sku: str, value: str, x: float = 0.5, y: float = 1.0) -> DataFrame:
-    mean, std = F.avg(value), F.coalesce(F.stddev_samp(value), F.lit(0.0))
+    """Class by coefficient of variation: X below ``x``, Y below ``y``, else Z."""
+    mean, std = F.avg(value), F.coalesce(exact_std(F.col(value)), F.lit(0.0))
     stats = demand.groupBy(sku).agg(mean.alias("mean_demand"), std.alias("std_demand"))
     cv = F.when(F.col("mean_demand") > 0, F.try_divide("std_demand", "mean_demand")).otherwise(0.0)
     return stats.withColumn("cv", cv).withColumn(

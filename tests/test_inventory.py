@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +42,20 @@ def test_xyz_edges(spark):
     assert got == {"one": ("X", 0.0), "zero": ("X", 0.0), "y": ("Y", 0.707), "z": ("Z", 1.732), "x": ("X", 0.067)}
 
 
+def test_xyz_ratio_on_a_limit(spark):
+    """Mean 32 and deviation 16: a ratio of exactly 0.5 is class Y in any order of the rows."""
+    demand = [26, 8, 50, 41, 37, 40, 16, 10, 16, 51, 27, 45, 34, 22, 40, 7, 57, 67, 47, 19, 27, 41, 31, 29, 46, 21, 9]
+    r, rows = random.Random(5), []
+    for k in range(40):
+        rows += [(f"s{k}", float(v)) for v in r.sample(demand, len(demand))]
+    df = spark.createDataFrame(rows, "sku_id string, demand double")
+    for dealt in (df, df.repartition(7)):
+        got = inv.xyz_class(dealt, "sku_id", "demand").collect()
+        assert len(got) == 40 and {(g["mean_demand"], g["std_demand"], g["cv"], g["xyz_class"]) for g in got} == {(32.0, 16.0, 0.5, "Y")}
+    parts = spark.createDataFrame([("a", 0.1), ("a", 0.3)], "sku_id string, demand double")
+    assert inv.xyz_class(parts, "sku_id", "demand").first()["std_demand"] == pytest.approx(0.02**0.5)
+
+
 def eoq(spark, d, s, h, c, lt, std=None):
     df = spark.createDataFrame([(float(d), float(s), float(h), float(c), float(lt), std)], "d double, s double, h double, c double, lt double, std double")
     cols = inv.eoq_columns(F.col("d"), F.col("s"), F.col("h"), F.col("c"), F.col("lt"), daily_std=F.col("std"))
