@@ -216,16 +216,25 @@ def service_columns(service: str) -> list[str]:
     return [f for v in chosen.views for f in VIEWS[v].fields] + list(chosen.on_demand)
 
 
-def rfm_history(sales: DataFrame, every: int = 7) -> DataFrame:
+def rfm_history(sales: DataFrame, every: int = 7, start=None, end=None) -> DataFrame:
     """RFM features and score of every customer at every snapshot day, one each ``every`` days.
 
     A sale counts for the snapshots of the next ``RFM_LOOKBACK_DAYS`` days, so one pass over the sales and
     one aggregate give all snapshots. Scores are scaled within a snapshot. Snapshots are the days whose
-    number since 1970 is divisible by ``every``.
+    number since 1970 is divisible by ``every``. With ``start`` and ``end`` only the snapshots from one
+    day to the other are worked out, from the sales they can see.
     """
     day = F.unix_date(F.to_date("ts"))
     first, last = F.ceil(day / every).cast("int"), F.floor((day + RFM_LOOKBACK_DAYS) / every).cast("int")
-    dealt = sales.filter(F.col("ts").isNotNull()).select(
+    seen = F.col("ts").isNotNull()
+    if start is not None:
+        seen = seen & (F.col("ts") >= F.date_sub(F.lit(start).cast("date"), RFM_LOOKBACK_DAYS).cast("timestamp_ntz"))
+        first = F.greatest(first, F.ceil(F.unix_date(F.lit(start).cast("date")) / every).cast("int"))
+    if end is not None:
+        seen = seen & (F.col("ts") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+        last = F.least(last, F.floor(F.unix_date(F.lit(end).cast("date")) / every).cast("int"))
+    # A sale between two snapshots may meet none of them; a sequence would count downwards there.
+    dealt = sales.filter(seen & (first <= last)).select(
         "customer_id", day.alias("_day"), F.col("total_amount").alias("_amount"), F.explode(F.sequence(first, last)).alias("_snap")
     ).withColumn("_snap", F.col("_snap") * every)
     rfm = dealt.groupBy("customer_id", "_snap").agg(

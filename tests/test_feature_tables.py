@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.operators import features as ft
+from shelfline.plans import features as plans
+from shelfline.plans.views import Tables
 
 NOON = dt.datetime(2024, 3, 1, 12)
 DEMAND = ["sku_demand_fv:rolling_mean_7d", "sku_demand_fv:lag_1d", "customer_rfm_fv:monetary"]
@@ -66,6 +68,32 @@ def test_lookup_opens_few_periods(spark, by):
     assert "PartitionFilters: [isnotnull(event_period" in plan and "PushedFilters: [IsNotNull(event_ts)" in plan
 
 
+def test_history_of_an_interval_is_that_part_of_the_whole(spark):
+    r = random.Random(9)
+    rows = [(f"c{r.randint(0, 9)}", dt.datetime(2024, 1, 1) + dt.timedelta(days=r.randint(0, 300)), float(r.randint(1, 90))) for _ in range(300)]
+    sales = spark.createDataFrame([*rows, ("c1", None, 1.0)], "customer_id string, ts timestamp_ntz, total_amount double")
+    whole = ft.rfm_history(sales)
+    # A week, less than a week between two snapshots, one snapshot day, and days beyond the sales.
+    for start, end in (("2024-05-01", "2024-06-13"), ("2024-05-03", "2024-05-08"), ("2024-05-02", "2024-05-02"), ("2025-06-01", "2025-07-01")):
+        part = ft.rfm_history(sales, start=start, end=end)
+        want = whole.filter(F.to_date("event_ts").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_materialising_reads_and_writes_its_interval(spark, monkeypatch):
+    """What is written does not grow with the days outside of the interval."""
+    written = {}
+    monkeypatch.setattr(ft, "stage_by", lambda rows, label, *columns, order=None: written.setdefault(label, rows))
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    for name, fn, end in (("all", plans.materialize_all, plans.SNAPSHOT), ("lookup", plans.lookup_materialized, plans.LOOKUP_AT)):
+        written.clear()
+        fn(tables)
+        assert set(written) == {f"view-{v}" for v in (ft.VIEWS if name == "all" else ft.SERVICES["demand"].views)}
+        for rows in written.values():
+            first, last = rows.agg(F.min(F.to_date("event_ts")), F.max(F.to_date("event_ts"))).first()
+            assert plans.days_before(end) <= str(first) <= str(last) <= end
+
+
 def test_snapshots_equal_single_runs(spark):
     r = random.Random(3)
     rows = [(f"c{r.randint(0, 9)}", dt.datetime(2024, 1, 1) + dt.timedelta(days=r.randint(0, 120)), float(r.randint(1, 90))) for _ in range(300)]
