@@ -21,8 +21,9 @@ def landed_pos(t: Tables) -> DataFrame:
 
 
 def land_csv(t: Tables, df: DataFrame, name: str) -> str:
+    """A delivered feed: CSV files with a header, compressed."""
     path = scratch_path(t.spark, name)
-    df.write.option("header", True).csv(path)
+    df.write.option("header", True).option("compression", "gzip").csv(path)
     return path
 
 

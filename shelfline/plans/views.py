@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -14,6 +14,23 @@ SNAPSHOT = "2001-11-04"
 PERSONAS = ["Champion", "Loyal", "Potential Loyalist", "At-Risk VIP", "New", "Lost"]
 
 
+def line_columns() -> list[Column]:
+    """The columns of a sales line, from those of lineitem."""
+    return [
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_partkey").alias("part_key"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_suppkey").cast("string").alias("store_id"),
+        F.col("l_shipdate").alias("ts"),
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("total_amount"),
+        (F.col("l_returnflag") == "R").alias("return_flag"),
+    ]
+
+
 class Tables:
     """Access to the given tables of one folder and the retail views on them."""
 
@@ -28,29 +45,19 @@ class Tables:
 
     def lines(self) -> DataFrame:
         """Sales lines straight from lineitem: no join needed for SKU, store, time and money."""
-        return self.lineitem.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
-            F.col("l_orderkey").alias("order_key"),
-            F.col("l_partkey").alias("part_key"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("store_id"),
-            F.col("l_shipdate").alias("ts"),
-            F.to_date("l_shipdate").alias("date"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("total_amount"),
-            (F.col("l_returnflag") == "R").alias("return_flag"),
-        )
+        return self.lineitem.select(*line_columns())
 
     def customer_sales(self) -> DataFrame:
-        """Sales lines with their customer: one join, for customer-level jobs."""
-        orders = self.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("customer_id"))
-        return self.lines().join(orders, F.col("order_key") == F.col("o_orderkey")).drop("o_orderkey")
+        """Sales lines with their customer: one join, for customer-level jobs. Columns are worked out behind the join, which moves plain ones."""
+        orders = self.orders.select("o_orderkey", "o_custkey")
+        met = self.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return met.select(*line_columns(), F.col("o_custkey").cast("string").alias("customer_id"))
 
     def category_sales(self) -> DataFrame:
         """Sales lines with category and brand: one join, for SKU-level jobs."""
-        part = self.part.select("p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
-        return self.lines().join(part, F.col("part_key") == F.col("p_partkey")).drop("p_partkey")
+        part = self.part.select("p_partkey", "p_type", "p_brand")
+        met = self.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        return met.select(*line_columns(), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
 
     def pos(self) -> DataFrame:
         part = self.part.select("p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
