@@ -7,8 +7,8 @@ Reading. Every occurrence of the version line may start a record, or may stand i
 Files are split at it by Spark's text reader, so any number of tasks reads one file. Each piece gives
 its offset (running sums of piece lengths, first in a split, then over splits) and the offset of its
 successor by its Content-Length. Only pieces that the chain of successors reaches from the start of
-the file are records; reachability is found by pointer jumping, which doubles the length of known
-chains in each round, with joins on (file, offset). A header may hold the mark too, so it goes on
+the file are records. Pieces that link to the piece behind them form runs, in one pass over a file; reachability
+of runs is found by pointer jumping, which doubles the length of known chains in each round. A header may hold the mark too, so it goes on
 over the following pieces up to the first that has its end. Pieces in between belong to the header or
 payload of the record before them and are put together again; their bytes are read a second time and found by their
 SHA-256, since how Spark cuts files into splits may differ between two reads. Only offsets and
@@ -144,27 +144,45 @@ def _linked(placed: DataFrame) -> DataFrame:
     return placed.withColumn("next", end + 2 * len(END) + length)
 
 
+def _runs(links: DataFrame) -> DataFrame:
+    """Adds ``run`` to (file, offset, next): pieces that each link to the piece behind them are one run; ``leaves`` is set on a last piece that links elsewhere."""
+    order = Window.partitionBy("file").orderBy("offset")
+    joined = F.coalesce(F.lag("next").over(order) == F.col("offset"), F.lit(False))
+    leaves = (F.col("next") > F.col("offset")) & ~F.coalesce(F.lead("offset").over(order) == F.col("next"), F.lit(False))
+    # The chain only leads onwards from offset 0.
+    marked = links.where("offset >= 0").select("file", "offset", "next", F.when(joined, 0).otherwise(1).alias("new"), F.coalesce(leaves, F.lit(False)).alias("leaves"))
+    return marked.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+
+
 def reachable(links: DataFrame) -> DataFrame:
-    """(file, offset) of the pieces that the chain from offset 0 reaches, by pointer jumping over (file, offset, next)."""
+    """(file, offset) of the pieces that the chain from offset 0 reaches, by pointer jumping over the runs of (file, offset, next).
+
+    A run is left only at its end, so where the chain enters it says which of its pieces are reached. Records
+    without the mark inside are one run a file; rounds double the number of runs within reach.
+    """
     spark = links.sparkSession
-    jump, jump_path = stage_at(links.where("next IS NOT NULL AND next > offset").select("file", "offset", "next"), "jumps")
-    seen, seen_path = stage_at(links.where("offset = 0").select("file", "offset"), "seen")
-    count = seen.count()
-    while True:
-        # Chains of 1, 2, 4, ... successors: everything within reach doubles in each round.
-        ahead = seen.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset"))
-        more, more_path = stage_at(seen.unionByName(ahead.join(links.select("file", "offset"), ["file", "offset"], "left_semi")).distinct(), "seen")
-        drop_staged(spark, seen_path)
+    runs = stage_table(_runs(links), "runs")
+    seen = runs.where("offset = 0").select("file", "run", F.col("offset").alias("enter"))
+    enter = runs.select("file", F.col("offset").alias("next"), F.col("run").alias("to"))
+    jump, jump_path = stage_at(runs.where("leaves").select("file", "run", "next").join(enter, ["file", "next"]).select("file", "run", "to", F.col("next").alias("enter")), "jumps")
+    seen_path, count = None, seen.count() if jump.take(1) else 0
+    # Chains of 1, 2, 4, ... runs: everything within reach doubles in each round.
+    while count:
+        ahead = seen.drop("enter").join(jump, ["file", "run"]).select("file", F.col("to").alias("run"), "enter")
+        more, more_path = stage_at(seen.unionByName(ahead).distinct(), "seen")
+        if seen_path:
+            drop_staged(spark, seen_path)
         seen, seen_path, now = more, more_path, more.count()
         if now == count:  # no chain is longer than the jumps so far
-            drop_staged(spark, jump_path)
-            return seen
+            break
         count = now
-        same = (F.col("j.file") == F.col("n.file")) & (F.col("j.next") == F.col("n.offset"))
+        same = (F.col("j.file") == F.col("n.file")) & (F.col("j.to") == F.col("n.run"))
         twice = jump.alias("j").join(jump.alias("n"), same)
-        twice, twice_path = stage_at(twice.select("j.file", "j.offset", F.col("n.next").alias("next")), "jumps")
+        twice, twice_path = stage_at(twice.select("j.file", "j.run", "n.to", "n.enter"), "jumps")
         drop_staged(spark, jump_path)
         jump, jump_path = twice, twice_path
+    drop_staged(spark, jump_path)
+    return runs.join(seen, ["file", "run"]).where("offset >= enter").select("file", "offset")
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:

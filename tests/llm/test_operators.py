@@ -166,6 +166,31 @@ def test_warc_mark_in_header(spark):
     assert back == {f"<urn:page:{k}>": u.replace("\r", "%0D").replace("\n", "%0A") for k, u in enumerate(urls)}
 
 
+def test_warc_chains_in_few_rounds(spark, monkeypatch):
+    """Reached pieces against following each link, and a long file of whole records without a round for each doubling of its length."""
+    r = random.Random(5)
+    links = [("plain", 10 * k, 10 * k + 10) for k in range(3000)]
+    for file in ("a", "b", "c", "d"):
+        at = [-7, 0, *sorted(r.sample(range(1, 400), 120))]
+        # Most pieces link to the next one, others further on, backwards, between pieces or nowhere.
+        links += [(file, x, r.choice([*at[k + 1 : k + 2]] * 6 + [*at[k + 1 : k + 9], 5, x + 1, None])) for k, x in enumerate(at)]
+    following, want = {(f, x): n for f, x, n in links}, set()
+    for file in {f for f, _, _ in links}:
+        x = 0
+        while (file, x) in following:
+            want.add((file, x))
+            n = following[file, x]
+            if n is None or n <= x:
+                break
+            x = n
+    frame = spark.createDataFrame(links, "file string, offset long, next long")
+    assert {tuple(x) for x in warc.reachable(frame).collect()} == want
+    staged, stage = [], warc.stage_at
+    monkeypatch.setattr(warc, "stage_at", lambda df, label: staged.append(label) or stage(df, label))
+    assert warc.reachable(frame.where("file = 'plain'")).count() == 3000
+    assert len(staged) <= 2
+
+
 def test_warc_reads_of_different_splits(spark, monkeypatch):
     magic = "WARC/1.1\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
     pages = spark.createDataFrame([(k, "u", magic * 3 + "y" * 300 * k) for k in range(8)], "page_id long, url string, html string").coalesce(1)
