@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -216,6 +217,16 @@ def service_columns(service: str) -> list[str]:
     return [f for v in chosen.views for f in VIEWS[v].fields] + list(chosen.on_demand)
 
 
+def _snapshot_bounds(rfm: DataFrame) -> DataFrame:
+    """Smallest and largest value of each scored column by ``_snap``."""
+    return rfm.groupBy("_snap").agg(*[fn(c).alias(f"_{side}_{c}") for c in RFM_WEIGHTS for side, fn in (("lo", F.min), ("hi", F.max))])
+
+
+def _snapshot_score() -> Column:
+    scaled = lambda c: (F.col(c) - F.col(f"_lo_{c}")) / (F.col(f"_hi_{c}") - F.col(f"_lo_{c}") + F.lit(1e-9)) * 4 + 1
+    return (6 - scaled("recency_days")) * RFM_WEIGHTS["recency_days"] + scaled("frequency") * RFM_WEIGHTS["frequency"] + scaled("monetary") * RFM_WEIGHTS["monetary"]
+
+
 def rfm_history(sales: DataFrame, every: int = 7, start=None, end=None) -> DataFrame:
     """RFM features and score of every customer at every snapshot day, one each ``every`` days.
 
@@ -242,11 +253,46 @@ def rfm_history(sales: DataFrame, every: int = 7, start=None, end=None) -> DataF
         decimal_sum(F.col("_amount")).cast("double").alias("monetary"),
     ).withColumn("avg_basket_size", F.col("monetary") / F.col("frequency"))
     rfm = stage_table(rfm, "rfm-history")
-    bounds = rfm.groupBy("_snap").agg(*[fn(c).alias(f"_{side}_{c}") for c in RFM_WEIGHTS for side, fn in (("lo", F.min), ("hi", F.max))])
-    scaled = lambda c: (F.col(c) - F.col(f"_lo_{c}")) / (F.col(f"_hi_{c}") - F.col(f"_lo_{c}") + F.lit(1e-9)) * 4 + 1
-    score = (6 - scaled("recency_days")) * RFM_WEIGHTS["recency_days"] + scaled("frequency") * RFM_WEIGHTS["frequency"] + scaled("monetary") * RFM_WEIGHTS["monetary"]
     at = F.date_from_unix_date("_snap").cast("timestamp_ntz").alias("event_ts")
-    return rfm.join(bounds, "_snap").withColumn("rfm_score", score).select("customer_id", at, *RFM_COLUMNS)
+    return rfm.join(_snapshot_bounds(rfm), "_snap").withColumn("rfm_score", _snapshot_score()).select("customer_id", at, *RFM_COLUMNS)
+
+
+def rfm_before_sales(sales: DataFrame, every: int = 7) -> DataFrame:
+    """The rows of :func:`rfm_history` that a sale of the same customer can see as its newest snapshot.
+
+    Sales are added up by customer and day; each sum enters at its first snapshot and leaves behind its last, so
+    running sums over these points give a customer's state, which holds up to the next point. Bounds of a
+    snapshot are taken over all customers' states without keeping them: what moves is in proportion to the sales.
+    """
+    day = F.unix_date(F.to_date("ts"))
+    money = F.col("total_amount").cast("decimal(18,4)")
+    cells = sales.filter(F.col("ts").isNotNull()).groupBy("customer_id", day.alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(money).alias("_known"), F.sum(money).alias("_amount")
+    )
+    first, last = F.ceil(F.col("_day") / every).cast("int"), F.floor((F.col("_day") + RFM_LOOKBACK_DAYS) / every).cast("int")
+    enters = F.struct(first.alias("_point"), "_n", "_known", "_amount", "_day", F.floor(F.col("_day") / every).cast("int").alias("_asked"))
+    nothing = F.lit(None).cast("int")
+    leaves = F.struct((last + 1).alias("_point"), (-F.col("_n")).alias("_n"), (-F.col("_known")).alias("_known"), (-F.col("_amount")).alias("_amount"), nothing.alias("_day"), nothing.alias("_asked"))
+    # Both uses of the states read one shuffle, of sums and not of points.
+    points = cells.repartition("customer_id").select("customer_id", F.inline(F.array(enters, leaves)))
+    order = Window.partitionBy("customer_id").orderBy("_point")
+
+    def state(upto: int) -> Column:
+        frame = order.rangeBetween(Window.unboundedPreceding, upto)
+        held = F.when(F.sum("_known").over(frame) > 0, F.sum("_amount").over(frame)).cast("double")
+        # While any sale is within the days looked back, the last one is.
+        return F.struct(F.sum("_n").over(frame).alias("frequency"), held.alias("monetary"), F.max("_day").over(frame).alias("_last"))
+
+    states = points.select("customer_id", "_point", "_asked", F.lead("_point").over(order).alias("_next"), state(0).alias("_at"), state(-1).alias("_before"))
+    recency = (F.col("_snap") * every - F.col("_last")).cast("long").alias("recency_days")
+    held = states.filter("_at.frequency > 0 AND _next > _point").select(F.explode(F.sequence("_point", F.col("_next") - 1)).alias("_snap"), "_at.*").withColumn("recency_days", recency)
+    own = F.when(F.col("_asked") == F.col("_point"), F.col("_at")).otherwise(F.col("_before"))
+    asked = states.filter("_asked IS NOT NULL").select("customer_id", F.col("_asked").alias("_snap"), own.alias("_own")).select("customer_id", "_snap", "_own.*")
+    asked = asked.filter("frequency > 0").dropDuplicates(["customer_id", "_snap"]).withColumn("recency_days", recency)
+    rfm = asked.withColumn("avg_basket_size", F.col("monetary") / F.col("frequency"))
+    # One row a snapshot day.
+    scored = rfm.join(F.broadcast(_snapshot_bounds(held)), "_snap").withColumn("rfm_score", _snapshot_score())
+    return scored.select("customer_id", F.date_from_unix_date(F.col("_snap") * every).cast("timestamp_ntz").alias("event_ts"), *RFM_COLUMNS)
 
 
 def materialize_latest(view: FeatureView, source: DataFrame, start, end) -> DataFrame:
@@ -310,21 +356,44 @@ def latest_feature_lookup(entities: DataFrame, sources: dict[str, DataFrame], no
     return out
 
 
-def recent_rows(asked: DataFrame, table: DataFrame, view: FeatureView, fields: Sequence[str]) -> DataFrame:
-    """(_row, _found): for each asked (_row, keys, _at) the newest row of ``table`` at or before it, not older than the time to live.
+#: A period of retrieval is this many times a view's time to live.
+PERIOD_LENGTH = 16
 
-    Time is cut into buckets as long as the time to live, so what is wanted lies in the bucket of the
-    asked time or the one before: an equality join on keys and bucket. Made for tables with few rows a
-    key and bucket, such as daily features; event streams go through ``ordered.as_of_join``.
+
+def as_known(entities: DataFrame, sources: dict[str, DataFrame], entity_ts: str, views: Sequence[FeatureView], wanted: dict[str, Sequence[str]]) -> DataFrame:
+    """Adds a struct ``_<view>`` per view: the newest row at or before the entity's time, not older than the time to live, else null.
+
+    The views have one time to live, and the keys of the first are among those of all. Entities and view rows stand
+    together by the first view's keys and a period of several times to live, in order of time, and each entity
+    takes the last row before it: one shuffle for all views, in which views of one source frame and equal keys share
+    rows. A view row that the next period can see is in both.
     """
-    seconds = view.ttl_days * 86400
-    bucket = lambda time: F.floor(F.unix_micros(F.to_timestamp(time)) / F.lit(seconds * 1_000_000)).cast("long")
-    looks = asked.select("*", F.explode(F.array(bucket(F.col("_at")), bucket(F.col("_at")) - 1)).alias("_bucket"))
-    value = F.struct(F.col(view.time).alias("_time"), F.xxhash64(*fields).alias("_tie"), *fields)
-    rows = table.filter(F.col(view.time).isNotNull()).select(*view.keys, value.alias("_found"), bucket(F.col(view.time)).alias("_bucket"))
-    met = looks.join(rows, [*view.keys, "_bucket"])
-    fits = (F.col("_found._time") <= F.col("_at")) & (F.col("_found._time") >= F.col("_at") - F.expr(f"INTERVAL {view.ttl_days} DAYS"))
-    return met.filter(fits).groupBy("_row").agg(F.max("_found").alias("_found"))
+    ttl = views[0].ttl_days
+    length = ttl * 86400 * 1_000_000 * PERIOD_LENGTH
+    period = lambda time: F.floor(F.unix_micros(F.to_timestamp(time)) / F.lit(length)).cast("long")
+    keys = list(dict.fromkeys(k for v in views for k in v.keys))
+    at = F.col(entity_ts).cast("timestamp_ntz")
+    rest = F.struct(F.lit(True).alias("_asks"), *[c for c in entities.columns if c not in keys])
+    rows = entities.select(*keys, at.alias("_at"), period(at).alias("_period"), rest.alias("_entity"))
+    shared: dict[tuple, list[FeatureView]] = {}
+    for view in views:
+        shared.setdefault((id(sources[view.name]), view.keys, view.time), []).append(view)
+    for (_, own, at_column), alike in shared.items():
+        time = F.col(at_column).cast("timestamp_ntz")
+        known = sources[alike[0].name].filter(functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in (at_column, *own)]))
+        periods = F.array_distinct(F.array(period(time), period(time + F.expr(f"INTERVAL {ttl} DAYS"))))
+        values = [F.struct(*wanted[v.name]).alias(f"_{v.name}") for v in alike]
+        rows = rows.unionByName(known.select(*own, time.alias("_at"), F.explode(periods).alias("_period"), *values), allowMissingColumns=True)
+    # Times and tie breakers of view rows follow from what has been moved.
+    rows = rows.repartition(*views[0].keys, "_period")
+    ties = [F.when(F.col(f"_{v.name}").isNotNull(), F.xxhash64(*[f"_{v.name}.{f}" for f in wanted[v.name]])) for v in views]
+    dated = {f"_{v.name}": F.when(F.col(f"_{v.name}").isNotNull(), F.struct(F.col("_at").alias("_time"), *[f"_{v.name}.{f}" for f in wanted[v.name]])) for v in views}
+    rows = rows.withColumns({"_tie": F.coalesce(*ties), "_asks": F.col("_entity").isNotNull(), **dated})
+    for view in views:
+        order = Window.partitionBy(*view.keys, "_period").orderBy("_at", "_asks", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn(f"_{view.name}", F.last(f"_{view.name}", ignorenulls=True).over(order))
+    found = [F.when(F.col(f"_{v.name}._time") >= F.col("_at") - F.expr(f"INTERVAL {ttl} DAYS"), F.col(f"_{v.name}").dropFields("_time")).alias(f"_{v.name}") for v in views]
+    return rows.filter("_asks").select(*[c if c in keys else F.col(f"_entity.{c}") for c in entities.columns], *found)
 
 
 def point_in_time_features(
@@ -332,20 +401,19 @@ def point_in_time_features(
 ) -> DataFrame:
     """Training frame: each entity row with every referenced feature as it was known at the row's time.
 
-    Only a row number, the keys and the time go to the views; what they find is brought together in one
-    aggregate and joined back once. Rows without a time, or older than a view's time to live, get nulls.
+    Views of one time to live whose keys contain another's share its shuffle. Rows without a time, or older than
+    a view's time to live, get nulls.
     """
-    numbered = stage_table(entities.withColumn("_row", F.monotonically_increasing_id()), "entities")
-    wanted, parts = resolve_references(references), []
-    for name, fields in wanted.items():
-        view = VIEWS[name]
-        asked = numbered.select("_row", *view.keys, F.col(entity_ts).cast("timestamp_ntz").alias("_at")).filter(F.col("_at").isNotNull())
-        found = recent_rows(asked, sources[name], view, fields)
-        parts.append(found.select("_row", *[F.col(f"_found.{f}").alias(f) for f in fields]))
-    both = parts[0]
-    for part in parts[1:]:
-        both = both.unionByName(part, allowMissingColumns=True)
-    fields = [f for own in wanted.values() for f in own]
-    # A row meets a view once, so the maximum is its one value.
-    found = both.groupBy("_row").agg(*[F.max(f).alias(f) for f in fields])
-    return numbered.join(found, "_row", "left").select(*entities.columns, *fields)
+    wanted, out = resolve_references(references), entities
+    groups: list[list[FeatureView]] = []
+    for view in sorted((VIEWS[name] for name in wanted), key=lambda v: (v.ttl_days, len(v.keys))):
+        for group in groups:
+            if group[0].ttl_days == view.ttl_days and set(group[0].keys) <= set(view.keys):
+                group.append(view)
+                break
+        else:
+            groups.append([view])
+    # What is found moves with the entities into later shuffles.
+    for group in sorted(groups, key=lambda g: sum(len(wanted[v.name]) for v in g)):
+        out = as_known(out, sources, entity_ts, group, wanted)
+    return out.select(*entities.columns, *[F.col(f"_{name}.{f}").alias(f) for name, own in wanted.items() for f in own])

@@ -104,3 +104,48 @@ def test_snapshots_equal_single_runs(spark):
         one = sorted((tuple(x) for x in got.filter(F.col("event_ts") == F.lit(day).cast("timestamp_ntz")).drop("event_ts").collect()))
         want = sorted(tuple(x) for x in ft.rfm_features(sales, day, bounded=True).collect())
         assert [x[0] for x in one] == [x[0] for x in want] and all(a[1:] == pytest.approx(b[1:]) for a, b in zip(one, want))
+
+
+@pytest.mark.parametrize("every", [7, 30, 100])
+def test_snapshots_before_sales_are_those_of_the_history(spark, every):
+    r = random.Random(12)
+    rows = [(f"c{r.randint(0, 9)}", dt.datetime(2024, 1, 1, r.choice([0, 0, 13])) + dt.timedelta(days=r.randint(0, 300)), r.choice([None, *range(1, 9)])) for _ in range(300)]
+    sales = spark.createDataFrame([*rows, ("c1", None, 1), (None, dt.datetime(2024, 5, 5), 7)], "customer_id string, ts timestamp_ntz, total_amount int")
+    snapshot = lambda at: dt.datetime(1970, 1, 1) + dt.timedelta(days=(at - dt.datetime(1970, 1, 1)).days // every * every)
+    seen = {(c, snapshot(at)) for c, at, _ in [*rows, (None, dt.datetime(2024, 5, 5), 7)]}
+    want = [x for x in map(tuple, ft.rfm_history(sales, every).collect()) if x[:2] in seen]
+    got = [tuple(x) for x in ft.rfm_before_sales(sales, every).collect()]
+    assert len(want) > 50 or every > 7
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_retrieval_keeps_no_snapshot_that_no_line_sees(spark, monkeypatch):
+    """All weekly snapshots of all customers are about seven times the lines; nothing written or looked through may hold them."""
+    tables, looked, staged = Tables(spark, "/root/testdata/sf0.001"), {}, []
+    stage, find = ft.stage_table, ft.point_in_time_features
+    monkeypatch.setattr(ft, "stage_table", lambda df, label: staged.append(label) or stage(df, label))
+    monkeypatch.setattr(ft, "point_in_time_features", lambda lines, sources, at: looked.update(sources) or find(lines, sources, at))
+    out = plans.point_in_time_features_all(tables)
+    lines = tables.lineitem.count()
+    assert out.count() == lines and staged == []
+    assert all(source.count() <= lines for source in looked.values())
+
+
+def test_views_of_periods_and_ties(spark):
+    """The edge of a period, an age of just the time to live, equal times, and null keys."""
+    start = dt.datetime(1970, 1, 1) + dt.timedelta(days=16 * 1000)  # the periods of a time to live of a day
+    day, hour = dt.timedelta(days=1), dt.timedelta(hours=1)
+    known = [("a", start - hour, 1.0), ("b", start - day, 2.0), ("c", start, 3.0), ("d", start - 2 * day, 4.0), (None, start, 5.0), ("e", start, 6.0), ("e", start, 7.0)]
+    zeros = [F.lit(0.0).alias(n) for n in ("rolling_mean_14d", "rolling_mean_30d", "lag_1d", "lag_7d", "momentum_7d")]
+    view = spark.createDataFrame(known, "product_id string, event_ts timestamp_ntz, rolling_mean_7d double").select("*", *zeros)
+    asked = [("a", start), ("a", start + 22 * hour), ("a", start + 23 * hour), ("a", start + 24 * hour), ("b", start), ("b", start + hour), ("c", start), ("c", start - hour), ("d", start), (None, start), ("e", start), ("f", None)]
+    frame = spark.createDataFrame(asked, "product_id string, ts timestamp_ntz")
+    got = {(r[0], r[1]): r[2] for r in ft.point_in_time_features(frame, {"sku_demand_fv": view}, "ts", ["sku_demand_fv:rolling_mean_7d"]).collect()}
+    assert got.pop(("e", start)) in (6.0, 7.0)
+    assert {k for k, v in got.items() if v is not None} == {("a", start), ("a", start + 22 * hour), ("a", start + 23 * hour), ("b", start), ("c", start)}
+
+
+def test_rounding_scales_before_it_rounds(spark):
+    # 67009.3186625 times a million is a last bit below the half.
+    got = plans.rounded(spark.range(1).select((F.lit(536074.5493) / 8).alias("a")), {"a": 6})
+    assert got.first().a == 67009.318662
