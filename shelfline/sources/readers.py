@@ -165,12 +165,16 @@ def clean_invoice_sales(*sheets: DataFrame) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float = 0.10, seed: int = 42) -> DataFrame:
-    """An exact share of the rows, the same for every run: those with the smallest hash of seed and keys, then the smallest keys."""
+    """An exact share of the rows, the same for every run: those with the smallest hash of seed and keys, then the smallest keys.
+
+    Keys may repeat; where the share ends among rows of equal keys, the smallest of the other columns, as texts, decide.
+    """
     names = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
     # 13 hex digits are 52 bits, which a double holds exactly.
     digest = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *names)), 1, 13), 16, 10)
     drawn = fresh(df, "drawn")
-    marked = smallest_rows(df, digest, [F.col(k) for k in keys], lambda n: F.round(n * F.lit(fraction)), drawn)
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in keys]), {"ignoreNullFields": "false"})
+    marked = smallest_rows(df, digest, [*[F.col(k) for k in keys], others], lambda n: F.round(n * F.lit(fraction)), drawn)
     return marked.filter(drawn).drop(drawn)
 
 

@@ -1,12 +1,14 @@
 """Order statistics by refinement against numpy, also when every cell has to be opened many times."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.operators import drift, profiling, refine
+from shelfline.sources import readers
 
 
 def values():
@@ -96,3 +98,15 @@ def test_smallest_rows_match_brute_force(spark, share):
 def test_smallest_rows_of_an_empty_table(spark):
     df = spark.createDataFrame([], "id int, v double")
     assert refine.smallest_rows(df, F.col("v"), [F.col("id")], lambda n: n, "_in").count() == 0
+
+
+def test_sample_with_repeated_keys_is_the_same_for_every_order(spark):
+    """The share ends among rows of one key: whatever order they are read in, the same rows are drawn."""
+    rows = [(f"k{i // 40}", i, None if i % 3 else float(i)) for i in range(400)]
+    schema = "key string, n int, x double"
+    drawn = []
+    for seed in range(4):
+        mixed = random.Random(seed).sample(rows, len(rows))
+        frame = spark.createDataFrame(mixed, schema).repartition(seed + 1)
+        drawn.append(sorted((tuple(r) for r in readers.sample_fraction(frame, ["key"], 0.125).collect()), key=repr))
+    assert len(drawn[0]) == 50 and all(d == drawn[0] for d in drawn)
