@@ -7,19 +7,28 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import features as ft
 from shelfline.plans.registry import query
-from shelfline.plans.views import SNAPSHOT, Tables
+from shelfline.plans.views import SNAPSHOT, Tables, customer_line_columns
 from shelfline.session import scratch_path
 from shelfline.sources import bronze, readers, schemas, writers
 
 
-def landed_pos(t: Tables) -> DataFrame:
-    """Sales as a source system would deliver them."""
-    return t.customer_sales().select(
+def as_landed(sales: DataFrame, *more: str) -> DataFrame:
+    return sales.select(
         "transaction_id", "customer_id", "product_id", "store_id", F.col("ts").alias("timestamp"), "quantity",
-        "unit_price", F.col("total_amount").cast("double").alias("total_amount"), "return_flag",
+        "unit_price", F.col("total_amount").cast("double").alias("total_amount"), "return_flag", *more,
     )
 
 
+def landed_pos(t: Tables) -> DataFrame:
+    """Sales as a source system would deliver them."""
+    return as_landed(t.customer_sales())
+
+
+def landed_from_lines(lines: DataFrame) -> DataFrame:
+    """As :func:`landed_pos`, from plain lines that are already brought together by month."""
+    return as_landed(lines.select(*customer_line_columns(), "year", "month"), "year", "month")
+
+
 def land_csv(t: Tables, df: DataFrame, name: str) -> str:
     """A delivered feed: CSV files with a header, compressed."""
     path = scratch_path(t.spark, name)
@@ -81,7 +90,7 @@ def scan_by_suffix(t: Tables) -> DataFrame:
 
 def published_pos(t: Tables) -> str:
     path = scratch_path(t.spark, "table")
-    writers.append_by_month(landed_pos(t), path)
+    writers.append_by_month(t.customer_lines(), path, "l_shipdate", landed_from_lines)
     return path
 
 
@@ -142,10 +151,10 @@ FROM (SELECT NULL AS channel, quantity FROM pos WHERE ts < TIMESTAMP '1999-01-01
 def schema_evolution_append(t: Tables) -> DataFrame:
     """The second append brings a new column; older rows read as null."""
     path, border = scratch_path(t.spark, "evolving"), F.lit("1999-01-01").cast("timestamp_ntz")
-    sales = landed_pos(t)
-    writers.append_by_month(sales.filter(F.col("timestamp") < border), path)
+    lines, time = t.customer_lines(), F.col("l_shipdate")
+    writers.append_by_month(lines.filter(time < border), path, "l_shipdate", landed_from_lines)
     channel = F.concat(F.lit("store-"), (F.col("store_id").cast("long") % 4).cast("string"))
-    writers.append_by_month(sales.filter(F.col("timestamp") >= border).withColumn("channel", channel), path)
+    writers.append_by_month(lines.filter(time >= border), path, "l_shipdate", lambda d: landed_from_lines(d).withColumn("channel", channel))
     return readers.read_table(t.spark, path).groupBy("channel").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity")
     )

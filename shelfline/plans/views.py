@@ -31,6 +31,11 @@ def line_columns() -> list[Column]:
     ]
 
 
+def customer_line_columns() -> list[Column]:
+    """The columns of a sales line and its customer, from those of :meth:`Tables.customer_lines`."""
+    return [*line_columns(), F.col("o_custkey").cast("string").alias("customer_id")]
+
+
 class Tables:
     """Access to the given tables of one folder and the retail views on them."""
 
@@ -47,11 +52,14 @@ class Tables:
         """Sales lines straight from lineitem: no join needed for SKU, store, time and money."""
         return self.lineitem.select(*line_columns())
 
+    def customer_lines(self) -> DataFrame:
+        """Lineitem as it is with the customer of its order: plain columns, for jobs that shuffle lines again."""
+        orders = self.orders.select("o_orderkey", "o_custkey")
+        return self.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
     def customer_sales(self) -> DataFrame:
         """Sales lines with their customer: one join, for customer-level jobs. Columns are worked out behind the join, which moves plain ones."""
-        orders = self.orders.select("o_orderkey", "o_custkey")
-        met = self.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return met.select(*line_columns(), F.col("o_custkey").cast("string").alias("customer_id"))
+        return self.customer_lines().select(*customer_line_columns())
 
     def category_sales(self) -> DataFrame:
         """Sales lines with category and brand: one join, for SKU-level jobs."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +28,19 @@ def _layout(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def append_by_month(df: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Append, partitioned by year and month of ``time``."""
-    dated = df.withColumns({"year": F.year(time), "month": F.month(time)})
-    _layout(dated, "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
+def by_month(df: DataFrame, time: str = "timestamp", finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows with ``year`` and ``month`` of ``time``, those of a month together.
+
+    ``finish`` works out columns row by row behind the shuffle and the sort, so that both move only the
+    columns it starts from; it keeps ``year`` and ``month``.
+    """
+    laid = _layout(df.withColumns({"year": F.year(time), "month": F.month(time)}), "year", "month")
+    return finish(laid.sortWithinPartitions("year", "month")) if finish else laid
+
+
+def append_by_month(df: DataFrame, path: str, time: str = "timestamp", finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Append, partitioned by year and month of ``time``; see :func:`by_month` for ``finish``."""
+    by_month(df, time, finish).write.mode("append").option("compression", "zstd").partitionBy("year", "month").parquet(path)
 
 
 def add_months(df: DataFrame, path: str, time: str = "timestamp", check=None) -> None:

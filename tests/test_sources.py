@@ -262,3 +262,32 @@ def test_sales_joins_move_plain_columns_and_feeds_are_compressed(spark):
     path = plans.land_csv(t, t.lines(), "land-test")
     assert all(n.endswith(".csv.gz") for n in files.names(spark, path) if n.startswith("part-"))
     assert spark.read.option("header", True).csv(path).count() == t.lineitem.count()
+
+
+def test_appends_by_month_move_plain_columns(spark, monkeypatch):
+    """Rows are brought together by month before their texts and amounts are worked out; the tables stay the same, in compact files."""
+    laid, paths, layout, append = [], [], writers._layout, writers.append_by_month
+
+    def spy(df, *columns):
+        laid.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return layout(df, *columns)
+
+    def noted(df, path, *args):
+        paths.append(path)
+        append(df, path, *args)
+
+    monkeypatch.setattr(writers, "_layout", spy)
+    monkeypatch.setattr(writers, "append_by_month", noted)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plans.published_pos(t)
+    plans.schema_evolution_append(t)
+    assert len(laid) == 3 and paths[1] == paths[2]
+    assert not any("concat_ws" in p for p in laid)
+    sales = plans.landed_pos(t).withColumns({"year": F.year("timestamp"), "month": F.month("timestamp")})
+    channel = F.when(F.col("year") >= 1999, F.concat(F.lit("store-"), (F.col("store_id").cast("int") % 4).cast("string")))
+    for path, want in ((paths[0], sales), (paths[1], sales.withColumn("channel", channel))):
+        table = readers.read_table(spark, path)
+        assert sorted(table.columns) == sorted(want.columns) and table.count() == want.count() > 0
+        assert table.select(want.columns).exceptAll(want).isEmpty()
+        month = next(n for n in files.names(spark, f"{path}/year=1999") if n.startswith("month="))
+        assert all(n.endswith(".zstd.parquet") for n in files.names(spark, f"{path}/year=1999/{month}"))
