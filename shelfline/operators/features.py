@@ -8,12 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from shelfline import files
 from shelfline.functions import calendar as cal
 from shelfline.functions.scalars import clv_band, extreme_weather, high_risk_flag
 from shelfline.operators.ordered import decimal_sum, newest_per_key, one_row
-from shelfline.session import stage_by, stage_table
+from shelfline.session import drop_staged, freeing_shuffles, stage_by, stage_freed, stage_table
 
 RFM_LOOKBACK_DAYS = 90
 RFM_COLUMNS = ["recency_days", "frequency", "monetary", "avg_basket_size", "rfm_score"]
@@ -269,6 +271,8 @@ def rfm_before_sales(sales: DataFrame, every: int = 7) -> DataFrame:
     cells = sales.filter(F.col("ts").isNotNull()).groupBy("customer_id", day.alias("_day")).agg(
         F.count(F.lit(1)).alias("_n"), F.count(money).alias("_known"), F.sum(money).alias("_amount")
     )
+    # Both uses read the sums from here, and the shuffles before them go.
+    cells, _ = stage_freed(cells, "rfm-cells")
     first, last = F.ceil(F.col("_day") / every).cast("int"), F.floor((F.col("_day") + RFM_LOOKBACK_DAYS) / every).cast("int")
     enters = F.struct(first.alias("_point"), "_n", "_known", "_amount", "_day", F.floor(F.col("_day") / every).cast("int").alias("_asked"))
     nothing = F.lit(None).cast("int")
@@ -396,13 +400,60 @@ def as_known(entities: DataFrame, sources: dict[str, DataFrame], entity_ts: str,
     return rows.filter("_asks").select(*[c if c in keys else F.col(f"_entity.{c}") for c in entities.columns], *found)
 
 
+SLICE = "_slice"
+#: Entities of a slice of a large retrieval over several groups of views, and its greatest number of slices.
+SLICE_ROWS, MAX_SLICES = 2_000_000, 16
+
+
+def _same_keys(entities: DataFrame, sources: dict[str, DataFrame], views: Sequence[FeatureView]) -> bool:
+    """Whether equal keys have equal hashes: their columns have one plain type on both sides."""
+    plain = (T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DateType())
+    return all(entities.schema[k].dataType == sources[v.name].schema[k].dataType and entities.schema[k].dataType in plain for v in views for k in views[0].keys)
+
+
+def _known_by_slices(
+    entities: DataFrame, sources: dict[str, DataFrame], entity_ts: str, groups: Sequence[Sequence[FeatureView]], wanted: dict[str, Sequence[str]], slices: int
+) -> DataFrame:
+    """As :func:`as_known` for one group after the other, with room on disk for the shuffle of one slice only.
+
+    Entities and the group's sources are staged by slices of the group's keys; a slice goes when what is known of it is staged.
+    """
+    spark = entities.sparkSession
+
+    def sliced(keys: Sequence[str]) -> Column:
+        return F.pmod(F.hash(*keys), F.lit(slices)).alias(SLICE)
+
+    out, at = stage_freed(entities.select("*", sliced(groups[0][0].keys)), "entities", SLICE)
+    for i, group in enumerate(groups):
+        tables: dict[int, tuple[DataFrame, str]] = {}
+        for frame in {id(sources[v.name]): sources[v.name] for v in group}.values():
+            alike = [v for v in group if sources[v.name] is frame]
+            columns = dict.fromkeys(c for v in alike for c in (*v.keys, v.time, *wanted[v.name]))
+            tables[id(frame)] = stage_freed(frame.select(*columns, sliced(group[0].keys)), "sources", SLICE)
+        following = groups[i + 1][0].keys if i + 1 < len(groups) else None
+        path = None
+        for s in range(slices):
+            pick = {key: table.filter(F.col(SLICE) == s).drop(SLICE) for key, (table, _) in tables.items()}
+            own = {v.name: pick[id(sources[v.name])] for v in group}
+            known = as_known(out.filter(F.col(SLICE) == s).drop(SLICE), own, entity_ts, group, wanted)
+            if following:
+                known = known.select("*", sliced(following))
+            found, path = stage_freed(known, "known", SLICE if following else None, path)
+            for used in (at, *(p for _, p in tables.values())):
+                files.delete(spark, f"{used}/{SLICE}={s}")
+        for used in (at, *(p for _, p in tables.values())):
+            drop_staged(spark, used)
+        out, at = found, path
+    return out
+
+
 def point_in_time_features(
     entities: DataFrame, sources: dict[str, DataFrame], entity_ts: str, references: Sequence[str] = ALL_REFERENCES
 ) -> DataFrame:
     """Training frame: each entity row with every referenced feature as it was known at the row's time.
 
     Views of one time to live whose keys contain another's share its shuffle. Rows without a time, or older than
-    a view's time to live, get nulls.
+    a view's time to live, get nulls. Several shuffles of many entities are worked out and staged by slices.
     """
     wanted, out = resolve_references(references), entities
     groups: list[list[FeatureView]] = []
@@ -414,6 +465,14 @@ def point_in_time_features(
         else:
             groups.append([view])
     # What is found moves with the entities into later shuffles.
-    for group in sorted(groups, key=lambda g: sum(len(wanted[v.name]) for v in g)):
-        out = as_known(out, sources, entity_ts, group, wanted)
+    groups.sort(key=lambda g: sum(len(wanted[v.name]) for v in g))
+    slices = 1
+    if len(groups) > 1 and all(_same_keys(entities, sources, group) for group in groups):
+        with freeing_shuffles(entities.sparkSession):
+            slices = min(MAX_SLICES, entities.count() // SLICE_ROWS + 1)
+    if slices > 1:
+        out = _known_by_slices(entities, sources, entity_ts, groups, wanted, slices)
+    else:
+        for group in groups:
+            out = as_known(out, sources, entity_ts, group, wanted)
     return out.select(*entities.columns, *[F.col(f"_{name}.{f}").alias(f) for name, own in wanted.items() for f in own])

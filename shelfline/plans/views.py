@@ -14,10 +14,18 @@ SNAPSHOT = "2001-11-04"
 PERSONAS = ["Champion", "Loyal", "Potential Loyalist", "At-Risk VIP", "New", "Lost"]
 
 
+def transaction_id() -> Column:
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id")
+
+
+def total_amount() -> Column:
+    return (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("total_amount")
+
+
 def line_columns() -> list[Column]:
     """The columns of a sales line, from those of lineitem."""
     return [
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        transaction_id(),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -26,7 +34,7 @@ def line_columns() -> list[Column]:
         F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("total_amount"),
+        total_amount(),
         (F.col("l_returnflag") == "R").alias("return_flag"),
     ]
 
@@ -63,9 +71,12 @@ class Tables:
 
     def category_sales(self) -> DataFrame:
         """Sales lines with category and brand: one join, for SKU-level jobs."""
+        return self.category_lines().select(*line_columns(), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
+
+    def category_lines(self) -> DataFrame:
+        """Lineitem as it is with category and brand: plain columns, for jobs that shuffle lines again."""
         part = self.part.select("p_partkey", "p_type", "p_brand")
-        met = self.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        return met.select(*line_columns(), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
+        return self.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     def pos(self) -> DataFrame:
         part = self.part.select("p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
@@ -118,10 +129,14 @@ class Tables:
 
     def weather(self) -> DataFrame:
         """One reading per store and day on which that store sold anything."""
-        days = self.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("date")).distinct()
-        doy, store = F.dayofyear("date"), F.col("l_suppkey")
+        return self.store_weather().withColumn("store_id", F.col("store_id").cast("string"))
+
+    def store_weather(self) -> DataFrame:
+        """The readings with the plain key of the store."""
+        days = self.lineitem.select(F.col("l_suppkey").alias("store_id"), F.to_date("l_shipdate").alias("date")).distinct()
+        doy, store = F.dayofyear("date"), F.col("store_id")
         return days.select(
-            store.cast("string").alias("store_id"),
+            "store_id",
             "date",
             ((doy * 7 + store * 3) % 50 - F.lit(5.0)).alias("temp_c"),
             ((doy * 13 + store * 5) % 70 * F.lit(1.0)).alias("rain_mm"),

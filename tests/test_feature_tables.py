@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import features as ft
 from shelfline.plans import features as plans
 from shelfline.plans.views import Tables
+from shelfline.session import FREEING_SETTING, stage_freed
 
 NOON = dt.datetime(2024, 3, 1, 12)
 DEMAND = ["sku_demand_fv:rolling_mean_7d", "sku_demand_fv:lag_1d", "customer_rfm_fv:monetary"]
@@ -149,3 +151,56 @@ def test_rounding_scales_before_it_rounds(spark):
     # 67009.3186625 times a million is a last bit below the half.
     got = plans.rounded(spark.range(1).select((F.lit(536074.5493) / 8).alias("a")), {"a": 6})
     assert got.first().a == 67009.318662
+
+
+def test_retrieval_by_slices_is_that_of_one_pass(spark, rows, monkeypatch):
+    _, _, sources = history(spark)
+    r = random.Random(5)
+    asked = [(k, f"p{r.randint(0, 6)}", f"c{r.randint(0, 5)}", NOON + dt.timedelta(hours=r.randint(-1000, 1000))) for k in range(200)]
+    asked += [(500, "p0", "c0", None), (501, None, None, NOON), (502, None, "c1", NOON), asked[0]]
+    frame = spark.createDataFrame(asked, "id int, product_id string, customer_id string, ts timestamp_ntz")
+    whole = rows(ft.point_in_time_features(frame, sources, "ts", DEMAND))
+    monkeypatch.setattr(ft, "SLICE_ROWS", 60)
+    assert rows(ft.point_in_time_features(frame, sources, "ts", DEMAND)) == whole and len(whole) == len(asked)
+    # Keys of two types may be equal with unequal hashes: one pass.
+    monkeypatch.setattr(ft, "_known_by_slices", lambda *_: pytest.fail("slices of keys of two types"))
+    number = lambda df: df.withColumn("customer_id", F.substring("customer_id", 2, 2).cast("int"))
+    wide = {**sources, "customer_rfm_fv": number(sources["customer_rfm_fv"]).withColumn("customer_id", F.col("customer_id").cast("long"))}
+    found = ft.point_in_time_features(number(frame), wide, "ts", DEMAND)
+    assert rows(found, "id", "rolling_mean_7d", "lag_1d", "monetary") == sorted((tuple((x[0], *x[4:])) for x in whole), key=repr)
+
+
+def test_large_retrieval_has_one_slice_on_disk(spark, rows, monkeypatch):
+    """No shuffle holds all lines, none is left behind, and what was used is dropped."""
+    tables, asked, staged = Tables(spark, "/root/testdata/sf0.001"), [], []
+    whole = rows(plans.point_in_time_features_all(tables))
+    find, stage = ft.as_known, ft.stage_freed
+    monkeypatch.setattr(ft, "SLICE_ROWS", 2500)
+    monkeypatch.setattr(ft, "as_known", lambda entities, *rest: asked.append(entities.count()) or find(entities, *rest))
+    monkeypatch.setattr(ft, "stage_freed", lambda df, label, *rest: staged.append(stage(df, label, *rest)) or staged[-1])
+    out = plans.point_in_time_features_all(tables)
+    lines = tables.lineitem.count()
+    assert len(asked) == 6 and sum(asked) == 2 * lines and max(asked) < lines / 2
+    plan = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "Exchange" not in plan and "Window" not in plan
+    present = dict.fromkeys(path for _, path in staged if ft.files.exists(spark, path))
+    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in present] == ["rfm-cells", "known"]
+    assert rows(out) == whole
+
+
+def test_staging_frees_its_shuffles(spark):
+    def shuffles():
+        kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in kept.split("\n") if "/shuffle_" in f}
+
+    before = shuffles()
+    one, path = stage_freed(spark.range(1000).repartition(3, "id"), "freed")
+    for _ in range(100):  # they go behind the write
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(FREEING_SETTING) == "false"
+    both, same = stage_freed(spark.range(1000, 1500), "freed", None, path)
+    assert same == path and one.count() + both.count() == 2500
+    sliced, _ = stage_freed(spark.range(10).withColumn("part", F.col("id") % 3), "freed", "part")
+    assert sliced.filter("part = 1").count() == 3
