@@ -15,7 +15,7 @@ from shelfline import files
 from shelfline.functions import calendar as cal
 from shelfline.functions.scalars import clv_band, extreme_weather, high_risk_flag
 from shelfline.operators.ordered import decimal_sum, newest_per_key, one_row
-from shelfline.session import drop_staged, freeing_shuffles, stage_by, stage_freed, stage_table
+from shelfline.session import drop_staged, freeing_shuffles, spread, stage_by, stage_freed, stage_table
 
 RFM_LOOKBACK_DAYS = 90
 RFM_COLUMNS = ["recency_days", "frequency", "monetary", "avg_basket_size", "rfm_score"]
@@ -277,8 +277,8 @@ def rfm_before_sales(sales: DataFrame, every: int = 7) -> DataFrame:
     enters = F.struct(first.alias("_point"), "_n", "_known", "_amount", "_day", F.floor(F.col("_day") / every).cast("int").alias("_asked"))
     nothing = F.lit(None).cast("int")
     leaves = F.struct((last + 1).alias("_point"), (-F.col("_n")).alias("_n"), (-F.col("_known")).alias("_known"), (-F.col("_amount")).alias("_amount"), nothing.alias("_day"), nothing.alias("_asked"))
-    # Both uses of the states read one shuffle, of sums and not of points.
-    points = cells.repartition("customer_id").select("customer_id", F.inline(F.array(enters, leaves)))
+    # Both uses of the states read one shuffle, of sums and not of points. Merged tasks would sort more than they can hold.
+    points = spread(cells, "customer_id").select("customer_id", F.inline(F.array(enters, leaves)))
     order = Window.partitionBy("customer_id").orderBy("_point")
 
     def state(upto: int) -> Column:
